@@ -40,7 +40,7 @@ def nan_to_null(c: ColumnOrName) -> Column:
 def to_double(c: ColumnOrName) -> Column:
     """Lenient numeric coercion: text that is not a number becomes NULL, NaN too."""
     c = col(c)
-    return nan_to_null(F.try_cast(strip_ws(c.cast("string")), "double"))
+    return nan_to_null(strip_ws(c.cast("string")).try_cast("double"))
 
 
 def clamp(x: ColumnOrName, lo: float | None = None, hi: float | None = None) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.safe import clamp, season_label, strip_ws, to_double, zero_if_missing
+from ..functions.safe import (clamp, nan_to_null, season_label, strip_ws, to_double,
+                              zero_if_missing)
 
 # Team-name standardisation rules, in priority order
 # (case-sensitive LIKE '%pattern%' on the team name → canonical name).
@@ -111,8 +112,21 @@ def standardize_name(df: DataFrame, col: str = "player_name",
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Non-numeric text → NULL, NaN → NULL; absent columns are skipped."""
-    return df.withColumns({c: to_double(c) for c in cols if c in df.columns})
+    """Non-numeric text → NULL, NaN → NULL; absent columns are skipped.
+
+    Columns that are already numeric are only widened to DOUBLE (no text
+    round trip); text columns go through ``try_cast``.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = {}
+    for c in cols:
+        if c not in types:
+            continue
+        if isinstance(types[c], NUMERIC_TYPES):
+            out[c] = nan_to_null(F.col(c).cast("double"))
+        else:
+            out[c] = to_double(c)
+    return df.withColumns(out)
 
 
 def stamp(df: DataFrame, col: str, as_of: str | _dt.datetime = DEFAULT_AS_OF) -> DataFrame:
