@@ -152,13 +152,17 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False, rsd: float = 0
 
 
 def group_profile(df: DataFrame, by: str | Sequence[str], cols: Sequence[str],
-                  decimals: int = 2) -> DataFrame:
-    """Mean and sample std per group, rounded half-even."""
+                  decimals: int | None = 2) -> DataFrame:
+    """Mean and sample std per group, rounded half-even (``decimals=None``: unrounded)."""
     by = [by] if isinstance(by, str) else list(by)
+
+    def rnd(c):
+        return c if decimals is None else F.bround(c, decimals)
+
     aggs = []
     for c in cols:
-        aggs.append(F.bround(F.avg(c), decimals).alias(f"{c}_mean"))
-        aggs.append(F.bround(F.stddev_samp(c), decimals).alias(f"{c}_std"))
+        aggs.append(rnd(F.avg(c)).alias(f"{c}_mean"))
+        aggs.append(rnd(F.stddev_samp(c)).alias(f"{c}_std"))
     return df.groupBy(*by).agg(*aggs)
 
 
