@@ -8,6 +8,7 @@ from ..functions import metrics as M
 from ..operators import aggregate, clean, features, quality
 from . import mart
 from .catalog import AS_OF, AS_OF_SQL, fx, register, with_fixtures
+from .etl import etl_advanced
 from .queries_mart import PERF_FIXTURES, performance_sql
 
 STATLINE_COLS = ("player_id", "season", "games", "min", "pts", "reb", "ast", "fgm", "fga",
@@ -145,15 +146,6 @@ register("iqr_capped", with_fixtures(
     lambda spark, d: aggregate.cap_outliers_iqr(_adv_double(spark, d), IQR_COLS))
 
 
-def etl_advanced(advanced, as_of=AS_OF):
-    """ETL advanced-stats transform: coerce → cap outliers → aliases → linear PER → stamp."""
-    df = clean.coerce_numeric(advanced, IQR_COLS)
-    df = aggregate.cap_outliers_iqr(df, IQR_COLS)
-    df = clean.alias_metrics(df)
-    df = df.withColumn("player_efficiency_rating", M.per_linear(df.columns))
-    return clean.stamp(df, "processed_at", as_of)
-
-
 register("etl_advanced", with_fixtures(
     f"WITH {ADV_DOUBLE_SQL},\n{_iqr_sql(IQR_COLS, 'adv')}\n"
     f"SELECT *, gp AS games_played, min AS minutes_per_game, "
