@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_features
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from ..operators.features import create_features
 from . import evaluate
 from .selection import select_features
@@ -82,7 +82,7 @@ def prepare(df: DataFrame, target: str, task: str = "regression", k: int = 20,
         data = data.where(F.col(target).isNotNull())
         data = stratified_split(data, target, key, test_fraction, seed)
         data = stratified_fold_column(data, target, key, folds, seed + 1)
-    data = data.checkpoint(eager=True)
+    data = materialize(data)
     prep = Prepared(data, selected, target, task, tuple(key))
     prep.scaler = fit_standard_scaler(prep.train, selected)
     return prep

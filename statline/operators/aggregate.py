@@ -50,23 +50,69 @@ def _pct(c: str, probs: Sequence[float], exact: bool, accuracy: int) -> Column:
 
 
 def quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[str] = (),
-              exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """A10: linear-interpolated quantiles, one pass for every column.
-
-    Output columns are ``{col}_q{pct}`` (e.g. ``pts_q70``). ``exact=True`` uses
-    ``percentile`` (same definition as pandas / DuckDB ``quantile_cont``);
-    ``exact=False`` uses the bounded-memory GK sketch ``percentile_approx``
-    for columns with very many distinct values.
+              method: str = "sort", accuracy: int = 100_000, exact: bool | None = None) -> DataFrame:
+    """A10: quantiles of several columns, one row per ``by`` group (or one row).
+
+    Output columns are ``{col}_q{pct}`` (e.g. ``pts_q70``). Methods:
+
+    * ``"sort"`` (default) — exact linear interpolation between order
+      statistics, ``lo + (hi − lo)·d`` at position ``(n − 1)·p`` (the pandas /
+      numpy definition). Values are ranked by a distributed sort
+      (``row_number_by``), so no task ever holds more than one range
+      partition — safe for billions of distinct values.
+    * ``"percentile"`` — Spark's exact ``percentile`` aggregate; its final
+      merge keeps a value→count map of the whole column in one task per group.
+    * ``"approx"`` — the bounded-memory ``percentile_approx`` sketch.
     """
+    if exact is not None:
+        method = "percentile" if exact else "approx"
+    if method == "sort":
+        return _sorted_quantiles(df, spec, by)
     aggs, names = [], []
     for c, probs in spec.items():
         tmp = f"__q_{c}"
-        aggs.append(_pct(c, probs, exact, accuracy).alias(tmp))
+        aggs.append(_pct(c, probs, method == "percentile", accuracy).alias(tmp))
         names.extend((tmp, i, f"{c}_q{_label(p)}") for i, p in enumerate(probs))
     out = df.groupBy(*by).agg(*aggs)
     return out.select(*by, *[F.col(t)[i].alias(n) for t, i, n in names])
 
 
+def _sorted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]],
+                      by: Sequence[str]) -> DataFrame:
+    from .rank import BROADCAST_ROW_LIMIT, row_number_by
+
+    cols = list(spec)
+    values = df.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in cols])))
+    values = values.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    grp = [*by, "__c"]
+    ranked = row_number_by(values, [F.col("__v").asc()], partition_by=grp, name="__rn")
+    # positions needed per (group, column, probability): a table of groups × probabilities rows
+    probs = F.create_map(*[x for c in cols for x in (
+        F.lit(c), F.array(*[F.lit(float(p)) for p in spec[c]]))])
+    needed = (ranked.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n"))
+              .select(*grp, "__n", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
+              .withColumn("__pos", (F.col("__n") - 1) * F.col("__p"))
+              .withColumn("__d", F.col("__pos") - F.floor("__pos"))
+              .withColumn("__lo", F.floor("__pos") + 1)
+              .withColumn("__hi", F.ceil("__pos") + 1))
+    wanted = needed.select(*grp, "__i", "__d", F.explode(F.array(
+        F.struct(F.lit("lo").alias("role"), F.col("__lo").alias("rank")),
+        F.struct(F.lit("hi").alias("role"), F.col("__hi").alias("rank")))).alias("__w"))
+    wanted = wanted.select(*grp, "__i", "__d", F.col("__w.role").alias("__role"),
+                           F.col("__w.rank").alias("__rn")).cache()
+    small = wanted.count() <= BROADCAST_ROW_LIMIT
+    picked = ranked.join(F.broadcast(wanted) if small else wanted, on=[*grp, "__rn"])
+    q = (picked.groupBy(*grp, "__i")
+         .agg(F.max(F.when(F.col("__role") == "lo", F.col("__v"))).alias("__lov"),
+              F.max(F.when(F.col("__role") == "hi", F.col("__v"))).alias("__hiv"),
+              F.max("__d").alias("__d"))
+         .withColumn("__q", F.col("__lov") + (F.col("__hiv") - F.col("__lov")) * F.col("__d")))
+    wide = [F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), F.col("__q")))
+            .alias(f"{c}_q{_label(p)}") for c in cols for i, p in enumerate(spec[c])]
+    return q.groupBy(*by).agg(*wide)
+
+
 def _label(p: float) -> str:
     s = f"{p * 100:.6f}".rstrip("0").rstrip(".")
     return s.replace(".", "_")
@@ -85,12 +131,12 @@ def attach_scalars(df: DataFrame, stats: DataFrame, by: Sequence[str] = ()) -> D
 
 
 def cap_outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
-                     by: Sequence[str] = (), exact: bool = True) -> DataFrame:
+                     by: Sequence[str] = (), method: str = "sort") -> DataFrame:
     """Clip each column to [Q1 − k·IQR, Q3 + k·IQR]; NULL stays NULL."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    q = quantiles(df, {c: (0.25, 0.75) for c in cols}, by=by, exact=exact)
+    q = quantiles(df, {c: (0.25, 0.75) for c in cols}, by=by, method=method)
     joined = attach_scalars(df, q, by)
     out = {}
     for c in cols:
@@ -109,30 +155,28 @@ def cap_outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
 DESCRIBE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe_stats(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+def describe_stats(df: DataFrame, cols: Sequence[str], method: str = "sort") -> DataFrame:
     """A5: count, mean, sample std, min, quartiles, max — one row per column.
 
-    One aggregation pass computes every statistic for every column; the wide
-    single row is then unpivoted with ``inline`` (no second scan).
+    Moments come from one aggregation pass and quartiles from one
+    ``quantiles`` call for all columns; the wide row is unpivoted with
+    ``inline``.
     """
     aggs = []
     for c in cols:
         x = F.col(c)
-        pct = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact else \
-            F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 100_000)
-        aggs.append(F.struct(
-            F.lit(c).alias("column_name"),
-            F.count(x).cast("bigint").alias("count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).cast("double").alias("min"),
-            pct[0].cast("double").alias("p25"),
-            pct[1].cast("double").alias("p50"),
-            pct[2].cast("double").alias("p75"),
-            F.max(x).cast("double").alias("max"),
-        ).alias(f"__d_{c}"))
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[F.col(f"__d_{c}") for c in cols])))
+        aggs += [F.count(x).cast("bigint").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
+                 F.max(x).cast("double").alias(f"{c}__max")]
+    moments = df.agg(*aggs)
+    qs = quantiles(df, {c: (0.25, 0.5, 0.75) for c in cols}, method=method)
+    wide = moments.crossJoin(F.broadcast(qs))
+    return wide.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
+        F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
+        F.col(f"{c}__min").alias("min"), F.col(f"{c}_q25").alias("p25"),
+        F.col(f"{c}_q50").alias("p50"), F.col(f"{c}_q75").alias("p75"),
+        F.col(f"{c}__max").alias("max")) for c in cols])))
 
 
 def value_distribution(df: DataFrame, col: str) -> DataFrame:

@@ -19,9 +19,9 @@ from .aggregate import attach_scalars, quantiles
 EQUAL_WIDTH_LABELS = ("Bench Player", "Rotation Player", "Starter", "Elite")
 
 
-def position_by_quantile3(df: DataFrame, out: str = "position", exact: bool = True) -> DataFrame:
+def position_by_quantile3(df: DataFrame, out: str = "position", method: str = "sort") -> DataFrame:
     """C4: assists above the 70th percentile → Guard, rebounds → Forward, else Center."""
-    q = quantiles(df, {"ast": (0.7,), "reb": (0.7,)}, exact=exact)
+    q = quantiles(df, {"ast": (0.7,), "reb": (0.7,)}, method=method)
     j = attach_scalars(df, q)
     label = (F.when(F.col("ast") > F.col("ast_q70"), "Guard")
              .when(F.col("reb") > F.col("reb_q70"), "Forward").otherwise("Center"))
@@ -29,9 +29,9 @@ def position_by_quantile3(df: DataFrame, out: str = "position", exact: bool = Tr
 
 
 def tier_by_quantile(df: DataFrame, col: str = "pts", out: str = "performance_tier",
-                     exact: bool = True) -> DataFrame:
+                     method: str = "sort") -> DataFrame:
     """Above the 80th/60th/40th percentile → Elite/All-Star/Starter, else Bench."""
-    q = quantiles(df, {col: (0.4, 0.6, 0.8)}, exact=exact)
+    q = quantiles(df, {col: (0.4, 0.6, 0.8)}, method=method)
     j = attach_scalars(df, q)
     x = F.col(col)
     label = (F.when(x > F.col(f"{col}_q80"), "Elite").when(x > F.col(f"{col}_q60"), "All-Star")
@@ -39,14 +39,15 @@ def tier_by_quantile(df: DataFrame, col: str = "pts", out: str = "performance_ti
     return j.withColumn(out, label).drop(f"{col}_q40", f"{col}_q60", f"{col}_q80")
 
 
-def position_by_quantile5(df: DataFrame, out: str = "position", exact: bool = True,
+def position_by_quantile5(df: DataFrame, out: str = "position", method: str = "sort",
                           sg_assist_quantile: str = "pts_q50") -> DataFrame:
     """Five positions from points/assists/rebounds percentiles.
 
     ``sg_assist_quantile`` is the threshold the shooting-guard branch compares
     assists against; the default keeps the dashboard's points median.
     """
-    q = quantiles(df, {"ast": (0.5, 0.7), "pts": (0.5, 0.6, 0.7), "reb": (0.7, 0.8)}, exact=exact)
+    q = quantiles(df, {"ast": (0.5, 0.7), "pts": (0.5, 0.6, 0.7), "reb": (0.7, 0.8)},
+                  method=method)
     j = attach_scalars(df, q)
     a, p, r = F.col("ast"), F.col("pts"), F.col("reb")
     label = (F.when((a > F.col("ast_q70")) & (p < F.col("pts_q60")), "Point Guard")
@@ -84,9 +85,9 @@ def equal_width_tier(df: DataFrame, col: str, labels: Sequence[str] = EQUAL_WIDT
     return j.drop("__lo", "__hi")
 
 
-def label_statlines(statlines: DataFrame, exact: bool = True) -> DataFrame:
+def label_statlines(statlines: DataFrame, method: str = "sort") -> DataFrame:
     """Dashboard / model input: true shooting, composite score, C6 position, C7 tier."""
     df = statlines.withColumn("ts_pct", M.true_shooting())
     df = df.withColumn("composite_score", M.composite_score())
-    df = position_by_quantile5(df, exact=exact)
+    df = position_by_quantile5(df, method=method)
     return equal_width_tier(df, "composite_score")

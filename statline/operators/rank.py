@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 
 BROADCAST_ROW_LIMIT = 1_000_000
 
@@ -38,6 +38,21 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
+def _range_sorted(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
+    """Range-partition and sort on ``keys``, pinned by a checkpoint.
+
+    The input is persisted while the range bounds are sampled and the
+    partitions written, so it is evaluated once, not once per job.
+    """
+    from pyspark import StorageLevel
+
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return materialize(base.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    finally:
+        base.unpersist()
+
+
 def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Sequence[str] = (),
                   name: str = "row_number", num_partitions: int | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY … ORDER BY …) computed across many tasks.
@@ -48,7 +63,7 @@ def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Se
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in partition_by] + _sort_cols(order)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    ranged = _range_sorted(df, keys, n)
     pos = (ranged.withColumn("__pid", F.spark_partition_id())
            .withColumn("__pos", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
@@ -68,6 +83,53 @@ def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Se
     return numbered.drop("__pid", "__pos", "__off", "__first", *gcols)
 
 
+def row_numbers(df: DataFrame, order: Sequence[Column | str],
+                groupings: dict[str, Sequence[str]], num_partitions: int | None = None) -> DataFrame:
+    """Several ROW_NUMBER columns sharing one ORDER BY, from ONE range partitioning.
+
+    ``groupings`` maps an output name to its PARTITION BY columns (empty for
+    the global number). Rows are range-partitioned and sorted on ``order``
+    once and checkpointed; then
+      * global number = rows in earlier partitions + position in partition;
+      * per-group number = rows of the same group in earlier partitions +
+        the row's rank among its group inside its own partition (a window
+        over (partition, group), which never holds more than one range
+        partition's rows, so a group with a third of the data is still
+        spread over every partition).
+    The (partition, group) count table has at most partitions × groups rows
+    and is broadcast only after that size is checked.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = _sort_cols(order)
+    ranged = _range_sorted(df, keys, n)
+    out = (ranged.withColumn("__pid", F.spark_partition_id())
+           .withColumn("__pos", F.monotonically_increasing_id()
+                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    drop = ["__pid", "__pos"]
+    for i, (name, groups) in enumerate(groupings.items()):
+        gcols = [f"__g{i}_{j}" for j in range(len(groups))]
+        counts = (out.groupBy("__pid", *[F.col(c).alias(g) for c, g in zip(groups, gcols)])
+                  .agg(F.count(F.lit(1)).alias("__n")))
+        before = Window.partitionBy(*gcols).orderBy("__pid") \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (counts.withColumn(f"__off{i}", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+                   .select(F.col("__pid").alias(f"__p{i}"), *gcols, f"__off{i}").cache())
+        small = offsets.count() <= BROADCAST_ROW_LIMIT
+        cond = out["__pid"] == offsets[f"__p{i}"]
+        for c, g in zip(groups, gcols):
+            cond = cond & out[c].eqNullSafe(offsets[g])
+        out = out.join(F.broadcast(offsets) if small else offsets, cond, "inner")
+        if groups:
+            local = F.row_number().over(Window.partitionBy("__pid", *groups).orderBy("__pos"))
+        else:
+            local = F.col("__pos") + 1
+        out = out.withColumn(name, (F.col(f"__off{i}") + local).cast("bigint"))
+        drop += [f"__p{i}", f"__off{i}", *gcols]
+    return out.drop(*drop)
+
+
 def row_number_in_groups(df: DataFrame, order: Sequence[Column | str], partition_by: Sequence[str],
                          name: str = "row_number") -> DataFrame:
     """Plain windowed ROW_NUMBER for groups whose size is bounded by the domain

@@ -58,3 +58,19 @@ def trim_sql(x: str) -> str:
 def season_sql(x: str) -> str:
     return (f"concat(cast({x} as string), '-', "
             f"lpad(cast(({x} + 1) % 100 as string), 2, '0'))")
+
+
+def quantile_sql(src: str, col: str, p: float) -> str:
+    """Scalar subquery: linear-interpolated quantile ``lo + (hi - lo) * d`` of ``col``.
+
+    The order statistics come from ``row_number()``; the interpolation is
+    plain DOUBLE arithmetic, the same definition the Spark side uses.
+    """
+    v = f"CAST({col} AS DOUBLE)"
+    return (f"(SELECT lo + (hi - lo) * d FROM (SELECT max(CASE WHEN rn = fl THEN v END) AS lo, "
+            f"max(CASE WHEN rn = cl THEN v END) AS hi, max(dd) AS d FROM "
+            f"(SELECT {v} AS v, row_number() OVER (ORDER BY {v}) AS rn FROM {src} "
+            f"WHERE {col} IS NOT NULL AND NOT isnan({v})) s CROSS JOIN "
+            f"(SELECT floor(pos) + 1 AS fl, ceil(pos) + 1 AS cl, pos - floor(pos) AS dd FROM "
+            f"(SELECT (count({col}) - 1) * {float(p)!r}E0 AS pos FROM {src} "
+            f"WHERE {col} IS NOT NULL AND NOT isnan({v})) c0) c))")

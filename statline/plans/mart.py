@@ -18,7 +18,7 @@ from ..operators.aggregate import aggregate_game_logs
 from ..operators.clean import (DEFAULT_AS_OF, as_of_literal, filter_active, stage_advanced,
                                stage_game_logs, stage_players)
 from ..operators.joins import attach_advanced, attach_players
-from ..operators.rank import row_number_by
+from ..operators.rank import row_numbers
 
 PERFORMANCE_COLUMNS = (
     "player_id", "player_name", "team_id", "team_name", "season", "games_played",
@@ -98,12 +98,10 @@ def mart_summary(perf: DataFrame, as_of: str | _dt.datetime = DEFAULT_AS_OF,
                  num_partitions: int | None = None) -> DataFrame:
     """Mart model: classification, scores and season/position/team ranks."""
     df = classify(perf)
-    order = rank_key(df)
-    df = row_number_by(df, order, name="season_rank", num_partitions=num_partitions)
-    df = row_number_by(df, order, partition_by=("primary_position",), name="position_rank",
-                       num_partitions=num_partitions)
-    df = row_number_by(df, order, partition_by=("team_id",), name="team_rank",
-                       num_partitions=num_partitions)
+    df = row_numbers(df, rank_key(df), {"season_rank": (),
+                                        "position_rank": ("primary_position",),
+                                        "team_rank": ("team_id",)},
+                     num_partitions=num_partitions)
     ts = as_of_literal(as_of)
     return df.withColumns({"data_created_at": ts, "data_updated_at": ts}).select(*MART_COLUMNS)
 

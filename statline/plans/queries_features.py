@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics as M
 from ..operators import aggregate, clean, features, quality
 from . import mart
-from .catalog import AS_OF, AS_OF_SQL, fx, register, with_fixtures
+from .catalog import AS_OF, AS_OF_SQL, fx, quantile_sql, register, with_fixtures
 from .etl import etl_advanced
 from .queries_mart import PERF_FIXTURES, performance_sql
 
@@ -120,14 +120,14 @@ IQR_COLS = clean.ADVANCED_NUMERIC
 
 
 def _iqr_sql(cols, table, extra_select="*") -> str:
-    qs = ", ".join(f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3"
+    qs = ", ".join(f"{quantile_sql(table, c, 0.25)} AS {c}_q1, {quantile_sql(table, c, 0.75)} AS {c}_q3"
                    for c in cols)
     caps = ", ".join(
         f"CASE WHEN {c} IS NULL THEN NULL "
         f"WHEN {c} < {c}_q1 - ({c}_q3 - {c}_q1) * 1.5E0 THEN {c}_q1 - ({c}_q3 - {c}_q1) * 1.5E0 "
         f"WHEN {c} > {c}_q3 + ({c}_q3 - {c}_q1) * 1.5E0 THEN {c}_q3 + ({c}_q3 - {c}_q1) * 1.5E0 "
         f"ELSE {c} END AS {c}" for c in cols)
-    return f"""q AS (SELECT {qs} FROM {table}),
+    return f"""q AS (SELECT {qs}),
 capped AS (SELECT t.* REPLACE ({caps}) FROM {table} t CROSS JOIN q)"""
 
 

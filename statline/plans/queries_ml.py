@@ -9,7 +9,7 @@ from ..functions import rules
 from ..ml import evaluate, models, selection, split
 from ..operators import classify, features
 from ..session import scratch_path
-from .catalog import fx, register, with_fixtures
+from .catalog import fx, quantile_sql, register, with_fixtures
 from .queries_features import STATLINE_COLS
 from .queries_summary import DASH_SQL, LABELLED_SQL, dash, labelled
 
@@ -172,7 +172,7 @@ def rule_predictions(spark, d):
     return s.withColumn("prediction", mapped)
 
 
-RULE_PRED_SQL = """WITH q AS (SELECT quantile_cont(ast, 0.7) AS aq, quantile_cont(reb, 0.7) AS rq FROM statlines),
+RULE_PRED_SQL = f"""WITH q AS (SELECT {quantile_sql('statlines', 'ast', 0.7)} AS aq, {quantile_sql('statlines', 'reb', 0.7)} AS rq),
 rp AS (SELECT player_id, season,
   CASE WHEN ast > aq THEN 'Guard' WHEN reb > rq THEN 'Forward' ELSE 'Center' END AS truth,
   CASE WHEN ast >= 5.0E0 AND reb < 8.0E0 AND pts < 25.0E0 THEN 'Guard'

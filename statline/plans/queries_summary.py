@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, classify, clean, dashboard, features, rank
-from .catalog import fx, register, with_fixtures
+from .catalog import fx, quantile_sql, register, with_fixtures
 from .queries_features import FEATURES_SQL
 
 # ----------------------------------------------------------------- shared frames
@@ -25,10 +25,10 @@ def _bin_sql(x: str, lo: str, hi: str, bins: int = 4) -> str:
 
 LABELLED_SQL = f"""lab0 AS (SELECT *, {TS_SQL} AS ts_pct FROM statlines),
 lab1 AS (SELECT *, {COMPOSITE_SQL} AS composite_score FROM lab0),
-labq AS (SELECT quantile_cont(ast, 0.5) AS ast_q50, quantile_cont(ast, 0.7) AS ast_q70,
-           quantile_cont(pts, 0.5) AS pts_q50, quantile_cont(pts, 0.6) AS pts_q60,
-           quantile_cont(pts, 0.7) AS pts_q70, quantile_cont(reb, 0.7) AS reb_q70,
-           quantile_cont(reb, 0.8) AS reb_q80 FROM lab1),
+labq AS (SELECT {quantile_sql('lab1', 'ast', 0.5)} AS ast_q50, {quantile_sql('lab1', 'ast', 0.7)} AS ast_q70,
+           {quantile_sql('lab1', 'pts', 0.5)} AS pts_q50, {quantile_sql('lab1', 'pts', 0.6)} AS pts_q60,
+           {quantile_sql('lab1', 'pts', 0.7)} AS pts_q70, {quantile_sql('lab1', 'reb', 0.7)} AS reb_q70,
+           {quantile_sql('lab1', 'reb', 0.8)} AS reb_q80),
 labmm AS (SELECT min(composite_score) AS lo, max(composite_score) AS hi FROM lab1),
 labelled AS (
   SELECT l.*,
@@ -69,8 +69,9 @@ CORE = ("pts", "reb", "ast", "min", "fg_pct")
 
 register("describe_stats", with_fixtures(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
-    f"CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50, "
-    f"quantile_cont({c}, 0.75) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM statlines" for c in CORE),
+    f"CAST(min({c}) AS DOUBLE) AS min, {quantile_sql('statlines', c, 0.25)} AS p25, "
+    f"{quantile_sql('statlines', c, 0.5)} AS p50, {quantile_sql('statlines', c, 0.75)} AS p75, "
+    f"CAST(max({c}) AS DOUBLE) AS max FROM statlines" for c in CORE),
     "statlines"))(lambda spark, d: aggregate.describe_stats(fx(spark, d).statlines, CORE))
 
 
@@ -107,8 +108,8 @@ register("group_means_sorted", sql(
 
 QSPEC = {"pts": (0.4, 0.5, 0.6, 0.7, 0.8), "reb": (0.7, 0.8), "ast": (0.5, 0.7)}
 register("quantile_table", with_fixtures("SELECT " + ", ".join(
-    f"quantile_cont({c}, {p}) AS {c}_q{int(round(p * 100))}" for c, ps in QSPEC.items() for p in ps)
-    + " FROM statlines", "statlines"))(
+    f"{quantile_sql('statlines', c, p)} AS {c}_q{int(round(p * 100))}"
+    for c, ps in QSPEC.items() for p in ps), "statlines"))(
     lambda spark, d: aggregate.quantiles(fx(spark, d).statlines, QSPEC))
 
 register("min_max", with_fixtures(
@@ -131,17 +132,17 @@ register("high_water_mark", with_fixtures(
 
 # ----------------------------------------------------------------- C4–C7
 
-register("position_quantile3", with_fixtures("""
-WITH q AS (SELECT quantile_cont(ast, 0.7) AS aq, quantile_cont(reb, 0.7) AS rq FROM statlines)
+register("position_quantile3", with_fixtures(f"""
+WITH q AS (SELECT {quantile_sql('statlines', 'ast', 0.7)} AS aq, {quantile_sql('statlines', 'reb', 0.7)} AS rq)
 SELECT player_id, season, pts, reb, ast,
   CASE WHEN ast > aq THEN 'Guard' WHEN reb > rq THEN 'Forward' ELSE 'Center' END AS position
 FROM statlines CROSS JOIN q""", "statlines"))(
     lambda spark, d: classify.position_by_quantile3(
         fx(spark, d).statlines.select("player_id", "season", "pts", "reb", "ast")))
 
-register("tier_quantile", with_fixtures("""
-WITH q AS (SELECT quantile_cont(pts, 0.4) AS q40, quantile_cont(pts, 0.6) AS q60,
-                  quantile_cont(pts, 0.8) AS q80 FROM statlines)
+register("tier_quantile", with_fixtures(f"""
+WITH q AS (SELECT {quantile_sql('statlines', 'pts', 0.4)} AS q40, {quantile_sql('statlines', 'pts', 0.6)} AS q60,
+                  {quantile_sql('statlines', 'pts', 0.8)} AS q80)
 SELECT player_id, season, pts,
   CASE WHEN pts > q80 THEN 'Elite' WHEN pts > q60 THEN 'All-Star' WHEN pts > q40 THEN 'Starter'
        ELSE 'Bench' END AS performance_tier

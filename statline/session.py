@@ -74,3 +74,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/statline-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Reliable checkpoint that computes ``df`` once.
+
+    ``checkpoint(eager=True)`` runs one job to evaluate the rows and another
+    to write them to the checkpoint folder; without a persisted copy the
+    second job recomputes everything. The copy is released as soon as the
+    checkpoint files exist — from then on the lineage starts at those files
+    (shared storage), which survive the loss of any executor.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
