@@ -34,7 +34,7 @@ from ..operators.features import create_features
 from . import evaluate
 from .selection import select_features
 from .split import (fit_standard_scaler, holdout_split, kfold_column, label_indexer,
-                    scaler_transformer, stratified_fold_column, stratified_split)
+                    scaler_transformer, stratified_split_folds)
 
 REGRESSORS = ("linear_regression", "random_forest", "kernel_svr")
 CLASSIFIERS = ("logistic_regression", "random_forest", "kernel_svc")
@@ -71,17 +71,16 @@ def prepare(df: DataFrame, target: str, task: str = "regression", k: int = 20,
     """
     checkpoint_dir(df.sparkSession)
     feats_df = create_features(df) if engineer else df
+    # one evaluation of the (possibly long) feature lineage; every step below reads it
+    feats_df = materialize(feats_df.where(F.col(target).isNotNull()))
     selected = select_features(feats_df, target, task, k, exclude, exclude_derived)
     data = clean_features(feats_df, selected).select(*key, target, *selected)
     if task == "regression":
-        data = data.where(F.col(target).isNotNull())
         data = holdout_split(data, key, test_fraction, seed)
         # folds hash with another seed: the split's hash range must not coincide with a fold
         data = kfold_column(data, key, folds, seed + 1)
     else:
-        data = data.where(F.col(target).isNotNull())
-        data = stratified_split(data, target, key, test_fraction, seed)
-        data = stratified_fold_column(data, target, key, folds, seed + 1)
+        data = stratified_split_folds(data, target, key, test_fraction, folds, seed)
     data = materialize(data)
     prep = Prepared(data, selected, target, task, tuple(key))
     prep.scaler = fit_standard_scaler(prep.train, selected)
@@ -92,18 +91,25 @@ def rff_transformer(cols: Sequence[str], gamma: float, n_components: int = 64,
                     seed: int = 42, out_prefix: str = "rff_") -> SQLTransformer:
     """Random Fourier features z_j = √(2/D)·cos(w_j·x + b_j), w ~ N(0, 2γ), b ~ U(0, 2π).
 
-    The D × d weights are parameters drawn once on the driver; every feature is
-    a column expression evaluated inside whole-stage codegen.
+    The D × d weights are parameters drawn once on the driver and embedded as
+    literal arrays; the map is one higher-order-function expression
+    (``transform`` over the weight rows, ``zip_with`` + ``aggregate`` for the
+    dot product), so its size does not grow with D·d and stays JVM-side.
     """
     rng = np.random.default_rng(seed)
     w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, len(cols)))
     b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
     scale = math.sqrt(2.0 / n_components)
-    exprs = []
-    for j in range(n_components):
-        dot = " + ".join(f"({float(w[j, i])!r}) * `{c}`" for i, c in enumerate(cols))
-        exprs.append(f"{scale!r} * cos({float(b[j])!r} + {dot}) AS `{out_prefix}{j}`")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
+
+    def arr(xs) -> str:
+        return "array(" + ", ".join(f"{float(x)!r}D" for x in xs) + ")"
+
+    weights = "array(" + ", ".join(arr(row) for row in w) + ")"
+    x = "array(" + ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in cols) + ")"
+    rff = (f"transform({weights}, (wj, j) -> {scale!r}D * cos(element_at({arr(b)}, j + 1) + "
+           f"aggregate(zip_with({x}, wj, (a, c) -> a * c), 0D, (acc, v) -> acc + v)))")
+    outs = ", ".join(f"__rff[{j}] AS `{out_prefix}{j}`" for j in range(n_components))
+    return SQLTransformer(statement=f"SELECT *, {outs} FROM (SELECT *, {rff} AS __rff FROM __THIS__)")
 
 
 def _gamma_scale(prep: Prepared) -> float:

@@ -50,6 +50,23 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str] = ("player_id
             .drop("__h", "__rn", "__nc"))
 
 
+def stratified_split_folds(df: DataFrame, label: str, key: Sequence[str] = ("player_id", "season"),
+                           test_fraction: float = 0.2, k: int = 5, seed: int = 42) -> DataFrame:
+    """L5 + L14 from ONE within-class ranking: the first round(fraction · n) rows of
+    each class (by key hash) are the hold-out; the remaining rows are dealt
+    round-robin into k folds, so every fold keeps the class shares too."""
+    hashed = df.withColumn("__h", key_hash(key, seed))
+    order = [F.col("__h").asc()] + [F.col(c).asc() for c in key]
+    numbered = row_number_by(hashed, order, partition_by=(label,), name="__rn")
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+    out = numbered.join(sizes, on=label, how="left") \
+        .withColumn("__nt", F.round(F.col("__nc") * test_fraction))
+    return (out.withColumn("is_test", F.col("__rn") <= F.col("__nt"))
+            .withColumn("fold", F.when(F.col("is_test"), F.lit(-1))
+                        .otherwise(F.pmod(F.col("__rn") - F.col("__nt") - 1, F.lit(k))).cast("int"))
+            .drop("__h", "__rn", "__nc", "__nt"))
+
+
 def kfold_column(df: DataFrame, key: Sequence[str] = ("player_id", "season"), k: int = 5,
                  seed: int = 42, col: str = "fold") -> DataFrame:
     """L14 (regression): fold 0…k−1 from the key hash (equal-width hash ranges)."""
