@@ -227,11 +227,6 @@ FROM p""", "statlines"))(
         F.col("pts").alias("label"),
         (F.col("fgm") * 2 + F.col("fg3m") + F.col("ftm")).alias("prediction"))))
 
-register("residuals", None)(
-    lambda spark, d: evaluate.residuals(fx(spark, d).statlines.select(
-        *KEY, F.col("pts").alias("label"),
-        (F.col("fgm") * 2 + F.col("fg3m") + F.col("ftm")).alias("prediction"))))
-
 # ----------------------------------------------------------------- fitted models (rows)
 
 

@@ -1,4 +1,5 @@
 """Import every query module so the catalog is complete, then expose it."""
 
-from . import queries_features, queries_io, queries_mart, queries_ml, queries_summary  # noqa: F401
+from . import (queries_extra, queries_features, queries_io, queries_mart,  # noqa: F401
+               queries_ml, queries_summary)
 from .catalog import ORACLES, QUERIES  # noqa: F401
