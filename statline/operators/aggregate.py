@@ -77,19 +77,53 @@ def quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[s
     return out.select(*by, *[F.col(t)[i].alias(n) for t, i, n in names])
 
 
+# Largest number of values of one (group, column) that is sorted inside one task.
+SORT_IN_TASK_LIMIT = 1_000_000
+
+
+def _interpolate(lo: Column, hi: Column, d: Column) -> Column:
+    return lo + (hi - lo) * d
+
+
 def _sorted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]],
                       by: Sequence[str]) -> DataFrame:
-    from .rank import BROADCAST_ROW_LIMIT, row_number_by
+    """Exact quantiles from order statistics; the path is chosen from checked sizes.
 
+    Each (group, column) with at most ``SORT_IN_TASK_LIMIT`` values is sorted
+    as one array inside one task (a bound checked by a count first); larger
+    ones go through the distributed sort, where no task holds more than a
+    range partition.
+    """
     cols = list(spec)
     values = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in cols])))
     values = values.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     grp = [*by, "__c"]
-    ranked = row_number_by(values, [F.col("__v").asc()], partition_by=grp, name="__rn")
-    # positions needed per (group, column, probability): a table of groups × probabilities rows
+    largest = values.groupBy(*grp).count().agg(F.max("count")).first()[0] or 0
     probs = F.create_map(*[x for c in cols for x in (
         F.lit(c), F.array(*[F.lit(float(p)) for p in spec[c]]))])
+    if largest <= SORT_IN_TASK_LIMIT:
+        arrays = values.groupBy(*grp).agg(F.array_sort(F.collect_list("__v")).alias("__s"))
+        q = (arrays.select(*grp, "__s", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
+             .withColumn("__pos", (F.size("__s") - 1) * F.col("__p"))
+             .withColumn("__q", _interpolate(
+                 F.element_at("__s", (F.floor("__pos") + 1).cast("int")),
+                 F.element_at("__s", (F.ceil("__pos") + 1).cast("int")),
+                 F.col("__pos") - F.floor("__pos"))))
+        wide = [F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), F.col("__q")))
+                .alias(f"{c}_q{_label(p)}") for c in cols for i, p in enumerate(spec[c])]
+        return q.groupBy(*by).agg(*wide)
+    return _distributed_quantiles(values, spec, by, probs)
+
+
+def _distributed_quantiles(values: DataFrame, spec: Mapping[str, Sequence[float]],
+                           by: Sequence[str], probs: Column) -> DataFrame:
+    from .rank import BROADCAST_ROW_LIMIT, row_number_by
+
+    cols = list(spec)
+    grp = [*by, "__c"]
+    ranked = row_number_by(values, [F.col("__v").asc()], partition_by=grp, name="__rn")
+    # positions needed per (group, column, probability): a table of groups × probabilities rows
     needed = (ranked.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n"))
               .select(*grp, "__n", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
               .withColumn("__pos", (F.col("__n") - 1) * F.col("__p"))
@@ -107,7 +141,7 @@ def _sorted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]],
          .agg(F.max(F.when(F.col("__role") == "lo", F.col("__v"))).alias("__lov"),
               F.max(F.when(F.col("__role") == "hi", F.col("__v"))).alias("__hiv"),
               F.max("__d").alias("__d"))
-         .withColumn("__q", F.col("__lov") + (F.col("__hiv") - F.col("__lov")) * F.col("__d")))
+         .withColumn("__q", _interpolate(F.col("__lov"), F.col("__hiv"), F.col("__d"))))
     wide = [F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), F.col("__q")))
             .alias(f"{c}_q{_label(p)}") for c in cols for i, p in enumerate(spec[c])]
     return q.groupBy(*by).agg(*wide)

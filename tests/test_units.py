@@ -156,3 +156,21 @@ def test_history_gaps_and_order(spark):
     assert got[(1, "2002-03")][1] == pytest.approx(2.0)  # 30 / 10 - 1
     assert got[(2, "2001-02")] == (0.0, None)           # previous 0 → NULL, not inf
     assert got[(3, "2000-01")] == (None, None)
+
+
+@pytest.mark.parametrize("limit", [0, 10_000_000])
+def test_quantile_paths_agree(spark, monkeypatch, limit):
+    """In-task and distributed exact quantiles give the same numbers (pandas definition)."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    vals = [float(x) for x in rng.integers(0, 40, 500)] + [None]
+    df = spark.createDataFrame([(v, (i % 3)) for i, v in enumerate(vals)], "v double, g long")
+    monkeypatch.setattr(aggregate, "SORT_IN_TASK_LIMIT", limit)
+    got = aggregate.quantiles(df, {"v": (0.1, 0.5, 0.73)}).first()
+    clean_vals = np.array([v for v in vals if v is not None])
+    for p, name in ((0.1, "v_q10"), (0.5, "v_q50"), (0.73, "v_q73")):
+        assert got[name] == pytest.approx(float(np.quantile(clean_vals, p)), rel=1e-12)
+    per_group = {r.g: r.v_q50 for r in aggregate.quantiles(df, {"v": (0.5,)}, by=("g",)).collect()}
+    for g in range(3):
+        gv = np.array([v for i, v in enumerate(vals) if v is not None and i % 3 == g])
+        assert per_group[g] == pytest.approx(float(np.median(gv)))
