@@ -133,8 +133,9 @@ def _distributed_quantiles(values: DataFrame, spec: Mapping[str, Sequence[float]
     wanted = needed.select(*grp, "__i", "__d", F.explode(F.array(
         F.struct(F.lit("lo").alias("role"), F.col("__lo").alias("rank")),
         F.struct(F.lit("hi").alias("role"), F.col("__hi").alias("rank")))).alias("__w"))
-    wanted = wanted.select(*grp, "__i", "__d", F.col("__w.role").alias("__role"),
-                           F.col("__w.rank").alias("__rn")).cache()
+    from ..session import materialize
+    wanted = materialize(wanted.select(*grp, "__i", "__d", F.col("__w.role").alias("__role"),
+                                       F.col("__w.rank").alias("__rn")))
     small = wanted.count() <= BROADCAST_ROW_LIMIT
     picked = ranked.join(F.broadcast(wanted) if small else wanted, on=[*grp, "__rn"])
     q = (picked.groupBy(*grp, "__i")

@@ -68,19 +68,20 @@ def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Se
            .withColumn("__pos", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
     gcols = [f"__g{i}" for i in range(len(partition_by))]
-    counts = (pos.groupBy("__pid", *[F.col(c).alias(g) for c, g in zip(partition_by, gcols)])
+    counts = (pos.groupBy(F.col("__pid").alias("__opid"),
+                          *[F.col(c).alias(g) for c, g in zip(partition_by, gcols)])
               .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first")))
-    before = Window.partitionBy(*gcols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*gcols).orderBy("__opid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    offsets = offsets.select("__pid", *gcols, "__off", "__first").cache()
+    offsets = materialize(offsets.select("__opid", *gcols, "__off", "__first"))
     small = offsets.count() <= BROADCAST_ROW_LIMIT
-    cond = pos["__pid"] == offsets["__pid"]
+    cond = F.col("__pid") == F.col("__opid")
     for c, g in zip(partition_by, gcols):
-        cond = cond & pos[c].eqNullSafe(offsets[g])
+        cond = cond & F.col(c).eqNullSafe(F.col(g))
     joined = pos.join(F.broadcast(offsets) if small else offsets, cond, "inner")
     numbered = joined.withColumn(
         name, (F.col("__off") + F.col("__pos") - F.col("__first") + 1).cast("bigint"))
-    return numbered.drop("__pid", "__pos", "__off", "__first", *gcols)
+    return numbered.drop("__pid", "__opid", "__pos", "__off", "__first", *gcols)
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column | str],
@@ -115,11 +116,12 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str],
         before = Window.partitionBy(*gcols).orderBy("__pid") \
             .rowsBetween(Window.unboundedPreceding, -1)
         offsets = (counts.withColumn(f"__off{i}", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-                   .select(F.col("__pid").alias(f"__p{i}"), *gcols, f"__off{i}").cache())
+                   .select(F.col("__pid").alias(f"__p{i}"), *gcols, f"__off{i}"))
+        offsets = materialize(offsets)
         small = offsets.count() <= BROADCAST_ROW_LIMIT
-        cond = out["__pid"] == offsets[f"__p{i}"]
+        cond = F.col("__pid") == F.col(f"__p{i}")
         for c, g in zip(groups, gcols):
-            cond = cond & out[c].eqNullSafe(offsets[g])
+            cond = cond & F.col(c).eqNullSafe(F.col(g))
         out = out.join(F.broadcast(offsets) if small else offsets, cond, "inner")
         if groups:
             local = F.row_number().over(Window.partitionBy("__pid", *groups).orderBy("__pos"))
