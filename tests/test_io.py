@@ -81,3 +81,42 @@ def test_three_prospects_score_with_a_saved_pipeline(spark):
                                "pts double, reb double, ast double, stl double, blk double, "
                                "tov double, min double")
     assert df.select(M.win_shares_per_48().alias("w")).first().w == (20 + 8 + 6 + 1.5 + 1 - 3) / 30 * 48
+
+
+def test_collect_seasons_decodes_players_and_advanced(spark, tmp_path):
+    base = str(tmp_path)
+    adv_row = [7, "Some One", 3, "BOS", 25, 60, 40, 20, 0.667, 31.5, 112.0, 105.0, 7.0, 25.1, 2.1,
+               18.0, 3.3, 20.1, 11.2, 9.9, 0.55, 0.6, 24.5, 99.0, 0.12]
+    for season in ("2022-23", "2023-24"):
+        for endpoint, rows, params in (
+                ("commonallplayers", [[7, 1, "One, Some", 0, 0, 0, 0, 3, "BOS"]], {"Season": season}),
+                ("leaguedashplayerstats", [adv_row],
+                 {"Season": season, "SeasonType": "Regular Season"})):
+            d = os.path.join(base, f"endpoint={endpoint}", f"season={season}")
+            os.makedirs(d)
+            with open(os.path.join(d, "part.json"), "w") as fh:
+                fh.write(json.dumps({"parameters": params, "resultSets": [{"rowSet": rows}]}) + "\n")
+    got = payload.collect_seasons(spark, base, ["2023-24"])
+    p = got["players"].collect()
+    a = got["advanced_stats"].collect()
+    assert [(r.player_id, r.player_name, r.team_id, r.season, r.is_active) for r in p] == [
+        (7, "One, Some", 3, "2023-24", 1)]
+    assert len(a) == 1 and a[0].gp == 60 and a[0].pie == 0.12 and a[0].season == "2023-24"
+    assert a[0].season_type == "Regular Season" and a[0].ts_pct == 0.6
+
+
+def test_train_and_score_and_dashboard_plans(spark):
+    from conftest import SMALL
+    from statline.operators import classify
+    from statline.plans import train
+    from statline.sources.fixtures import fixtures
+    stat = classify.label_statlines(fixtures(spark, SMALL).statlines)
+    out = train.train_and_score(stat, "pts", "regression", model_names=("linear_regression",))
+    metrics = {(r.model, r.metric): r.value for r in out["metrics"].collect()}
+    assert metrics[("linear_regression", "r2")] > 0.5
+    assert ("linear_regression", "cv_r2_mean") in metrics
+    assert out["best"].first().model == "linear_regression"
+    ds = train.dashboard_datasets(fixtures(spark, SMALL).statlines)
+    assert ds["histogram_pts"].count() == 30
+    assert ds["top_scorers"].count() == 10
+    assert ds["summary"].count() == 5
