@@ -94,26 +94,38 @@ def _sorted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]],
     ones go through the distributed sort, where no task holds more than a
     range partition.
     """
+    from pyspark import StorageLevel
+
+    from ..session import materialize
+
     cols = list(spec)
     values = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in cols])))
     values = values.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     grp = [*by, "__c"]
-    largest = values.groupBy(*grp).count().agg(F.max("count")).first()[0] or 0
     probs = F.create_map(*[x for c in cols for x in (
         F.lit(c), F.array(*[F.lit(float(p)) for p in spec[c]]))])
-    if largest <= SORT_IN_TASK_LIMIT:
-        arrays = values.groupBy(*grp).agg(F.array_sort(F.collect_list("__v")).alias("__s"))
-        q = (arrays.select(*grp, "__s", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
-             .withColumn("__pos", (F.size("__s") - 1) * F.col("__p"))
-             .withColumn("__q", _interpolate(
-                 F.element_at("__s", (F.floor("__pos") + 1).cast("int")),
-                 F.element_at("__s", (F.ceil("__pos") + 1).cast("int")),
-                 F.col("__pos") - F.floor("__pos"))))
-        wide = [F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), F.col("__q")))
-                .alias(f"{c}_q{_label(p)}") for c in cols for i, p in enumerate(spec[c])]
-        return q.groupBy(*by).agg(*wide)
-    return _distributed_quantiles(values, spec, by, probs)
+    # the values are read by the size check and by the quantile job: evaluate them once
+    values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        largest = values.groupBy(*grp).count().agg(F.max("count")).first()[0] or 0
+        if largest <= SORT_IN_TASK_LIMIT:
+            arrays = values.groupBy(*grp).agg(F.array_sort(F.collect_list("__v")).alias("__s"))
+            q = (arrays.select(*grp, "__s", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
+                 .withColumn("__pos", (F.size("__s") - 1) * F.col("__p"))
+                 .withColumn("__q", _interpolate(
+                     F.element_at("__s", (F.floor("__pos") + 1).cast("int")),
+                     F.element_at("__s", (F.ceil("__pos") + 1).cast("int")),
+                     F.col("__pos") - F.floor("__pos"))))
+            wide = [F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), F.col("__q")))
+                    .alias(f"{c}_q{_label(p)}") for c in cols for i, p in enumerate(spec[c])]
+            out = q.groupBy(*by).agg(*wide)
+        else:
+            out = _distributed_quantiles(values, spec, by, probs)
+        # groups × probabilities values: pinned, so callers never recompute the inputs
+        return materialize(out)
+    finally:
+        values.unpersist()
 
 
 def _distributed_quantiles(values: DataFrame, spec: Mapping[str, Sequence[float]],
