@@ -349,3 +349,21 @@ def _roundtrip(spark, d):
 
 
 register("model_roundtrip", None)(_roundtrip)
+
+
+def _compare_classifiers(spark, d):
+    """L20 + V4/V6: hold-out accuracy, precision, recall and F1 of every classifier,
+    with the best model by accuracy."""
+    prep = _prep(spark, d, "classification")
+    parts = []
+    for m in models.CLASSIFIERS:
+        fitted = models.fit(prep, m, num_trees=30, max_depth=8, max_iter=50)
+        parts.append(models.evaluate_model(fitted, prep).withColumn("model", F.lit(m)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    best = evaluate.best_model(out, "accuracy").select(F.col("model").alias("best_model"))
+    return out.crossJoin(best)
+
+
+register("compare_classifiers", None)(_compare_classifiers)
