@@ -32,22 +32,31 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir, materialize
 
 BROADCAST_ROW_LIMIT = 1_000_000
+# Target rows per range partition when the caller does not fix the count.
+ROWS_PER_RANGE_PARTITION = 1_000_000
 
 
 def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
-def _range_sorted(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
+def _range_sorted(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
     """Range-partition and sort on ``keys``, pinned by a checkpoint.
 
-    The input is persisted while the range bounds are sampled and the
-    partitions written, so it is evaluated once, not once per job.
+    The input is persisted while it is counted, the range bounds are sampled
+    and the partitions written, so it is evaluated once, not once per job.
+    Without an explicit ``n`` the partition count follows the row count
+    (about ``ROWS_PER_RANGE_PARTITION`` rows each, at most
+    ``spark.sql.shuffle.partitions``).
     """
     from pyspark import StorageLevel
 
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if n is None:
+            cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            rows = base.count()
+            n = max(1, min(cap, -(-rows // ROWS_PER_RANGE_PARTITION)))
         return materialize(base.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
     finally:
         base.unpersist()
@@ -61,9 +70,8 @@ def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Se
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in partition_by] + _sort_cols(order)
-    ranged = _range_sorted(df, keys, n)
+    ranged = _range_sorted(df, keys, num_partitions)
     pos = (ranged.withColumn("__pid", F.spark_partition_id())
            .withColumn("__pos", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
@@ -102,9 +110,8 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str],
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_cols(order)
-    ranged = _range_sorted(df, keys, n)
+    ranged = _range_sorted(df, keys, num_partitions)
     out = (ranged.withColumn("__pid", F.spark_partition_id())
            .withColumn("__pos", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
