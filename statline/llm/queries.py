@@ -57,3 +57,26 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokencount import token_counts
 
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@_register("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import LanguageModel, identify
+
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, LanguageModel.fit(docs))
+
+
+@_register("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import QualityModel, classify
+
+    docs = _table(spark, sf_dir, "documents")
+    return classify(docs, QualityModel.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@_register("op7_near_copies")
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_copies
+
+    return near_copies(_table(spark, sf_dir, "documents"), words=2).drop("text_hash")
