@@ -101,3 +101,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vamana import nearest
 
     return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+@_register("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .licenses import scan
+
+    return scan(_table(spark, sf_dir, "documents")).withColumn("sentences", F.concat_ws(",", "sentences"))
