@@ -33,7 +33,7 @@ _CHUNK = regex.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _SPECIAL = "<|endoftext|>"
 #: Texts in which only single spaces and line ends part the words can be split by Arrow.
 _NOT_SIMPLE = r"^ |[ \n][ \n]|[ \n]$|[\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|<\|endoftext\|>"
-KEPT_CHUNKS, KEPT_PAIRS = 400_000, 1_000_000
+KEPT_CHUNKS, KEPT_PIECES, KEPT_PAIRS = 250_000, 400_000, 1_000_000
 
 _LOADED: dict[str, PrefixCounter] = {}
 
@@ -61,6 +61,7 @@ class PrefixCounter:
                 node = node.setdefault(letters[c], {})
             node[-1] = i
         self.stable: dict[tuple[int, int], bool] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple[int, ...]] = {}
 
     @classmethod
@@ -105,25 +106,43 @@ class PrefixCounter:
         """Token count of ``piece[:i]`` for every i, as one pre-token."""
         n = len(piece)
         count, last = [0] * (n + 1), [-1] * (n + 1)
+        tree, stable, is_stable = self.tree, self.stable, self._is_stable
         for i in range(n):
-            before, node = last[i], self.tree
+            before, node, more = last[i], tree, count[i] + 1
             for j in range(i, n):
                 node = node.get(piece[j])
                 if node is None:
                     break
                 token = node.get(-1)
-                if token is not None and last[j + 1] < 0 and (i == 0 or self._is_stable(before, token)):
-                    last[j + 1], count[j + 1] = token, count[i] + 1
+                if token is None or last[j + 1] >= 0:
+                    continue
+                if i:
+                    fits = stable.get((before, token))
+                    if fits is None:
+                        fits = is_stable(before, token)
+                    if not fits:
+                        continue
+                last[j + 1], count[j + 1] = token, more
         return count
 
     def _by_char(self, piece: str) -> list[int]:
         """Token counts after each character of one pre-token."""
+        known = self.pieces.get(piece)
+        if known is not None:
+            return known
         raw = piece.encode()
         count = self.prefixes(raw)
         if len(raw) == len(piece):
-            return count[1:]
-        ends = np.cumsum([len(c.encode()) for c in piece])
-        return [count[e] for e in ends]
+            known = count[1:]
+        else:
+            known, end = [], 0
+            for c in piece:
+                end += len(c.encode())
+                known.append(count[end])
+        if len(self.pieces) >= KEPT_PIECES:
+            self.pieces.clear()
+        self.pieces[piece] = known
+        return known
 
     def chunk(self, text: str) -> tuple[int, ...]:
         """Token counts of a chunk cut after each of its characters."""
