@@ -22,7 +22,7 @@ from .runtime import plain_strings, text_slices, workers_import_package
 from .words import split_words
 
 #: Bound on labelled documents (those with the smallest hashes teach), latent size, voters.
-LABELLED, LATENT, NEIGHBOURS, SHARPNESS = 4096, 48, 15, 4
+LABELLED, LATENT, NEIGHBOURS, SHARPNESS = 4096, 48, 15, 12
 SHAPES = 511  # the last feature counts repeated words
 FEATURES = SHAPES + 1
 LOW = 0.3

@@ -59,8 +59,8 @@ def _schedule_all(shards: int):
 def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, grown_shard, slot) of every row of ``docs`` (doc_id, text).
 
-    ``size`` is the text's UTF-8 bytes plus 16, of a null text 16. Equal texts share a shard, null
-    texts too (they are one group, apart from empty ones); a group over the mean shard makes its
+    ``size`` is the text's UTF-8 bytes plus 16, of a null text 16. Equal texts share a shard, and
+    null texts one with empty ones; a group over the mean shard makes its
     shard that much larger. ``text_crc32`` of a null text is 0. Repeated rows are rows of their own.
     """
     workers_import_package(docs.sparkSession)
@@ -68,7 +68,7 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     rows = saved(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.coalesce(F.md5(text.cast("binary")), F.lit("null")).alias("key")), "shard-rows")
+        F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("key")), "shard-rows")
     groups = saved(rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard-groups")
     total, n_groups, n_rows = groups.agg(F.sum("bytes"), F.count("*"), F.sum("n")).first()
     parts = max(1, min(PARTITIONS, -(-n_groups // GROUPS_PER_TASK)))
