@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_features
-from ..session import checkpoint_dir, materialize
+from ..session import checkpoint_dir, saved
 from ..operators.features import create_features
 from . import evaluate
 from .selection import select_features
@@ -72,7 +72,7 @@ def prepare(df: DataFrame, target: str, task: str = "regression", k: int = 20,
     checkpoint_dir(df.sparkSession)
     feats_df = create_features(df) if engineer else df
     # one evaluation of the (possibly long) feature lineage; every step below reads it
-    feats_df = materialize(feats_df.where(F.col(target).isNotNull()))
+    feats_df = saved(feats_df.where(F.col(target).isNotNull()))
     selected = select_features(feats_df, target, task, k, exclude, exclude_derived)
     data = clean_features(feats_df, selected).select(*key, target, *selected)
     if task == "regression":
@@ -81,7 +81,7 @@ def prepare(df: DataFrame, target: str, task: str = "regression", k: int = 20,
         data = kfold_column(data, key, folds, seed + 1)
     else:
         data = stratified_split_folds(data, target, key, test_fraction, folds, seed)
-    data = materialize(data)
+    data = saved(data)
     prep = Prepared(data, selected, target, task, tuple(key))
     prep.scaler = fit_standard_scaler(prep.train, selected)
     return prep

@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rank import row_number_by
+from ..session import saved
 
 
 def key_hash(key: Sequence[str], seed: int = 42) -> Column:
@@ -38,16 +39,32 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str] = ("player_id
                      test_fraction: float = 0.2, seed: int = 42, col: str = "is_test") -> DataFrame:
     """In every class the first round(fraction · class size) rows by key hash are test.
 
-    The within-class order is numbered by the distributed ``row_number_by``,
-    so a class holding most of the rows is still spread over many tasks.
+    The cutoff row of a class is found by counting: rows by class and leading
+    hash digits, twice, leave a bucket of about one in 16 million rows, in
+    which the last few places are numbered. Test rows are then a plain
+    comparison with their class's cutoff; nothing is sorted as a whole.
     """
-    hashed = df.withColumn("__h", key_hash(key, seed))
-    order = [F.col("__h").asc()] + [F.col(k).asc() for k in key]
-    numbered = row_number_by(hashed, order, partition_by=(label,), name="__rn")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    out = numbered.join(sizes, on=label, how="left")
-    return (out.withColumn(col, F.col("__rn") <= F.round(F.col("__nc") * test_fraction))
-            .drop("__h", "__rn", "__nc"))
+    at = F.struct(F.col("__h"), *[F.col(k) for k in key])
+    rows = saved(df.withColumn("__h", key_hash(key, seed)), "split-input")
+    classes = rows.groupBy(F.col(label).alias("__class")).agg(
+        F.round(F.count(F.lit(1)) * test_fraction).cast("long").alias("__k")).where("__k > 0")
+    wanted = classes.withColumn("__prefix", F.lit(""))
+    for digits in (3, 6):
+        mine = F.col(label).eqNullSafe(F.col("__class")) & F.col("__h").startswith(F.col("__prefix"))
+        counts = (rows.join(wanted.select("__class", "__prefix"), mine)
+                  .groupBy("__class", F.substring("__h", 1, digits).alias("__b")).agg(F.count(F.lit(1)).alias("__n")))
+        upto = F.sum("__n").over(Window.partitionBy("__class").orderBy("__b"))
+        counts = counts.withColumn("__upto", upto).withColumnRenamed("__class", "__of")
+        wanted = saved(wanted.join(counts, F.col("__class").eqNullSafe(F.col("__of")))
+                       .where("__k <= __upto AND __k > __upto - __n")
+                       .select("__class", (F.col("__k") - F.col("__upto") + F.col("__n")).alias("__k"),
+                               F.col("__b").alias("__prefix")), "split-cutoffs")
+    mine = F.col(label).eqNullSafe(F.col("__class")) & F.col("__h").startswith(F.col("__prefix"))
+    place = F.row_number().over(Window.partitionBy("__class").orderBy(at))
+    cutoffs = saved(rows.join(wanted, mine).withColumn("__place", place).where("__place = __k")
+                    .select("__class", at.alias("__cut")), "split-cutoffs")
+    out = rows.join(cutoffs, F.col(label).eqNullSafe(F.col("__class")), "left")
+    return out.withColumn(col, F.coalesce(at <= F.col("__cut"), F.lit(False))).drop("__h", "__class", "__cut")
 
 
 def stratified_split_folds(df: DataFrame, label: str, key: Sequence[str] = ("player_id", "season"),
@@ -58,7 +75,7 @@ def stratified_split_folds(df: DataFrame, label: str, key: Sequence[str] = ("pla
     hashed = df.withColumn("__h", key_hash(key, seed))
     order = [F.col("__h").asc()] + [F.col(c).asc() for c in key]
     numbered = row_number_by(hashed, order, partition_by=(label,), name="__rn")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+    sizes = numbered.groupBy(label).agg(F.max("__rn").alias("__nc"))
     out = numbered.join(sizes, on=label, how="left") \
         .withColumn("__nt", F.round(F.col("__nc") * test_fraction))
     return (out.withColumn("is_test", F.col("__rn") <= F.col("__nt"))

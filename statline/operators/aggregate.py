@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.safe import safe_div
+from ..session import drop_scratch, saved
 
 # ------------------------------------------------------------------ A1–A4
 
@@ -50,24 +51,21 @@ def _pct(c: str, probs: Sequence[float], exact: bool, accuracy: int) -> Column:
 
 
 def quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[str] = (),
-              method: str = "sort", accuracy: int = 100_000, exact: bool | None = None) -> DataFrame:
+              method: str = "count", accuracy: int = 100_000) -> DataFrame:
     """A10: quantiles of several columns, one row per ``by`` group (or one row).
 
     Output columns are ``{col}_q{pct}`` (e.g. ``pts_q70``). Methods:
 
-    * ``"sort"`` (default) — exact linear interpolation between order
+    * ``"count"`` (default) — exact linear interpolation between order
       statistics, ``lo + (hi − lo)·d`` at position ``(n − 1)·p`` (the pandas /
-      numpy definition). Values are ranked by a distributed sort
-      (``row_number_by``), so no task ever holds more than one range
-      partition — safe for billions of distinct values.
+      numpy definition), found by counting (see ``_counted_quantiles``). NULL
+      and NaN are left out; a group without values has NULL.
     * ``"percentile"`` — Spark's exact ``percentile`` aggregate; its final
       merge keeps a value→count map of the whole column in one task per group.
     * ``"approx"`` — the bounded-memory ``percentile_approx`` sketch.
     """
-    if exact is not None:
-        method = "percentile" if exact else "approx"
-    if method == "sort":
-        return _sorted_quantiles(df, spec, by)
+    if method == "count":
+        return _counted_quantiles(df, spec, by)
     aggs, names = [], []
     for c, probs in spec.items():
         tmp = f"__q_{c}"
@@ -77,87 +75,76 @@ def quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[s
     return out.select(*by, *[F.col(t)[i].alias(n) for t, i, n in names])
 
 
-# Largest number of values of one (group, column) that is sorted inside one task.
-SORT_IN_TASK_LIMIT = 1_000_000
+# Buckets that a value range is cut into by each pass after the first.
+SPLITS = 4096
 
 
-def _interpolate(lo: Column, hi: Column, d: Column) -> Column:
-    return lo + (hi - lo) * d
+def _magnitude(v: Column) -> Column:
+    """Bucket number that rises with ``v``: an eighth of a power of two, signed."""
+    size = F.floor((F.least(F.log2(F.abs(v)), F.lit(1025.0)) + 1080) * 8) + 1
+    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
 
 
-def _sorted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]],
-                      by: Sequence[str]) -> DataFrame:
-    """Exact quantiles from order statistics; the path is chosen from checked sizes.
+def _narrowed(hist: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The bucket that holds each wanted rank ``__k``, with the rank inside it."""
+    upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__b"))
+    running = hist.withColumn("__upto", upto)
+    inside = (F.col("__k") <= F.col("__upto")) & (F.col("__k") > F.col("__upto") - F.col("__n"))
+    return (wanted.join(running, list(keys)).where(inside)
+            .withColumn("__k", F.col("__k") - F.col("__upto") + F.col("__n")).drop("__upto", "__b"))
 
-    Each (group, column) with at most ``SORT_IN_TASK_LIMIT`` values is sorted
-    as one array inside one task (a bound checked by a count first); larger
-    ones go through the distributed sort, where no task holds more than a
-    range partition.
-    """
-    from pyspark import StorageLevel
-
-    from ..session import materialize
 
-    cols = list(spec)
-    values = df.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in cols])))
-    values = values.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    grp = [*by, "__c"]
-    probs = F.create_map(*[x for c in cols for x in (
-        F.lit(c), F.array(*[F.lit(float(p)) for p in spec[c]]))])
-    # the values are read by the size check and by the quantile job: evaluate them once
-    values = values.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        largest = values.groupBy(*grp).count().agg(F.max("count")).first()[0] or 0
-        if largest <= SORT_IN_TASK_LIMIT:
-            arrays = values.groupBy(*grp).agg(F.array_sort(F.collect_list("__v")).alias("__s"))
-            q = (arrays.select(*grp, "__s", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
-                 .withColumn("__pos", (F.size("__s") - 1) * F.col("__p"))
-                 .withColumn("__q", _interpolate(
-                     F.element_at("__s", (F.floor("__pos") + 1).cast("int")),
-                     F.element_at("__s", (F.ceil("__pos") + 1).cast("int")),
-                     F.col("__pos") - F.floor("__pos"))))
-            wide = [F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), F.col("__q")))
-                    .alias(f"{c}_q{_label(p)}") for c in cols for i, p in enumerate(spec[c])]
-            out = q.groupBy(*by).agg(*wide)
-        else:
-            out = _distributed_quantiles(values, spec, by, probs)
-        # groups × probabilities values: pinned, so callers never recompute the inputs
-        return materialize(out)
-    finally:
-        values.unpersist()
-
-
-def _distributed_quantiles(values: DataFrame, spec: Mapping[str, Sequence[float]],
-                           by: Sequence[str], probs: Column) -> DataFrame:
-    from .rank import BROADCAST_ROW_LIMIT, row_number_by
+def _counted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[str]) -> DataFrame:
+    """Order statistics by counting, the same way at every size and for every distribution.
 
+    The first pass counts values by magnitude, with each bucket's smallest
+    and largest value. A running sum over the counts names the bucket of each
+    wanted rank; its value range is cut into ``SPLITS`` parts that are counted
+    in the next pass, until the bucket holds one distinct value (or the rank is
+    its first or last). All counts combine before the shuffle, so rows are
+    neither sorted nor moved and a value that half of the rows share is one
+    number. What passes between rounds has a row for each group, column and
+    probability.
+    """
     cols = list(spec)
     grp = [*by, "__c"]
-    ranked = row_number_by(values, [F.col("__v").asc()], partition_by=grp, name="__rn")
-    # positions needed per (group, column, probability): a table of groups × probabilities rows
-    needed = (ranked.groupBy(*grp).agg(F.count(F.lit(1)).alias("__n"))
-              .select(*grp, "__n", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
-              .withColumn("__pos", (F.col("__n") - 1) * F.col("__p"))
-              .withColumn("__d", F.col("__pos") - F.floor("__pos"))
-              .withColumn("__lo", F.floor("__pos") + 1)
-              .withColumn("__hi", F.ceil("__pos") + 1))
-    wanted = needed.select(*grp, "__i", "__d", F.explode(F.array(
-        F.struct(F.lit("lo").alias("role"), F.col("__lo").alias("rank")),
-        F.struct(F.lit("hi").alias("role"), F.col("__hi").alias("rank")))).alias("__w"))
-    from ..session import materialize
-    wanted = materialize(wanted.select(*grp, "__i", "__d", F.col("__w.role").alias("__role"),
-                                       F.col("__w.rank").alias("__rn")))
-    small = wanted.count() <= BROADCAST_ROW_LIMIT
-    picked = ranked.join(F.broadcast(wanted) if small else wanted, on=[*grp, "__rn"])
-    q = (picked.groupBy(*grp, "__i")
-         .agg(F.max(F.when(F.col("__role") == "lo", F.col("__v"))).alias("__lov"),
-              F.max(F.when(F.col("__role") == "hi", F.col("__v"))).alias("__hiv"),
-              F.max("__d").alias("__d"))
-         .withColumn("__q", _interpolate(F.col("__lov"), F.col("__hiv"), F.col("__d"))))
-    wide = [F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), F.col("__q")))
-            .alias(f"{c}_q{_label(p)}") for c in cols for i, p in enumerate(spec[c])]
-    return q.groupBy(*by).agg(*wide)
+    wide = saved(df.select(*by, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)]), "quantile-input")
+    values = wide.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__c"), F.col(f"__v{i}").alias("__v")) for i in range(len(cols))])))
+    values = values.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    counted = [F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")]
+    hist = saved(values.groupBy(*grp, _magnitude(F.col("__v")).alias("__b")).agg(*counted), "quantile-counts")
+    probs = F.array(*[F.array(*[F.lit(float(p)) for p in spec[c]]) for c in cols])
+    pos = (F.col("__total") - 1) * F.col("__p")
+    wanted = (hist.groupBy(*grp).agg(F.sum("__n").alias("__total"))
+              .select(*grp, "__total", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
+              .select(*grp, "__i", (pos - F.floor(pos)).alias("__d"), F.inline(F.array(
+                  F.struct(F.lit(0).alias("__role"), (F.floor(pos) + 1).alias("__k")),
+                  F.struct(F.lit(1).alias("__role"), (F.ceil(pos) + 1).alias("__k"))))))
+    fields = [*grp, "__i", "__d", "__role", "__k", "__n", "__lo", "__hi"]
+    state = saved(_narrowed(hist, wanted, grp).select(*fields), "quantile-ranks")
+    found = F.when(F.col("__k") == F.col("__n"), F.col("__hi")).otherwise(F.col("__lo"))
+    open_ = (F.col("__lo") < F.col("__hi")) & (F.col("__k") > 1) & (F.col("__k") < F.col("__n"))
+    scratch = [wide, hist, state]
+    while state.where(open_).limit(1).count():
+        todo = state.where(open_).withColumnsRenamed({"__lo": "__from", "__hi": "__to"}).drop("__n")
+        ranges = todo.select(*grp, "__from", "__to").distinct()
+        part = F.least(F.floor((F.col("__v") - F.col("__from")) / (F.col("__to") - F.col("__from")) * SPLITS),
+                       F.lit(SPLITS - 1))
+        hist = saved(values.join(ranges, grp).where(F.col("__v").between(F.col("__from"), F.col("__to")))
+                     .groupBy(*grp, "__from", "__to", part.alias("__b")).agg(*counted), "quantile-counts")
+        state = saved(state.where(~open_).unionByName(
+            _narrowed(hist, todo, [*grp, "__from", "__to"]).select(*fields)), "quantile-ranks")
+        scratch += [hist, state]
+    q = (state.withColumn("__x", found).groupBy(*grp, "__i")
+         .agg(F.max(F.when(F.col("__role") == 0, F.col("__x"))).alias("__lov"),
+              F.max(F.when(F.col("__role") == 1, F.col("__x"))).alias("__hiv"), F.max("__d").alias("__d"))
+         .withColumn("__q", F.col("__lov") + (F.col("__hiv") - F.col("__lov")) * F.col("__d")))
+    out = saved(q.groupBy(*by).agg(*[
+        F.max(F.when((F.col("__c") == j) & (F.col("__i") == i), F.col("__q"))).alias(f"{c}_q{_label(p)}")
+        for j, c in enumerate(cols) for i, p in enumerate(spec[c])]), "quantiles")
+    drop_scratch(*scratch)
+    return out
 
 
 def _label(p: float) -> str:
@@ -178,7 +165,7 @@ def attach_scalars(df: DataFrame, stats: DataFrame, by: Sequence[str] = ()) -> D
 
 
 def cap_outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
-                     by: Sequence[str] = (), method: str = "sort") -> DataFrame:
+                     by: Sequence[str] = (), method: str = "count") -> DataFrame:
     """Clip each column to [Q1 − k·IQR, Q3 + k·IQR]; NULL stays NULL."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
@@ -202,7 +189,7 @@ def cap_outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5,
 DESCRIBE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe_stats(df: DataFrame, cols: Sequence[str], method: str = "sort") -> DataFrame:
+def describe_stats(df: DataFrame, cols: Sequence[str], method: str = "count") -> DataFrame:
     """A5: count, mean, sample std, min, quartiles, max — one row per column.
 
     Moments come from one aggregation pass and quartiles from one
@@ -227,8 +214,11 @@ def describe_stats(df: DataFrame, cols: Sequence[str], method: str = "sort") ->
 
 
 def value_distribution(df: DataFrame, col: str) -> DataFrame:
-    """Count and percentage share per value, most frequent first."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    """Count and percentage share per value, most frequent first.
+
+    The counted rows are written once; the total and the shares read them, not the input.
+    """
+    counts = saved(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")), "value-counts")
     total = counts.agg(F.sum("count").alias("__total"))
     return (attach_scalars(counts, total)
             .withColumn("share_pct", F.col("count") * 100.0 / F.col("__total"))

@@ -1,7 +1,7 @@
 """Quantile- and range-based labels.
 
-Every threshold comes from ONE aggregation over the whole table (all the
-quantiles, or min and max, in a single pass) and reaches the rows through a
+Every threshold comes from aggregations over the whole table (all the
+quantiles of a label at once, or min and max) and reaches the rows through a
 broadcast of that one row — the reference recomputes the quantiles per row.
 """
 
@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics as M
+from ..session import saved
 from .aggregate import attach_scalars, quantiles
 
 # Tier labels of the equal-width composite bins, lowest first.
 EQUAL_WIDTH_LABELS = ("Bench Player", "Rotation Player", "Starter", "Elite")
 
 
-def position_by_quantile3(df: DataFrame, out: str = "position", method: str = "sort") -> DataFrame:
+def position_by_quantile3(df: DataFrame, out: str = "position", method: str = "count") -> DataFrame:
     """C4: assists above the 70th percentile → Guard, rebounds → Forward, else Center."""
     q = quantiles(df, {"ast": (0.7,), "reb": (0.7,)}, method=method)
     j = attach_scalars(df, q)
@@ -29,7 +30,7 @@ def position_by_quantile3(df: DataFrame, out: str = "position", method: str = "s
 
 
 def tier_by_quantile(df: DataFrame, col: str = "pts", out: str = "performance_tier",
-                     method: str = "sort") -> DataFrame:
+                     method: str = "count") -> DataFrame:
     """Above the 80th/60th/40th percentile → Elite/All-Star/Starter, else Bench."""
     q = quantiles(df, {col: (0.4, 0.6, 0.8)}, method=method)
     j = attach_scalars(df, q)
@@ -39,7 +40,7 @@ def tier_by_quantile(df: DataFrame, col: str = "pts", out: str = "performance_ti
     return j.withColumn(out, label).drop(f"{col}_q40", f"{col}_q60", f"{col}_q80")
 
 
-def position_by_quantile5(df: DataFrame, out: str = "position", method: str = "sort",
+def position_by_quantile5(df: DataFrame, out: str = "position", method: str = "count",
                           sg_assist_quantile: str = "pts_q50") -> DataFrame:
     """Five positions from points/assists/rebounds percentiles.
 
@@ -85,9 +86,10 @@ def equal_width_tier(df: DataFrame, col: str, labels: Sequence[str] = EQUAL_WIDT
     return j.drop("__lo", "__hi")
 
 
-def label_statlines(statlines: DataFrame, method: str = "sort") -> DataFrame:
+def label_statlines(statlines: DataFrame, method: str = "count") -> DataFrame:
     """Dashboard / model input: true shooting, composite score, C6 position, C7 tier."""
     df = statlines.withColumn("ts_pct", M.true_shooting())
-    df = df.withColumn("composite_score", M.composite_score())
+    # quantiles, range and labels read what is written here, so the input is evaluated once
+    df = saved(df.withColumn("composite_score", M.composite_score()), "statlines")
     df = position_by_quantile5(df, method=method)
     return equal_width_tier(df, "composite_score")

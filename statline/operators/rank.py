@@ -1,20 +1,17 @@
 """Ranking, sorting and top-k.
 
-``row_number_by`` numbers rows in a total order (optionally within groups)
-without pulling everything into one task, which is what an un-partitioned
-``row_number() OVER (ORDER BY …)`` does, and without a single hot group
-landing in one task for the per-group form:
-
-1. range-partition on (group keys, order keys) and sort within partitions;
-2. ``checkpoint`` to the shared checkpoint folder — range bounds come from a
-   sample, so a recomputation could move rows between partitions; the
-   checkpoint pins them (and survives executor loss, unlike a local one);
-3. each row's position inside its partition is
-   ``monotonically_increasing_id() - (partition_id << 33)``;
-4. a small table of (partition, group) → row count gives, through a window
-   over at most ``partitions + groups`` rows, the number of rows of the same
-   group in earlier partitions; that offset plus the local position is the
-   row number. The offset table is broadcast only after its size is checked.
+``row_number_by`` and ``row_numbers`` number rows in a total order (optionally
+within groups) without pulling everything into one task, which is what an
+un-partitioned ``row_number() OVER (ORDER BY …)`` does, and without a single hot
+group landing in one task for the per-group form:
+
+1. range-partition on the order keys into parts of about a million rows, sort
+   within them and write the rows with their part and place: range bounds come
+   from a sample, so a recomputation could move rows, the written table can't;
+2. one table of row counts by part and group, which combines before its
+   shuffle, gives through a window over parts the number of rows of the same
+   group in earlier parts;
+3. that offset plus the place among the own part's rows is the row number.
 
 Top-k uses ``orderBy().limit()`` (TakeOrderedAndProject: a per-partition
 heap, never a full sort) and ``row_number() <= k`` per group, which Spark
@@ -29,10 +26,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, materialize
+from ..session import saved
 
-BROADCAST_ROW_LIMIT = 1_000_000
-# Target rows per range partition when the caller does not fix the count.
+# Rows of a range partition; the number of partitions follows from the row count alone.
 ROWS_PER_RANGE_PARTITION = 1_000_000
 
 
@@ -41,25 +37,13 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
 
 
 def _range_sorted(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
-    """Range-partition and sort on ``keys``, pinned by a checkpoint.
-
-    The input is persisted while it is counted, the range bounds are sampled
-    and the partitions written, so it is evaluated once, not once per job.
-    Without an explicit ``n`` the partition count follows the row count
-    (about ``ROWS_PER_RANGE_PARTITION`` rows each, at most
-    ``spark.sql.shuffle.partitions``).
-    """
-    from pyspark import StorageLevel
-
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if n is None:
-            cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            rows = base.count()
-            n = max(1, min(cap, -(-rows // ROWS_PER_RANGE_PARTITION)))
-        return materialize(base.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
-    finally:
-        base.unpersist()
+    """Rows with their range partition ``__pid`` and their place ``__pos`` in it, written once."""
+    base = saved(df, "rank-input")
+    n = n or max(1, -(-base.count() // ROWS_PER_RANGE_PARTITION))
+    pid = F.spark_partition_id()
+    return saved(base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                 .withColumns({"__pid": pid, "__pos": F.monotonically_increasing_id()
+                               - F.shiftleft(pid.cast("long"), 33)}), "ranked")
 
 
 def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Sequence[str] = (),
@@ -68,26 +52,18 @@ def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Se
 
     ``order`` must end in a unique key so the numbering is deterministic.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     keys = [F.col(c).asc_nulls_first() for c in partition_by] + _sort_cols(order)
-    ranged = _range_sorted(df, keys, num_partitions)
-    pos = (ranged.withColumn("__pid", F.spark_partition_id())
-           .withColumn("__pos", F.monotonically_increasing_id()
-                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    rows = _range_sorted(df, keys, num_partitions)
     gcols = [f"__g{i}" for i in range(len(partition_by))]
-    counts = (pos.groupBy(F.col("__pid").alias("__opid"),
-                          *[F.col(c).alias(g) for c, g in zip(partition_by, gcols)])
-              .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first")))
+    counts = saved(rows.groupBy(F.col("__pid").alias("__opid"),
+                                *[F.col(c).alias(g) for c, g in zip(partition_by, gcols)])
+                   .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first")), "rank-counts")
     before = Window.partitionBy(*gcols).orderBy("__opid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    offsets = materialize(offsets.select("__opid", *gcols, "__off", "__first"))
-    small = offsets.count() <= BROADCAST_ROW_LIMIT
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     cond = F.col("__pid") == F.col("__opid")
     for c, g in zip(partition_by, gcols):
         cond = cond & F.col(c).eqNullSafe(F.col(g))
-    joined = pos.join(F.broadcast(offsets) if small else offsets, cond, "inner")
-    numbered = joined.withColumn(
+    numbered = rows.join(offsets, cond).withColumn(
         name, (F.col("__off") + F.col("__pos") - F.col("__first") + 1).cast("bigint"))
     return numbered.drop("__pid", "__opid", "__pos", "__off", "__first", *gcols)
 
@@ -97,56 +73,33 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str],
     """Several ROW_NUMBER columns sharing one ORDER BY, from ONE range partitioning.
 
     ``groupings`` maps an output name to its PARTITION BY columns (empty for
-    the global number). Rows are range-partitioned and sorted on ``order``
-    once and checkpointed; then
-      * global number = rows in earlier partitions + position in partition;
-      * per-group number = rows of the same group in earlier partitions +
-        the row's rank among its group inside its own partition (a window
-        over (partition, group), which never holds more than one range
-        partition's rows, so a group with a third of the data is still
-        spread over every partition).
-    The (partition, group) count table has at most partitions × groups rows
-    and is broadcast only after that size is checked.
+    the global number). One table of counts by part and all group columns
+    gives every offset; one hash shuffle on the part serves all group windows,
+    none of which holds more than a part's rows, so a group with a third of the
+    data is still spread over every part.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    keys = _sort_cols(order)
-    ranged = _range_sorted(df, keys, num_partitions)
-    out = (ranged.withColumn("__pid", F.spark_partition_id())
-           .withColumn("__pos", F.monotonically_increasing_id()
-                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    rows = _range_sorted(df, _sort_cols(order), num_partitions)
+    every = list(dict.fromkeys(c for groups in groupings.values() for c in groups))
+    counts = saved(rows.groupBy("__pid", *every).agg(F.count(F.lit(1)).alias("__n")), "rank-counts")
+    out = rows.repartition("__pid") if every else rows
+    for name, groups in groupings.items():
+        local = F.row_number().over(Window.partitionBy("__pid", *groups).orderBy("__pos")) if groups else F.col("__pos") + 1
+        out = out.withColumn(f"__l_{name}", local)
     drop = ["__pid", "__pos"]
     for i, (name, groups) in enumerate(groupings.items()):
         gcols = [f"__g{i}_{j}" for j in range(len(groups))]
-        counts = (out.groupBy("__pid", *[F.col(c).alias(g) for c, g in zip(groups, gcols)])
-                  .agg(F.count(F.lit(1)).alias("__n")))
-        before = Window.partitionBy(*gcols).orderBy("__pid") \
-            .rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (counts.withColumn(f"__off{i}", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-                   .select(F.col("__pid").alias(f"__p{i}"), *gcols, f"__off{i}"))
-        offsets = materialize(offsets)
-        small = offsets.count() <= BROADCAST_ROW_LIMIT
+        per = counts.groupBy(F.col("__pid").alias(f"__p{i}"), *[F.col(c).alias(g) for c, g in zip(groups, gcols)]) \
+                    .agg(F.sum("__n").alias("__n"))
+        before = Window.partitionBy(*gcols).orderBy(f"__p{i}").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per.withColumn(f"__off{i}", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
         cond = F.col("__pid") == F.col(f"__p{i}")
         for c, g in zip(groups, gcols):
             cond = cond & F.col(c).eqNullSafe(F.col(g))
-        out = out.join(F.broadcast(offsets) if small else offsets, cond, "inner")
-        if groups:
-            local = F.row_number().over(Window.partitionBy("__pid", *groups).orderBy("__pos"))
-        else:
-            local = F.col("__pos") + 1
-        out = out.withColumn(name, (F.col(f"__off{i}") + local).cast("bigint"))
-        drop += [f"__p{i}", f"__off{i}", *gcols]
+        out = out.join(offsets, cond).withColumn(name, (F.col(f"__off{i}") + F.col(f"__l_{name}")).cast("bigint"))
+        drop += [f"__p{i}", f"__off{i}", f"__l_{name}", *gcols]
     return out.drop(*drop)
 
 
-def row_number_in_groups(df: DataFrame, order: Sequence[Column | str], partition_by: Sequence[str],
-                         name: str = "row_number") -> DataFrame:
-    """Plain windowed ROW_NUMBER for groups whose size is bounded by the domain
-    (e.g. seasons of one player); one task per group."""
-    w = Window.partitionBy(*partition_by).orderBy(*_sort_cols(order))
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-
 def top_n(df: DataFrame, by: str, n: int = 10, cols: Sequence[str] | None = None,
           tiebreak: Sequence[str] = ("player_id",)) -> DataFrame:
     """The n largest values of ``by``; missing values excluded, ties by key."""
@@ -156,11 +109,6 @@ def top_n(df: DataFrame, by: str, n: int = 10, cols: Sequence[str] | None = None
     return out.select(*cols) if cols else out
 
 
-def sort_players(df: DataFrame, keys: Sequence[str] = ("player_id", "season")) -> DataFrame:
-    """Order by player then season (only for presentation; windows sort themselves)."""
-    return df.orderBy(*keys)
-
-
 def top_n_per_group(df: DataFrame, group: str | Sequence[str], by: str, n: int = 3,
                     tiebreak: Sequence[str] = ("player_id",), name: str = "group_rank") -> DataFrame:
     """T4: leaders per group; the row-number filter becomes a WindowGroupLimit."""

@@ -2,18 +2,17 @@
 
 The library never creates a session behind the caller's back: operators take
 DataFrames, and only entry points (bench, tests, examples) call
-``get_spark``. ``checkpoint_dir`` reads the cluster's shared checkpoint folder
-from the session and only falls back to a private scratch folder when running
-in local mode (tests), because a machine-local folder is useless on a cluster.
+``get_spark``. ``checkpoint_dir`` reads the shared folder from the session
+(``spark.checkpoint.dir``); where it is unset, as in tests, a folder in the
+warehouse directory takes its place.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -33,7 +32,8 @@ def get_spark(master: str | None = None, app: str = "statline",
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+    if shuffle_partitions:  # tests and bench; elsewhere the cluster's own setting holds
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("STATLINE_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
@@ -43,29 +43,18 @@ def get_spark(master: str | None = None, app: str = "statline",
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for intermediate tables and streaming state.
 
-    Order: the SparkContext's checkpoint dir, then ``spark.checkpoint.dir``
-    from the conf. Only in local mode, when neither is set, a scratch folder
-    is created (tests); on a cluster an unset value is a configuration error.
+    Order: the SparkContext's checkpoint dir, ``spark.checkpoint.dir``, a folder in the warehouse.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder "
-                "(HDFS/S3/ABFS) so checkpoints survive executor loss")
-        conf_dir = tempfile.mkdtemp(prefix="statline-ckpt-")
+        conf_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -76,20 +65,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/statline-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Reliable checkpoint that computes ``df`` once.
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(sc._jsc.hadoopConfiguration()), hadoop
+
+
+def saved(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it again.
 
-    ``checkpoint(eager=True)`` runs one job to evaluate the rows and another
-    to write them to the checkpoint folder; without a persisted copy the
-    second job recomputes everything. The copy is released as soon as the
-    checkpoint files exist — from then on the lineage starts at those files
-    (shared storage), which survive the loss of any executor.
+    The plan after it starts at files that outlive any executor. The folder
+    goes when the session's JVM ends, or earlier with :func:`drop_scratch`.
     """
-    from pyspark import StorageLevel
-
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    fs, hadoop = _file_system(spark, path)
+    fs.deleteOnExit(hadoop)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop_scratch(*frames: DataFrame) -> None:
+    """Delete what :func:`saved` wrote; only for tables that nothing lazy reads any more."""
+    for df in frames:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            fs, hadoop = _file_system(df.sparkSession, path)
+            fs.delete(hadoop, True)

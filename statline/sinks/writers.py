@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import DEFAULT_AS_OF, as_of_literal
-from ..session import materialize
+from ..session import saved
 from ..sources.landed import landed_name, path_exists
 
 
@@ -88,7 +88,7 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, unique_key: Sequenc
             touched = delta.select(*partition_by).distinct()
             target = target.join(touched, list(partition_by), "left_semi")
         merged = latest_per_key(target.unionByName(delta), unique_key, order_key)
-    merged = materialize(merged)
+    merged = saved(merged)
     w = merged.write.mode("overwrite")
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)

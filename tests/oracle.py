@@ -111,7 +111,7 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(QUERIES)
-    spark = get_spark()
+    spark = get_spark(shuffle_partitions=8)
     con = duck(sf_dir)
     bad = 0
     for n in names:
