@@ -6,9 +6,9 @@ import os
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from ..session import scratch_path
+from ..session import drop_scratch, saved  # noqa: F401  (scratch tables of every operator)
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -27,33 +27,6 @@ def workers_import_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder of ``spark.checkpoint.dir`` and read it again.
-
-    The plan after it starts at files that outlive any executor. The folder goes when the
-    session's JVM ends, or earlier with :func:`drop_scratch`.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch_path = path
-    return out
-
-
-def drop_scratch(*frames: DataFrame) -> None:
-    """Delete what :func:`saved` wrote for ``frames``; only for tables that nothing lazy reads any more."""
-    for df in frames:
-        path = getattr(df, "_scratch_path", None)
-        if path:
-            sc = df.sparkSession.sparkContext
-            hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def text_slices(batches, column: str = "text", most: int = SLICE_BYTES):
     """Yield slices of record batches whose ``column`` holds at most ``most`` bytes, one row at least."""
     import numpy as np

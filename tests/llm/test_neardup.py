@@ -127,3 +127,14 @@ def test_without_copies_keeps_one_row(odd, clashing):
             if d is not None:
                 seen.add(d)
     assert sorted((r.doc_id for r in out.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_parity_never_exceeds_the_difference():
+    rng = np.random.default_rng(6)
+    for n in (30, 500, 5000, 40_000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[n // 10:], rng.integers(0, 2**63, n // 12, dtype=np.uint64))))
+        x, y = neardup.parity(a), neardup.parity(b)
+        differ = len(np.setxor1d(a, b))
+        ones = int(np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)).sum())
+        assert 0.8 * differ <= ones <= differ
