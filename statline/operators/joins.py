@@ -75,19 +75,33 @@ def attach_players(players: DataFrame, metrics: DataFrame, min_games: int = 10,
             .where(F.col("games_played") >= min_games))
 
 
+def attach_players_by_season(players: DataFrame, metrics: DataFrame, min_games: int = 5) -> DataFrame:
+    """J2 at the (player, season) grain: at most one roster row for each metrics row.
+
+    The roster row of that season counts, else the player's latest; of two
+    rows of one season the one with the larger team_id. Players without a
+    roster row drop out. ``season`` is the metrics' season.
+    """
+    card = F.struct("team_id", "team_name", "player_name")
+    own = players.groupBy("player_id", "season").agg(F.max(card).alias("__own"))
+    latest = own.groupBy("player_id").agg(F.max_by("__own", "season").alias("__latest"))
+    out = (metrics.where(F.col("games_played") >= min_games)
+           .join(own, ["player_id", "season"], "left").join(latest, "player_id")
+           .withColumn("__card", F.coalesce("__own", "__latest")))
+    return out.select(*metrics.columns, "__card.*")
+
+
+def career_advanced(advanced: DataFrame) -> DataFrame:
+    """Staged advanced statistics of all seasons as one row per player: games summed, the rest weighted by games."""
+    games = F.col("games_played_advanced")
+    rest = [f.name for f in advanced.schema.fields
+            if f.name not in ("player_id", "games_played_advanced") and f.dataType.typeName() in ("double", "float")]
+    return advanced.groupBy("player_id").agg(
+        F.sum(games).alias("games_played_advanced"),
+        *[safe_div(F.sum(F.col(c) * games), F.sum(F.when(F.col(c).isNotNull(), games))).alias(c) for c in rest])
+
+
 def season_fan_out_audit(df: DataFrame, keys: Sequence[str] = ("player_id",)) -> DataFrame:
     """Keys with more than one row — the rows a join on ``keys`` would multiply."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_per_key"))
             .where(F.col("rows_per_key") > 1))
-
-
-def hwm_filter(delta: DataFrame, target: DataFrame, col: str = "data_loaded_at",
-               floor: str = "0001-01-01 00:00:00") -> DataFrame:
-    """Rows of ``delta`` newer than the target's high-water mark.
-
-    The HWM is a one-row aggregate; an empty target yields the floor instead
-    of NULL (which would load nothing).
-    """
-    hwm = target.agg(F.coalesce(F.max(col), F.to_timestamp_ntz(F.lit(floor))).alias("__hwm"))
-    return (delta.crossJoin(F.broadcast(hwm)).where(F.col(col) > F.col("__hwm"))
-            .drop("__hwm"))

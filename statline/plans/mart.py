@@ -1,8 +1,9 @@
 """Staging → intermediate → mart (R2) as composable DataFrame functions.
 
 ``player_performance`` is the intermediate model (per player-season by
-default; ``grain='career'`` reproduces the per-player form, with the advanced
-table restricted to one season so the join cannot fan out). ``mart_summary``
+default, each with one roster row; ``grain='career'`` is the per-player form,
+with the advanced table of all seasons weighted by games, so that no join fans
+out). ``mart_summary``
 adds positions, tiers, scores and the three rankings.
 """
 
@@ -17,7 +18,7 @@ from ..functions import metrics, rules
 from ..operators.aggregate import aggregate_game_logs
 from ..operators.clean import (DEFAULT_AS_OF, as_of_literal, filter_active, stage_advanced,
                                stage_game_logs, stage_players)
-from ..operators.joins import attach_advanced, attach_players
+from ..operators.joins import attach_advanced, attach_players, attach_players_by_season, career_advanced
 from ..operators.rank import row_numbers
 
 PERFORMANCE_COLUMNS = (
@@ -52,25 +53,19 @@ def player_base(players: DataFrame, as_of: str | _dt.datetime = DEFAULT_AS_OF) -
 
 def player_performance(players: DataFrame, game_logs: DataFrame, advanced: DataFrame,
                        grain: str = "season", min_games: int | None = None,
-                       advanced_season: str = "2000-01",
                        as_of: str | _dt.datetime = DEFAULT_AS_OF) -> DataFrame:
     """Intermediate model: one row per player-season (or per player)."""
     base = player_base(players, as_of)
     logs = stage_game_logs(game_logs)
     adv = stage_advanced(advanced)
     if grain == "season":
-        keys = ("player_id", "season")
-        base = base.drop("season")
-        min_games = 5 if min_games is None else min_games
+        derived = attach_advanced(aggregate_game_logs(logs, ("player_id", "season")), adv, ("player_id", "season"))
+        final = attach_players_by_season(base, derived, 5 if min_games is None else min_games)
     elif grain == "career":
-        keys = ("player_id",)
-        adv = adv.where(F.col("season") == advanced_season).drop("season")
-        min_games = 10 if min_games is None else min_games
+        derived = attach_advanced(aggregate_game_logs(logs, ("player_id",)), career_advanced(adv), ("player_id",))
+        final = attach_players(base, derived, min_games=10 if min_games is None else min_games)
     else:
         raise ValueError(f"grain must be 'season' or 'career', not {grain!r}")
-    game_stats = aggregate_game_logs(logs, keys)
-    derived = attach_advanced(game_stats, adv, keys)
-    final = attach_players(base, derived, min_games=min_games)
     return (final.withColumn("data_processed_at", as_of_literal(as_of))
             .select(*PERFORMANCE_COLUMNS))
 

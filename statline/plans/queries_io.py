@@ -79,7 +79,7 @@ def _csv_roundtrip(spark, d):
 
 
 register("csv_roundtrip", with_fixtures(
-    f"WITH {STAGED_PLAYERS_SQL.strip()}\nSELECT * FROM staged_players", "players"))(_csv_roundtrip)
+    f"WITH {STAGED_PLAYERS_SQL}\nSELECT * FROM staged_players", "players"))(_csv_roundtrip)
 
 FRESH_AS_OF = "2024-01-28 00:00:00"
 

@@ -9,6 +9,7 @@ from ..functions import rules
 from ..ml import evaluate, models, selection, split
 from ..operators import classify, features
 from ..session import scratch_path
+from .rule_sql import position_case
 from .catalog import fx, quantile_sql, register, with_fixtures
 from .queries_features import STATLINE_COLS
 from .queries_summary import DASH_SQL, LABELLED_SQL, dash, labelled
@@ -175,13 +176,9 @@ def rule_predictions(spark, d):
 RULE_PRED_SQL = f"""WITH q AS (SELECT {quantile_sql('statlines', 'ast', 0.7)} AS aq, {quantile_sql('statlines', 'reb', 0.7)} AS rq),
 rp AS (SELECT player_id, season,
   CASE WHEN ast > aq THEN 'Guard' WHEN reb > rq THEN 'Forward' ELSE 'Center' END AS truth,
-  CASE WHEN ast >= 5.0E0 AND reb < 8.0E0 AND pts < 25.0E0 THEN 'Guard'
-       WHEN pts >= 18.0E0 AND ast < 5.0E0 AND reb < 7.0E0 THEN 'Guard'
-       WHEN pts >= 12.0E0 AND reb >= 5.0E0 AND reb < 10.0E0 AND ast < 6.0E0 THEN 'Forward'
-       WHEN reb >= 8.0E0 AND pts >= 10.0E0 AND ast < 5.0E0 THEN 'Forward'
-       WHEN reb >= 10.0E0 AND pts >= 8.0E0 AND ast < 4.0E0 THEN 'Center'
-       ELSE 'Utility' END AS prediction
-  FROM statlines CROSS JOIN q),
+  CASE WHEN pos IN ('Point Guard', 'Shooting Guard') THEN 'Guard' WHEN pos IN ('Small Forward', 'Power Forward') THEN 'Forward'
+       WHEN pos = 'Center' THEN 'Center' ELSE 'Utility' END AS prediction
+  FROM (SELECT *, {position_case({'pts': 'pts', 'reb': 'reb', 'ast': 'ast'})} AS pos FROM statlines) CROSS JOIN q),
 pairs AS (SELECT truth, prediction AS pred, count(*) AS n FROM rp GROUP BY 1, 2),
 tr AS (SELECT truth AS class, sum(n) AS support, sum(CASE WHEN truth = pred THEN n ELSE 0 END) AS tp FROM pairs GROUP BY 1),
 pr AS (SELECT pred AS class, sum(n) AS predicted FROM pairs GROUP BY 1),

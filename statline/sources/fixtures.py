@@ -28,6 +28,13 @@ select p_partkey as player_id,
   '2000-01' as season,
   case when p_partkey % 10 = 9 then 0 when p_partkey % 89 = 7 then null else 1 end as is_active
 from {part}
+""",
+    "rosters": """
+select player_id, player_name, case when (player_id + k) % 4 = 0 then team_id % 25 + 1 else team_id end as team_id,
+  case when (player_id + k) % 4 = 0 then concat('Loan ', cast(team_id as string)) else team_name end as team_name,
+  s.season as season, is_active
+from {players} join (select 0 as k, '1995-96' as season union all select 1 as k, '1996-97' as season
+  union all select 2 as k, '1997-98' as season) s on (player_id + k) % 5 <> 0
 """,
     "game_logs": """
 select l_partkey as player_id, l_orderkey as game_id, l_linenumber as game_line,
@@ -82,6 +89,7 @@ from {events}
 # Which base tables / earlier fixtures each statement reads, in build order.
 FIXTURE_DEPS: dict[str, tuple[str, ...]] = {
     "players": ("part",),
+    "rosters": ("players",),
     "game_logs": ("lineitem", "part"),
     "advanced_stats": ("game_logs",),
     "statlines": ("game_logs",),
