@@ -176,13 +176,14 @@ class LanguageModel:
         workers_import_package(spark)
         model_file = model_file or tokenizer_path("piece_bpe_32k.model")
         taught = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(False))
-        rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & taught) \
-                   .withColumn("h", F.xxhash64("doc_id"))
-        by_hash = Window.partitionBy("lang").orderBy("h")
-        first = (rows.select("lang", "h").withColumn("r", F.row_number().over(by_hash))
-                 .where(F.col("r") <= docs_per_language).groupBy("lang").agg(F.max("h").alias("most")))
-        chosen = (rows.select("lang", "h", "text").join(saved(first, "langid-limits"), "lang").where(F.col("h") <= F.col("most"))
-                  .withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= docs_per_language))
+        # a share of each language's hash range holds about four times the bound; of these the smallest hashes teach
+        part = F.shiftrightunsigned(F.xxhash64("doc_id"), 1).cast("double") / float(1 << 63)
+        rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & taught)
+        sizes = saved(rows.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")), "langid-sizes")
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("part", "text"))
+        chosen = (rows.select("lang", "text", part.alias("part")).join(sizes, F.col("lang") == F.col("of"))
+                  .where(F.col("part") * F.col("n") <= 4 * docs_per_language)
+                  .withColumn("place", place).where(F.col("place") <= docs_per_language))
         words = (chosen.select("lang", F.explode(F.split(F.lower("text"), r"[ \t-\r]+")).alias("word"))
                  .where(F.length("word") > 0).groupBy("lang", "word").agg(F.count("*").alias("n")))
         learned = words.groupBy("lang").applyInPandas(_train(model_file), "lang string, piece string, p double").toPandas()
