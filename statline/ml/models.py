@@ -1,8 +1,9 @@
 """Model fitting, cross-validation and scoring with Spark ML.
 
-One ``Pipeline`` per model: fitted scaling (SQL expressions) → optional
-random-Fourier-feature map → ``VectorAssembler`` → estimator, so a saved
-``PipelineModel`` scores new data of any size with ``transform``.
+One ``Pipeline`` per model: cleaning of the features (missing, NaN, infinite →
+0) → fitted scaling (SQL expressions) → optional random-Fourier-feature map →
+``VectorAssembler`` → estimator, so a saved ``PipelineModel`` scores new data of
+any size with ``transform``, whatever its features hold.
 
 Kernel models: an exact RBF SVM needs the n × n kernel matrix on one
 machine. Random Fourier features (Rahimi & Recht, 2007) approximate the same
@@ -22,7 +23,7 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -33,10 +34,12 @@ from ..session import checkpoint_dir, saved
 from ..operators.features import create_features
 from . import evaluate
 from .selection import select_features
-from .split import (fit_standard_scaler, holdout_split, kfold_column, label_indexer,
+from .split import (ScalerParams, fit_standard_scaler, holdout_split, kfold_column, label_indexer,
                     scaler_transformer, stratified_split_folds)
 
 REGRESSORS = ("linear_regression", "random_forest", "kernel_svr")
+#: Memory for the statistics of the nodes that one pass over the data splits.
+FOREST_MB = 512
 CLASSIFIERS = ("logistic_regression", "random_forest", "kernel_svc")
 
 
@@ -49,7 +52,7 @@ class Prepared:
     target: str
     task: str
     key: tuple[str, ...]
-    scaler: dict = field(default_factory=dict)
+    scaler: ScalerParams = field(default_factory=ScalerParams)
 
     @property
     def train(self) -> DataFrame:
@@ -113,18 +116,29 @@ def rff_transformer(cols: Sequence[str], gamma: float, n_components: int = 64,
 
 
 def _gamma_scale(prep: Prepared) -> float:
-    """sklearn's gamma='scale' = 1 / (d · Var(X)) on the scaled training matrix."""
+    """gamma = 1 / (d · Var(X)) on the scaled training matrix."""
     d = len(prep.features)
-    # after z-scaling every non-constant column has population variance 1
-    nonconst = sum(1 for m, s in prep.scaler.values() if s != 1.0 or m != 0.0)
-    var = max(nonconst / d, 1e-12)
+    # after z-scaling every column that varies has population variance 1
+    var = max((d - len(prep.scaler.constant)) / d, 1e-12)
     return 1.0 / (d * var)
 
 
-def build_pipeline(prep: Prepared, model: str, num_trees: int = 100, max_depth: int = 10,
-                   seed: int = 42, rff_components: int = 64, max_iter: int = 100) -> Pipeline:
-    """L8–L13 as one Pipeline each."""
-    stages = [scaler_transformer(prep.scaler, "_z")]
+def cleaning_transformer(cols: Sequence[str]) -> SQLTransformer:
+    """P16 as a pipeline stage: missing, NaN and infinite features become 0; other columns pass through."""
+    cleaned = ", ".join(
+        f"CASE WHEN `{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) OR abs(CAST(`{c}` AS DOUBLE)) = DOUBLE('Infinity') "
+        f"THEN 0D ELSE CAST(`{c}` AS DOUBLE) END AS `{c}`" for c in cols)
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{c}`' for c in cols)}), {cleaned} FROM __THIS__")
+
+
+def build_pipeline(prep: Prepared, model: str, num_trees: int = 100, max_depth: int = 30,
+                   seed: int = 42, rff_components: int = 64, max_iter: int = 1000) -> Pipeline:
+    """L8–L13 as one Pipeline each.
+
+    Forests grow to Spark's greatest depth. ``rff_components`` bounds the kernel
+    approximation: its error falls as 1/√D, about 0.12 for the default.
+    """
+    stages = [cleaning_transformer(prep.features), scaler_transformer(prep.scaler, "_z")]
     zcols = [f"{c}_z" for c in prep.features]
     if prep.task == "classification":
         stages.append(label_indexer(prep.target, "label"))
@@ -138,14 +152,14 @@ def build_pipeline(prep: Prepared, model: str, num_trees: int = 100, max_depth:
         inputs = [f"rff_{j}" for j in range(rff_components)]
     else:
         inputs = zcols
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     n_train = max(prep.train.count(), 1) if model == "logistic_regression" else 1
     est = {
         ("regression", "linear_regression"): lambda: LinearRegression(
             labelCol=label, solver="normal", regParam=0.0, standardization=False),
         ("regression", "random_forest"): lambda: RandomForestRegressor(
             labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-            featureSubsetStrategy="all", seed=seed),
+            featureSubsetStrategy="all", seed=seed, maxMemoryInMB=FOREST_MB, cacheNodeIds=True),
         ("regression", "kernel_svr"): lambda: LinearRegression(
             labelCol=label, loss="huber", regParam=1e-4, standardization=False,
             maxIter=max_iter),
@@ -154,7 +168,7 @@ def build_pipeline(prep: Prepared, model: str, num_trees: int = 100, max_depth:
             standardization=False, maxIter=max_iter),
         ("classification", "random_forest"): lambda: RandomForestClassifier(
             labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-            featureSubsetStrategy="sqrt", seed=seed),
+            featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=FOREST_MB, cacheNodeIds=True),
         ("classification", "kernel_svc"): lambda: LogisticRegression(
             labelCol=label, family="multinomial", regParam=1e-3, elasticNetParam=0.0,
             standardization=False, maxIter=max_iter),
@@ -168,22 +182,44 @@ def fit(prep: Prepared, model: str, **kw) -> PipelineModel:
     return build_pipeline(prep, model, **kw).fit(prep.train)
 
 
-def predict(model: PipelineModel, df: DataFrame, prep: Prepared | None = None) -> DataFrame:
-    """Score any number of rows; classification predictions are decoded to labels."""
-    out = model.transform(df)
-    indexers = [s for s in model.stages if hasattr(s, "labels") and s.__class__.__name__ ==
-                "StringIndexerModel"]
-    if indexers:
-        out = IndexToString(inputCol="prediction", outputCol="predicted_label",
-                            labels=indexers[0].labels).transform(out)
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Score any number of rows with the feature columns; classifications are decoded to labels.
+
+    The label column is not needed. Missing features count as 0, so every row gets a prediction.
+    """
+    scored = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)
+                            and "AS label" not in (s.getStatement() or "" if isinstance(s, SQLTransformer) else "")])
+    out = scored.transform(df)
+    for s in model.stages:
+        if isinstance(s, StringIndexerModel):
+            out = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=s.labels).transform(out)
     return out
 
 
+def score_new(known: DataFrame, new: DataFrame, features: Sequence[str], targets: dict[str, tuple[str, str, str]],
+              key: Sequence[str] = ("player_id", "season")) -> DataFrame:
+    """Every target's prediction for every row of ``new``.
+
+    ``targets`` maps an output column to (target, task, model); each is fitted on
+    ``known`` and applied in turn, so no join can lose a row. Both tables need
+    the candidate ``features``; ``new`` needs no target.
+    """
+    kept = [*key]
+    out = new.select(*key, *features)
+    for name, (target, task, model) in targets.items():
+        prep = prepare(known.select(*key, target, *[f for f in features if f != target]), target, task, key=key, engineer=False)
+        pred = predict(fit(prep, model), out)
+        kept.append(name)
+        out = pred.withColumn(name, F.col("prediction" if task == "regression" else "predicted_label")) \
+                  .select(*kept, *features)
+    return out.select(*kept)
+
+
 def evaluate_model(model: PipelineModel, prep: Prepared) -> DataFrame:
     """Hold-out metrics as (metric, value) rows."""
     pred = predict(model, prep.test)
     if prep.task == "regression":
-        wide = evaluate.eval_regression(pred)
+        wide = evaluate.eval_regression(pred.withColumn("label", F.col(prep.target).cast("double")))
     else:
         wide = evaluate.eval_classification(pred.withColumn("truth", F.col(prep.target)),
                                             label="truth", prediction="predicted_label")

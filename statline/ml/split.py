@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
+from pyspark.ml.feature import SQLTransformer, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,17 +105,23 @@ def stratified_fold_column(df: DataFrame, label: str, key: Sequence[str] = ("pla
 
 # ---------------------------------------------------------------- L6 scaling
 
-def fit_standard_scaler(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """L6 fit: mean and population std per column in one aggregation (one row to the driver)."""
+class ScalerParams(dict):
+    """(mean, population std) by column; ``constant`` names the columns that do not vary."""
+
+    constant: tuple[str, ...] = ()
+
+
+def fit_standard_scaler(train: DataFrame, cols: Sequence[str]) -> ScalerParams:
+    """L6 fit: mean and population std per column in one aggregation (one row to the driver).
+
+    A column without variation is scaled by 1 and listed as constant.
+    """
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
     row = train.agg(*aggs).first()
-    params = {}
-    for c in cols:
-        m = row[f"m_{c}"] or 0.0
-        s = row[f"s_{c}"]
-        params[c] = (float(m), float(s) if s else 1.0)
+    params = ScalerParams((c, (float(row[f"m_{c}"] or 0.0), float(row[f"s_{c}"] or 1.0))) for c in cols)
+    params.constant = tuple(c for c in cols if not row[f"s_{c}"])
     return params
 
 
@@ -141,15 +147,13 @@ def scale(train: DataFrame, test: DataFrame, cols: Sequence[str], suffix: str =
 # ---------------------------------------------------------------- L7 labels
 
 def label_indexer(label: str, out: str = "label") -> StringIndexer:
-    """Alphabetical 0…k−1 codes (the fit collects only the distinct labels)."""
+    """Alphabetical 0…k−1 codes (the fit collects only the distinct labels); training labels are never NULL."""
     return StringIndexer(inputCol=label, outputCol=out, stringOrderType="alphabetAsc",
-                         handleInvalid="keep")
+                         handleInvalid="error")
 
 
 def encode_labels(df: DataFrame, label: str, out: str = "label_index"):
+    """Rows with a label and its code; rows without one are left out."""
+    df = df.where(F.col(label).isNotNull())
     model = label_indexer(label, out).fit(df)
     return model.transform(df), model
-
-
-def label_decoder(indexer_model, inp: str = "prediction", out: str = "predicted_label") -> IndexToString:
-    return IndexToString(inputCol=inp, outputCol=out, labels=indexer_model.labels)

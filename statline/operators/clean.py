@@ -145,11 +145,6 @@ def filter_active(df: DataFrame, col: str = "is_active") -> DataFrame:
     return df.where(F.col(col) == F.lit(True))
 
 
-def filter_min_games(df: DataFrame, n: int = 10, col: str = "games_played") -> DataFrame:
-    """Enough games for a meaningful sample."""
-    return df.where(F.col(col) >= n)
-
-
 def clean_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULL, NaN and ±inf → 0."""
     return df.withColumns({c: zero_if_missing(c) for c in cols})

@@ -97,10 +97,6 @@ def create_features(df: DataFrame, key: str = "player_id", order: str = "season"
     })
 
 
-def engineered_columns(df: DataFrame, original: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in original.columns]
-
-
 def advanced_metrics(df: DataFrame) -> DataFrame:
     """Box-score efficiency, TS%, eFG%, usage and WS/48 together."""
     return df.withColumns({

@@ -177,10 +177,10 @@ v AS (SELECT count_if(player_id IS NULL) AS v1,
         count_if(points_per_game < 0 OR rebounds_per_game < 0 OR assists_per_game < 0) AS v4
       FROM perf)
 SELECT rule_name, description, violations, threshold, violations <= threshold AS passed FROM (
-  SELECT 'non_null_player_id' AS rule_name, 'Player ID should never be null' AS description, v1 AS violations, 0::BIGINT AS threshold FROM v
-  UNION ALL SELECT 'valid_season_format', 'Season should be in YYYY-YY format', v2, 0 FROM v
-  UNION ALL SELECT 'reasonable_minutes_per_game', 'Minutes per game should be between 0 and 48', v3, 0 FROM v
-  UNION ALL SELECT 'positive_stats', 'Core statistics should be non-negative', v4, 0 FROM v)""",
+  SELECT 'non_null_player_id' AS rule_name, 'Every row names its player' AS description, v1 AS violations, 0::BIGINT AS threshold FROM v
+  UNION ALL SELECT 'valid_season_format', 'Seasons read like 2003-04', v2, 0 FROM v
+  UNION ALL SELECT 'reasonable_minutes_per_game', 'No player averages below 0 or above 48 minutes', v3, 0 FROM v
+  UNION ALL SELECT 'positive_stats', 'Points, rebounds and assists are never below zero', v4, 0 FROM v)""",
     *PERF_FIXTURES))(lambda spark, d: quality.run_rules(_perf(spark, d)))
 
 register("quality_summary", with_fixtures("""
@@ -197,26 +197,36 @@ SELECT count(*) AS row_count,
    / nullif(count(*) * 6, 0) <= 0.1E0, true) AS missing_ok
 FROM players""", "players"))(lambda spark, d: quality.quality_summary(fx(spark, d).players))
 
-register("quality_gate", with_fixtures("""
-SELECT table_name, row_count FROM (
-  SELECT 'players' AS table_name, count(*) AS row_count FROM players
-  UNION ALL SELECT 'advanced_stats', count(*) FROM advanced_stats)""",
+def _gate_sql(table: str, columns) -> str:
+    missing = " + ".join(f"count_if({c} IS NULL)" for c in columns)
+    share = f"({missing}) / nullif(count(*) * {len(columns)}, 0)"
+    return (f"SELECT '{table}' AS table_name, count(*) AS row_count, {missing} AS missing_cells, {share} AS missing_share, "
+            f"count(*) - count(DISTINCT player_id) - coalesce(max(CAST(player_id IS NULL AS INTEGER)), 0) AS duplicate_keys, "
+            f"count(*) >= 10 AS enough_rows, coalesce({share} <= 0.1E0, true) AS missing_ok FROM {table}")
+
+
+ROSTER_COLS = ("player_id", "player_name", "team_id", "team_name", "season", "is_active")
+ADVANCED_COLS = ("player_id", "season", "season_type", "gp", "min", "off_rating", "def_rating", "net_rating",
+                 "ast_pct", "reb_pct", "usg_pct", "ts_pct", "efg_pct", "pie")
+
+register("quality_gate", with_fixtures(
+    _gate_sql("players", ROSTER_COLS) + " UNION ALL " + _gate_sql("advanced_stats", ADVANCED_COLS),
     "players", "advanced_stats"))(
     lambda spark, d: quality.validate({"players": fx(spark, d).players,
-                                       "advanced_stats": fx(spark, d).advanced_stats})
-    .select("table_name", "row_count"))
+                                       "advanced_stats": fx(spark, d).advanced_stats}))
 
 register("quarantine", with_fixtures(performance_sql("season") + """
-SELECT player_id, season, minutes_per_game, points_per_game,
+SELECT *, failed_rules IS NULL AS is_valid FROM (SELECT player_id, season, minutes_per_game, points_per_game,
   nullif(concat_ws(',',
     CASE WHEN coalesce(player_id IS NULL, false) THEN 'non_null_player_id' END,
     CASE WHEN coalesce(NOT regexp_matches(season, '^[0-9]{4}-[0-9]{2}$'), false) THEN 'valid_season_format' END,
     CASE WHEN coalesce(minutes_per_game < 0 OR minutes_per_game > 48, false) THEN 'reasonable_minutes_per_game' END,
     CASE WHEN coalesce(points_per_game < 0 OR rebounds_per_game < 0 OR assists_per_game < 0, false) THEN 'positive_stats' END
   ), '') AS failed_rules
-FROM perf""", *PERF_FIXTURES))(
+FROM perf)""", *PERF_FIXTURES))(
     lambda spark, d: quality.quarantine(_perf(spark, d))
-    .select("player_id", "season", "minutes_per_game", "points_per_game", "failed_rules"))
+    .select("player_id", "season", "minutes_per_game", "points_per_game", "failed_rules",
+            "is_valid"))
 
 FRESH_AS_OF = "2024-02-01 00:00:00"
 register("freshness_check", with_fixtures(f"""
@@ -228,4 +238,3 @@ FROM arrivals GROUP BY team_name""", "arrivals"))(
     lambda spark, d: quality.freshness_check(fx(spark, d).arrivals, as_of=FRESH_AS_OF,
                                              by=("team_name",)))
 
-_ = F

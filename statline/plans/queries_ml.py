@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import metrics as M, rules
 from ..ml import evaluate, models, selection, split
 from ..operators import classify, features
-from ..session import scratch_path
+from ..session import saved, scratch_path
 from .rule_sql import position_case
 from .catalog import fx, quantile_sql, register, with_fixtures
 from .queries_features import STATLINE_COLS
@@ -261,10 +261,13 @@ def _cv_query(task: str, model: str, **kw):
     return run
 
 
-register("cv_linear", None)(_cv_query("regression", "linear_regression"))
-register("cv_logistic", None)(_cv_query("classification", "logistic_regression"))
-register("cv_rf_classifier", None)(_cv_query("classification", "random_forest", num_trees=20,
-                                             max_depth=8))
+for _name, _task, _model in (("cv_linear", "regression", "linear_regression"),
+                             ("cv_rf_regressor", "regression", "random_forest"),
+                             ("cv_kernel_regressor", "regression", "kernel_svr"),
+                             ("cv_logistic", "classification", "logistic_regression"),
+                             ("cv_rf_classifier", "classification", "random_forest"),
+                             ("cv_kernel_classifier", "classification", "kernel_svc")):
+    register(_name, None)(_cv_query(_task, _model))
 
 
 def _compare(spark, d):
@@ -272,11 +275,12 @@ def _compare(spark, d):
     prep = _prep(spark, d, "regression")
     parts = []
     for m in models.REGRESSORS:
-        fitted = models.fit(prep, m, num_trees=30, max_depth=8)
+        fitted = models.fit(prep, m)
         parts.append(models.evaluate_model(fitted, prep).withColumn("model", F.lit(m)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out = saved(out, "metrics")
     best = evaluate.best_model(out, "r2").select(F.col("model").alias("best_model"))
     return out.crossJoin(best)
 
@@ -286,7 +290,7 @@ register("compare_models", None)(_compare)
 
 def _importance(spark, d):
     prep = _prep(spark, d, "regression")
-    m = models.fit(prep, "random_forest", num_trees=30, max_depth=8)
+    m = models.fit(prep, "random_forest")
     rows = models.feature_importance(m, prep)
     return spark.createDataFrame(rows, "feature string, importance double")
 
@@ -294,27 +298,80 @@ def _importance(spark, d):
 register("feature_importance", None)(_importance)
 
 
+def _importance_total(spark, d):
+    """Importances are shares: none is negative and together they are 1."""
+    return _importance(spark, d).agg(F.count("*").alias("features"), F.round(F.sum("importance"), 9).alias("total"),
+                                     F.count_if(F.col("importance") < 0).alias("negative"))
+
+
+register("importance_total", "SELECT CAST(20 AS BIGINT) AS features, 1E0 AS total, CAST(0 AS BIGINT) AS negative")(_importance_total)
+
+
+def _projection_complete(spark, d):
+    """Every player's last season gets a finite projection."""
+    p = F.col("projected_next_pts")
+    return _projection(spark, d).select(*KEY, (p.isNotNull() & ~F.isnan(p)).alias("projected"))
+
+
+register("projection_complete", with_fixtures("""
+SELECT player_id, max(season) AS season, true AS projected FROM statlines GROUP BY player_id""", "statlines"))(_projection_complete)
+
+
+def _linear_two(spark, d):
+    """Points on minutes and rebounds by the normal equations."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    df = fx(spark, d).statlines.select("min", "reb", F.col("pts").alias("label"))
+    data = VectorAssembler(inputCols=["min", "reb"], outputCol="features").transform(df)
+    m = LinearRegression(solver="normal", regParam=0.0, standardization=False).fit(data)
+    rows = [(float(m.intercept), float(m.coefficients[0]), float(m.coefficients[1]))]
+    return spark.createDataFrame(rows, "b0 double, b_min double, b_reb double") \
+        .select(*[F.round(c, 6).alias(c) for c in ("b0", "b_min", "b_reb")])
+
+
+register("linear_two_features", with_fixtures("""
+WITH s AS (SELECT avg(min) AS mx, avg(reb) AS mz, avg(pts) AS my, covar_pop(min, min) AS xx, covar_pop(reb, reb) AS zz,
+  covar_pop(min, reb) AS xz, covar_pop(min, pts) AS xy, covar_pop(reb, pts) AS zy FROM statlines),
+b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b1, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS b2 FROM s)
+SELECT round(my - b1 * mx - b2 * mz, 6) AS b0, round(b1, 6) AS b_min, round(b2, 6) AS b_reb FROM b""", "statlines"))(_linear_two)
+
+
+NEW_SHARE = 0.2
+TARGETS = {"predicted_pts": ("pts", "regression", "linear_regression"),
+           "predicted_position": ("position", "classification", "logistic_regression"),
+           "predicted_tier": ("performance_tier", "classification", "logistic_regression")}
+
+
 def _score_new(spark, d):
-    """Points, position and tier for the hold-out (unseen) player-seasons."""
-    df = dash(spark, d)
-    out = None
-    for target, task, model, col in (("pts", "regression", "linear_regression", "predicted_pts"),
-                                     ("position", "classification", "logistic_regression",
-                                      "predicted_position"),
-                                     ("performance_tier", "classification", "logistic_regression",
-                                      "predicted_tier")):
-        prep = models.prepare(df, target, task, engineer=False)
-        m = models.fit(prep, model)
-        pred = models.predict(m, prep.test)
-        pcol = "prediction" if task == "regression" else "predicted_label"
-        pred = pred.select(*KEY, F.col(pcol).alias(col))
-        out = pred if out is None else out.join(pred, list(KEY), "full")
-    return out
+    """Points, position and tier for all seasons of players that no model has seen, from raw box rows."""
+    raw = split.holdout_split(fx(spark, d).statlines, ("player_id",), NEW_SHARE, col="is_new")
+    raw = saved(raw, "players-split")
+    known = features.create_features(classify.label_statlines(raw.where(~F.col("is_new")).drop("is_new")))
+    new = raw.where("is_new").drop("is_new")
+    new = features.create_features(new.withColumn("ts_pct", M.true_shooting()).withColumn("composite_score", M.composite_score()))
+    return models.score_new(known, new, [c for c in DASH_NUMERIC if c != "player_id"], TARGETS)
 
 
 register("score_new_players", None)(_score_new)
 
 
+def _score_new_complete(spark, d):
+    """Which rows got each prediction, and whether labels are of the vocabulary."""
+    scored = _score_new(spark, d)
+    return scored.select(*KEY, F.col("predicted_pts").isNotNull().alias("has_pts"),
+                         F.col("predicted_position").isin(*POSITION_LABELS).alias("position_known"),
+                         F.col("predicted_tier").isin(*classify.EQUAL_WIDTH_LABELS).alias("tier_known"))
+
+
+# Labels of the five-position rule.
+POSITION_LABELS = ("Point Guard", "Shooting Guard", "Power Forward", "Center", "Small Forward")
+
+register("score_new_complete", with_fixtures(f"""
+SELECT player_id, season, true AS has_pts, true AS position_known, true AS tier_known FROM statlines
+WHERE substr(md5('42|' || CAST(player_id AS VARCHAR)), 1, 8) < '{split.hex_threshold(NEW_SHARE)}'""",
+    "statlines"))(_score_new_complete)
+
+
 def _projection(spark, d):
     """Next-season points from this season's features (lead as the target)."""
     from pyspark.sql import Window
@@ -326,7 +383,7 @@ def _projection(spark, d):
                           exclude=("player_id",), exclude_derived=False)
     m = models.fit(prep, "linear_regression")
     latest = df.where(F.col("next_pts").isNull())
-    scored = models.predict(m, latest.select(*KEY, *prep.features, "next_pts").fillna(0.0, prep.features))
+    scored = models.predict(m, latest.select(*KEY, *prep.features))
     return scored.select(*KEY, F.col("prediction").alias("projected_next_pts"))
 
 
@@ -342,10 +399,13 @@ def _roundtrip(spark, d):
     loaded = models.load_model(path)
     a = models.predict(m, prep.test).select(*KEY, F.col("prediction").alias("p1"))
     b = models.predict(loaded, prep.test).select(*KEY, F.col("prediction").alias("p2"))
-    return a.join(b, list(KEY)).withColumn("same", F.col("p1") == F.col("p2"))
+    return a.join(b, list(KEY)).select(*KEY, (F.col("p1") == F.col("p2")).alias("same"))
 
 
-register("model_roundtrip", None)(_roundtrip)
+register("model_roundtrip", with_fixtures(f"""
+SELECT player_id, season, true AS same FROM statlines
+WHERE substr(md5('42|' || CAST(player_id AS VARCHAR) || '|' || season), 1, 8) < '{split.hex_threshold(0.2)}'""",
+    "statlines"))(_roundtrip)
 
 
 def _compare_classifiers(spark, d):
@@ -354,11 +414,12 @@ def _compare_classifiers(spark, d):
     prep = _prep(spark, d, "classification")
     parts = []
     for m in models.CLASSIFIERS:
-        fitted = models.fit(prep, m, num_trees=30, max_depth=8, max_iter=50)
+        fitted = models.fit(prep, m)
         parts.append(models.evaluate_model(fitted, prep).withColumn("model", F.lit(m)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out = saved(out, "metrics")
     best = evaluate.best_model(out, "accuracy").select(F.col("model").alias("best_model"))
     return out.crossJoin(best)
 

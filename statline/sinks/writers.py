@@ -8,8 +8,8 @@ the cluster keys so Parquet min/max statistics prune row groups on reads.
 ``upsert`` replaces MERGE for plain Parquet tables: the latest version per
 key is picked with ``max_by`` — an aggregate, so every map task first keeps
 only its own latest row per key and a key repeated across a third of the
-input still ships one row per task — and only the partitions the delta
-touches are overwritten (dynamic partition overwrite).
+input still ships one row per task — and only the partitions that hold or
+get a row of the delta's keys are overwritten (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import DEFAULT_AS_OF, as_of_literal
-from ..session import saved
+from ..session import drop_scratch, saved
 from ..sources.landed import landed_name, path_exists
 
 
@@ -49,15 +49,21 @@ def write_truncate(df: DataFrame, path: str) -> str:
     return path
 
 
+#: Rows of one range part of a rebuilt table.
+ROWS_PER_FILE = 1_000_000
+
+
 def materialize_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("season",),
                       cluster_by: Sequence[str] = ("player_id", "team_id"),
                       num_partitions: int | None = None, mode: str = "overwrite") -> str:
-    """K4: full rebuild, partitioned by season and clustered by the given keys."""
+    """K4: full rebuild, partitioned by season and clustered by the given keys; files follow from the row count."""
     cluster = [c for c in cluster_by if c in df.columns]
     keys = list(partition_by) + cluster
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    rows = saved(df, "clustered")
+    n = num_partitions or max(1, -(-rows.count() // ROWS_PER_FILE))
+    out = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    drop_scratch(rows)
     return path
 
 
@@ -71,28 +77,68 @@ def latest_per_key(df: DataFrame, unique_key: Sequence[str], order_key: Sequence
         .select(*df.columns)
 
 
+def _partition_filter(rows: Sequence, partition_by: Sequence[str]) -> Column:
+    """Literal predicate for a list of partition values, which prunes the scan's folders."""
+    if len(partition_by) == 1:
+        c, values = partition_by[0], [r[0] for r in rows]
+        known = F.col(c).isin([v for v in values if v is not None])
+        return known | F.col(c).isNull() if None in values else known
+    out = F.lit(False)
+    for r in rows:
+        one = F.lit(True)
+        for c in partition_by:
+            one = one & F.col(c).eqNullSafe(F.lit(r[c]))
+        out = out | one
+    return out
+
+
+def _drop_partitions(spark: SparkSession, path: str, rows: Sequence, partition_by: Sequence[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for r in rows:
+        folder = "/".join([path.rstrip("/"), *[
+            f"{utils.escapePathName(c)}=" + (utils.DEFAULT_PARTITION_NAME() if r[c] is None else utils.escapePathName(str(r[c])))
+            for c in partition_by]])
+        target = jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def upsert(spark: SparkSession, delta: DataFrame, path: str, unique_key: Sequence[str],
            order_key: Sequence[str], partition_by: Sequence[str] = ()) -> str:
     """K5: merge ``delta`` into the Parquet table at ``path`` (created when absent).
 
-    Only partitions present in the delta are read back, merged and overwritten.
-    The merged rows are checkpointed before the overwrite so the job never
-    reads the files it is replacing, and a lost executor recomputes from the
-    checkpoint, not from half-written output.
+    Rewritten are the partitions that the delta has rows for and, where the
+    partition is not part of the key, those that now hold one of its keys, so
+    a key whose newest version moves leaves no stale row behind. Their list
+    (at most one row for each folder of the table) prunes the target's scan.
+    The merged rows are written to the shared folder first, so the job never
+    reads what it replaces; Spark's commit then swaps the folders, and a run
+    that fails before it can be repeated with the same delta.
     """
+    touched = []
+    delta = saved(delta, "delta")
     if not path_exists(spark, path):
         merged = latest_per_key(delta, unique_key, order_key)
     else:
-        target = spark.read.parquet(path).select(*delta.columns)
+        target = spark.read.schema(delta.schema).parquet(path)
         if partition_by:
-            touched = delta.select(*partition_by).distinct()
-            target = target.join(touched, list(partition_by), "left_semi")
+            parts = delta.select(*partition_by)
+            if not set(partition_by) <= set(unique_key):
+                moved = target.select(*dict.fromkeys([*unique_key, *partition_by])) \
+                    .join(delta.select(*unique_key).distinct(), list(unique_key), "left_semi")
+                parts = parts.unionByName(moved.select(*partition_by))
+            touched = parts.distinct().collect()
+            target = target.where(_partition_filter(touched, partition_by))
         merged = latest_per_key(target.unionByName(delta), unique_key, order_key)
-    merged = saved(merged)
+    merged = saved(merged, "merged")
     w = merged.write.mode("overwrite")
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
+    if touched:
+        left = {tuple(r) for r in merged.select(*partition_by).distinct().collect()}
+        _drop_partitions(spark, path, [r for r in touched if tuple(r) not in left], partition_by)
+    drop_scratch(delta, merged)
     return path
 
 

@@ -63,18 +63,20 @@ def incremental_delta(src: DataFrame, target: DataFrame | None, key: str = "data
                       floor: str = "0001-01-01 00:00:00") -> DataFrame:
     """S8 + J4: rows of ``src`` newer than the target's high-water mark.
 
-    The mark is a one-row aggregate of the target (an empty or missing target
-    gives ``floor``, so the first run loads everything). ``lookback`` (e.g.
-    ``'7 days'``) re-reads a trailing window to pick up late arrivals; the
-    upsert that follows makes the overlap idempotent.
+    The mark is read first, as one value, so that the filter is a literal and
+    reaches the scan (an empty or missing target gives ``floor``, so the first
+    run loads everything). ``lookback`` (e.g. ``'7 days'``) re-reads a trailing
+    window to pick up late arrivals; the upsert that follows makes the overlap
+    idempotent.
     """
     if target is None:
         return src
     hwm = F.coalesce(F.max(key), F.to_timestamp_ntz(F.lit(floor)))
     if lookback:
         hwm = hwm - F.expr(f"INTERVAL {lookback}")
-    mark = target.agg(hwm.alias("__hwm"))
-    return src.crossJoin(F.broadcast(mark)).where(F.col(key) > F.col("__hwm")).drop("__hwm")
+    kind = src.schema[key].dataType.simpleString()
+    mark = target.agg(hwm.cast("string")).first()[0]
+    return src.where(F.col(key) > F.lit(mark).cast(kind))
 
 
 def season_backfill(df: DataFrame, seasons: Sequence[str] = DEFAULT_SEASONS,

@@ -7,9 +7,9 @@ many micro-batches as ``max_files_per_trigger`` dictates) and stops, and
 each micro-batch is merged into the target with the idempotent ``upsert``
 (replaying a batch after a failure rewrites the same rows).
 
-``dedup_stream`` drops repeated arrivals of the same key within a look-back
-window with ``dropDuplicatesWithinWatermark``; the watermark bounds the
-state to the keys seen in the last ``lookback``.
+``dedup_stream`` keeps the first arrival of each key. Rows may come in any
+order: nothing is dropped for being late, and a key counts as repeated if the
+target has it within the look-back window around its event time.
 """
 
 from __future__ import annotations
@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import drop_scratch, saved
 from ..sinks.writers import upsert
+from ..sources.landed import path_exists
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -31,34 +33,63 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return r.load(path)
 
 
+def _drain(src: DataFrame, merge, checkpoint: str) -> None:
+    q = (src.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def stage_stream(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                  checkpoint: str, unique_key: Sequence[str], order_key: Sequence[str],
                  partition_by: Sequence[str] = (), fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None) -> None:
-    """Drain the landing folder into the target table with per-batch upserts."""
-    src = read_landing(spark, landing, schema, fmt, max_files_per_trigger)
+                 max_files_per_trigger: int | None = None, buckets: int | None = None) -> None:
+    """Drain the landing folder into the target table with per-batch upserts.
 
+    With ``buckets`` the table is partitioned by a hash of the key
+    (``key_bucket``): a batch rewrites only the buckets of its keys, and no
+    key ever moves.
+    """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.sparkSession, batch, target, unique_key, order_key, partition_by)
+        parts = list(partition_by)
+        if buckets:
+            batch = batch.withColumn("key_bucket", F.pmod(F.xxhash64(*unique_key), F.lit(buckets)).cast("int"))
+            parts = ["key_bucket"]
+        upsert(batch.sparkSession, batch, target, unique_key, order_key, parts)
 
-    q = (src.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _drain(read_landing(spark, landing, schema, fmt, max_files_per_trigger), merge, checkpoint)
 
 
 def dedup_stream(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                  checkpoint: str, key: Sequence[str], ts: str, lookback: str = "7 days",
                  fmt: str = "parquet", max_files_per_trigger: int | None = None) -> None:
-    """First arrival of each key within the look-back window, appended to ``target``.
+    """First arrival of each key, appended to ``target`` (partitioned by ``event_day``).
 
-    Event time must be a zone-aware TIMESTAMP for the watermark, so a
-    zone-free column is converted first.
+    Each micro-batch keeps its earliest row per key and drops keys that the
+    target holds with an event time at most ``lookback`` away; only the days in
+    question are read. Running a batch again appends nothing. A key that
+    comes back after more than the look-back is a new event.
     """
-    src = read_landing(spark, landing, schema, fmt, max_files_per_trigger)
-    if isinstance(src.schema[ts].dataType, T.TimestampNTZType):
-        src = src.withColumn(ts, F.col(ts).cast("timestamp"))
-    out = src.withWatermark(ts, lookback).dropDuplicatesWithinWatermark(list(key))
-    q = (out.writeStream.format("parquet").option("path", target)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    others = [f.name for f in schema.fields if f.name not in key]
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        first = saved(batch.groupBy(*key).agg(F.min_by(F.struct(*others), F.struct(ts, *[
+            c for c in others if c != ts])).alias("__v")).select(*key, "__v.*"), "dedup-batch")
+        low, high = first.agg(F.min(ts).cast("date"), F.max(ts).cast("date")).first()
+        if path_exists(spark, target) and low is not None:
+            days = F.col("event_day").between(F.date_sub(F.lit(low), 1) - F.expr(f"INTERVAL {lookback}"),
+                                              F.date_add(F.lit(high), 1) + F.expr(f"INTERVAL {lookback}"))
+            had = spark.read.parquet(target).where(days).select(*key, F.col(ts).alias("__ts"))
+            near = F.abs(F.expr(f"timestampdiff(MICROSECOND, __ts, `{ts}`)")) <= F.expr(
+                f"timestampdiff(MICROSECOND, timestamp'2000-01-01', timestamp'2000-01-01' + INTERVAL {lookback})")
+            same = near
+            for k in key:
+                same = same & first[k].eqNullSafe(had[k])
+            new = first.join(had, same, "left_anti")
+        else:
+            new = first
+        (new.withColumn("event_day", F.col(ts).cast("date"))
+         .write.mode("append").partitionBy("event_day").parquet(target))
+        drop_scratch(first)
+
+    _drain(read_landing(spark, landing, schema, fmt, max_files_per_trigger), append, checkpoint)
