@@ -37,18 +37,18 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
-def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
-    """V3: 2-D binned counts of an (x, y) scatter — at most bins² rows."""
+def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 20, shade: str | None = None) -> DataFrame:
+    """V3: 2-D binned counts of an (x, y) scatter — at most bins² rows — with the mean of ``shade`` if given."""
     mm = df.agg(F.min(x).alias("__xlo"), F.max(x).alias("__xhi"),
                 F.min(y).alias("__ylo"), F.max(y).alias("__yhi"))
-    pts = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pts = df.select(*dict.fromkeys(c for c in (x, y, shade) if c)).where(F.col(x).isNotNull() & F.col(y).isNotNull())
     j = attach_scalars(pts, mm)
     return (j.withColumns({
         "x_bin": _bin(F.col(x), F.col("__xlo"), F.col("__xhi"), bins),
         "y_bin": _bin(F.col(y), F.col("__ylo"), F.col("__yhi"), bins)})
         .groupBy("x_bin", "y_bin")
-        .agg(F.count(F.lit(1)).alias("count"), F.avg(x).alias(f"mean_{x}"),
-             F.avg(y).alias(f"mean_{y}")))
+        .agg(F.count(F.lit(1)).alias("count"),
+             *[F.avg(c).alias(f"mean_{c}") for c in dict.fromkeys(c for c in (x, y, shade) if c)]))
 
 
 def position_comparison(df: DataFrame, by: str = "position",

@@ -119,6 +119,6 @@ def top_n_per_group(df: DataFrame, group: str | Sequence[str], by: str, n: int =
              .withColumn(name, F.col(name).cast("bigint"))
 
 
-def sample_rows(df: DataFrame, n: int = 2) -> DataFrame:
-    """T5: a preview of n rows."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int = 2, order: Sequence[str] = ()) -> DataFrame:
+    """T5: a preview of n rows, the first by ``order`` if given."""
+    return (df.orderBy(*order) if order else df).limit(n)

@@ -76,3 +76,20 @@ FROM p""", "statlines"))(
         (F.col("fgm") * 2 + F.col("fg3m") + F.col("ftm")).alias("prediction"))))
 
 
+
+
+def _bodies(spark, d):
+    """Body features from heights and weights derived from the key."""
+    df = fx(spark, d).statlines.withColumns({"height": 1.7 + F.col("player_id") % 40 / 100,
+                                             "weight": F.col("player_id") % 50 + 70.0})
+    return features.create_features(df).select(*KEY, "bmi", "height_weight_ratio")
+
+
+register("body_features", with_fixtures("""
+WITH b AS (SELECT player_id, season, 1.7E0 + player_id % 40 / 100E0 AS height, player_id % 50 + 70E0 AS weight FROM statlines)
+SELECT player_id, season, weight / nullif(height * height, 0) AS bmi, height / nullif(weight, 0) AS height_weight_ratio FROM b""",
+    "statlines"))(_bodies)
+
+register("numeric_columns", with_fixtures("SELECT pts, data_loaded_at IS NULL AS missing, player_id FROM arrivals", "arrivals"))(
+    lambda spark, d: clean.drop_columns(clean.select_numeric(fx(spark, d).arrivals).withColumn("missing", F.lit(False)),
+                                        ("event_id", "not_there")))

@@ -197,7 +197,8 @@ register("player_performance_career", with_fixtures(
 
 
 def _mart(spark, d, grain="season"):
-    return mart.mart_summary(_perf(spark, d, grain), as_of=AS_OF)
+    f = fx(spark, d)
+    return mart.build_mart(f.players, f.game_logs, f.advanced_stats, grain=grain, as_of=AS_OF)
 
 
 register("mart_summary", with_fixtures(mart_sql("season") + "\nSELECT * FROM mart", *PERF_FIXTURES))(

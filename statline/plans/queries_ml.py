@@ -12,7 +12,7 @@ from ..session import saved, scratch_path
 from .rule_sql import position_case
 from .catalog import fx, quantile_sql, register, with_fixtures
 from .queries_features import STATLINE_COLS
-from .queries_summary import DASH_SQL, LABELLED_SQL, dash, labelled
+from .queries_summary import DASH_SQL, LABELLED_SQL, dash, labelled, numeric
 
 # Numeric candidate columns of the dashboard frame, in column order.
 ENGINEERED = (features.BASIC + features.ADVANCED + ("position_score",) + features.HISTORY
@@ -59,10 +59,9 @@ def _fclassif_sql() -> str:
 
 
 def _scores(spark, d, task):
-    df = dash(spark, d)
     if task == "regression":
-        return selection.f_regression_scores(df, REG_FEATS, REG_TARGET)
-    return selection.f_classif_scores(df, CLS_FEATS, CLS_TARGET)
+        return selection.f_regression_scores(numeric(spark, d), REG_FEATS, REG_TARGET)
+    return selection.f_classif_scores(dash(spark, d), CLS_FEATS, CLS_TARGET)
 
 
 register("f_regression", with_fixtures("WITH " + DASH_SQL + _freg_sql(), "statlines"))(
@@ -228,10 +227,9 @@ FROM p""", "statlines"))(
 
 
 def _prep(spark, d, task):
-    df = dash(spark, d)
     if task == "regression":
-        return models.prepare(df, REG_TARGET, "regression", engineer=False)
-    return models.prepare(df, CLS_TARGET, "classification", engineer=False)
+        return models.prepare(numeric(spark, d), REG_TARGET, "regression", engineer=False)
+    return models.prepare(dash(spark, d), CLS_TARGET, "classification", engineer=False)
 
 
 def _fit_query(task: str, model: str, **kw):
@@ -375,7 +373,7 @@ WHERE substr(md5('42|' || CAST(player_id AS VARCHAR)), 1, 8) < '{split.hex_thres
 def _projection(spark, d):
     """Next-season points from this season's features (lead as the target)."""
     from pyspark.sql import Window
-    df = dash(spark, d)
+    df = numeric(spark, d)
     w = Window.partitionBy("player_id").orderBy("season")
     df = df.withColumn("next_pts", F.lead("pts").over(w))
     known = df.where(F.col("next_pts").isNotNull())

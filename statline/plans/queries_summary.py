@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import metrics as M
 from ..operators import aggregate, classify, clean, dashboard, features, rank
+from . import train
 from .catalog import fx, quantile_sql, register, with_fixtures
 from .queries_features import FEATURES_SQL
 
@@ -50,6 +52,12 @@ def labelled(spark, d):
     return classify.label_statlines(fx(spark, d).statlines)
 
 
+def numeric(spark, d):
+    """The dashboard frame's numeric columns, without labels and so without their quantiles."""
+    df = fx(spark, d).statlines.withColumn("ts_pct", M.true_shooting())
+    return features.create_features(df.withColumn("composite_score", M.composite_score()))
+
+
 def dash(spark, d):
     """Dashboard frame: labelled statlines with the engineered features."""
     return features.create_features(labelled(spark, d))
@@ -97,16 +105,22 @@ register("distinct_teams", with_fixtures(
 PROFILE_COLS = ("pts", "reb", "ast", "true_shooting_percentage", "usage_rate")
 register("group_profile", sql(
     "SELECT position, " + ", ".join(
-        f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_std" for c in PROFILE_COLS)
+        f"round_even(avg({c}), 2) AS {c}_mean, round_even(stddev_samp({c}), 2) AS {c}_std" for c in PROFILE_COLS)
     + " FROM dash GROUP BY position", dashboard_frame=True))(
-    lambda spark, d: aggregate.group_profile(dash(spark, d), "position", PROFILE_COLS,
-                                             decimals=None))
+    lambda spark, d: aggregate.group_profile(dash(spark, d), "position", PROFILE_COLS))
 
 register("group_means_sorted", sql(
     "SELECT position, avg(pts) AS mean_pts FROM labelled GROUP BY position", lab=True))(
     lambda spark, d: aggregate.group_means_sorted(labelled(spark, d), "position", "pts"))
 
 QSPEC = {"pts": (0.4, 0.5, 0.6, 0.7, 0.8), "reb": (0.7, 0.8), "ast": (0.5, 0.7)}
+HOT_SPEC = {"v": (0.0, 0.1, 0.25, 0.5, 0.6, 0.75, 0.99, 1.0)}
+register("quantile_hot_value", with_fixtures(
+    "WITH hv AS (SELECT CASE WHEN player_id % 2 = 0 THEN 10E0 ELSE pts END AS v FROM statlines) SELECT "
+    + ", ".join(f"{quantile_sql('hv', 'v', p)} AS v_q{aggregate._label(p)}" for p in HOT_SPEC["v"]), "statlines"))(
+    lambda spark, d: aggregate.quantiles(fx(spark, d).statlines.select(
+        F.when(F.col("player_id") % 2 == 0, 10.0).otherwise(F.col("pts")).alias("v")), HOT_SPEC))
+
 register("quantile_table", with_fixtures("SELECT " + ", ".join(
     f"{quantile_sql('statlines', c, p)} AS {c}_q{int(round(p * 100))}"
     for c, ps in QSPEC.items() for p in ps), "statlines"))(
@@ -188,7 +202,10 @@ register("elite_players", sql(
     dashboard_frame=True))(
     lambda spark, d: clean.filter_tier(dash(spark, d), "Elite", cols=list(ELITE_COLS)))
 
-register("sample_rows", None)(lambda spark, d: rank.sample_rows(fx(spark, d).statlines, 2))
+register("sample_rows", with_fixtures(
+    "SELECT player_id, season, pts, reb, ast FROM statlines ORDER BY player_id, season LIMIT 2", "statlines"))(
+    lambda spark, d: rank.sample_rows(fx(spark, d).statlines.select("player_id", "season", "pts", "reb", "ast"), 2,
+                                      ("player_id", "season")))
 
 # ----------------------------------------------------------------- V1, V3, V7, V8
 
@@ -209,16 +226,28 @@ register("histogram_rebounds", with_fixtures(_hist_sql("reb", 30), "statlines"))
     lambda spark, d: dashboard.histogram(fx(spark, d).statlines, "reb", 30))
 
 
-def _grid_sql(x: str, y: str, bins: int) -> str:
+def _grid_sql(x: str, y: str, bins: int, shade: str | None = None) -> str:
     def b(c):
         return (f"CASE WHEN {c}hi = {c}lo THEN 0 ELSE least(CAST(floor(({c}v - {c}lo) / ({c}hi - {c}lo)"
                 f" * {bins}) AS INTEGER), {bins - 1}) END")
-    return f"""WITH mm AS (SELECT min({x}) AS xlo, max({x}) AS xhi, min({y}) AS ylo, max({y}) AS yhi FROM statlines),
-p AS (SELECT {x} AS xv, {y} AS yv FROM statlines WHERE {x} IS NOT NULL AND {y} IS NOT NULL)
-SELECT {b('x')} AS x_bin, {b('y')} AS y_bin, count(*) AS count, avg(xv) AS mean_{x}, avg(yv) AS mean_{y}
+    more = f", avg(shade) AS mean_{shade}" if shade else ""
+    return f"""WITH src AS (SELECT *, pts / nullif(2 * (fga + 0.44E0 * fta), 0) AS ts_pct FROM statlines),
+mm AS (SELECT min({x}) AS xlo, max({x}) AS xhi, min({y}) AS ylo, max({y}) AS yhi FROM src),
+p AS (SELECT {x} AS xv, {y} AS yv, {shade or x} AS shade FROM src WHERE {x} IS NOT NULL AND {y} IS NOT NULL)
+SELECT {b('x')} AS x_bin, {b('y')} AS y_bin, count(*) AS count, avg(xv) AS mean_{x}, avg(yv) AS mean_{y}{more}
 FROM p CROSS JOIN mm GROUP BY 1, 2"""
 
 
+register("scatter_pts_ast", with_fixtures(_grid_sql("pts", "ast", 20), "statlines"))(
+    lambda spark, d: dashboard.scatter_grid(fx(spark, d).statlines, "pts", "ast", 20))
+
+register("scatter_efficiency", with_fixtures(_grid_sql("fg_pct", "ts_pct", 20, "pts"), "statlines"))(
+    lambda spark, d: dashboard.scatter_grid(fx(spark, d).statlines.withColumn("ts_pct", M.true_shooting()),
+                                            "fg_pct", "ts_pct", 20, shade="pts"))
+
+register("histogram_assists", with_fixtures(_hist_sql("ast", 30), "statlines"))(
+    lambda spark, d: dashboard.histogram(fx(spark, d).statlines, "ast", 30))
+
 register("scatter_grid", with_fixtures(_grid_sql("pts", "reb", 20), "statlines"))(
     lambda spark, d: dashboard.scatter_grid(fx(spark, d).statlines, "pts", "reb", 20))
 
@@ -241,4 +270,25 @@ register("feature_summary", sql(
     + ", CAST(22 AS BIGINT) AS original_features, CAST(23 AS BIGINT) AS engineered_features, "
       "CAST(45 AS BIGINT) AS total_features FROM dash", dashboard_frame=True))(_feature_summary)
 
-_ = F
+
+
+def _dashboard_sizes(spark, d):
+    """Rows of each chart dataset."""
+    charts = train.dashboard_datasets(fx(spark, d).statlines, fx(spark, d).players)
+    out = None
+    for name in CHARTS:
+        n = charts[name].agg(F.lit(name).alias("chart"), F.count("*").alias("rows"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+CHARTS = ("summary", "histogram_pts", "histogram_reb", "histogram_ast", "top_scorers", "top_rebounders",
+          "position_distribution", "tier_distribution", "position_comparison", "team_bars")
+
+register("dashboard_sizes", with_fixtures("WITH " + LABELLED_SQL + """
+SELECT * FROM (VALUES ('summary', 5::BIGINT), ('histogram_pts', 30), ('histogram_reb', 30), ('histogram_ast', 30),
+  ('top_scorers', 10), ('top_rebounders', 10)) t(chart, rows)
+UNION ALL SELECT 'position_distribution', count(DISTINCT position) FROM labelled
+UNION ALL SELECT 'tier_distribution', count(DISTINCT performance_tier) FROM labelled
+UNION ALL SELECT 'position_comparison', count(DISTINCT position) FROM labelled
+UNION ALL SELECT 'team_bars', count(DISTINCT coalesce(team_name, '-')) FROM players""", "statlines", "players"))(_dashboard_sizes)

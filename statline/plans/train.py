@@ -42,8 +42,22 @@ def train_and_score(statlines: DataFrame, target: str, task: str = "regression",
             "best": evaluate.best_model(metrics, best_metric)}
 
 
-def dashboard_datasets(statlines: DataFrame) -> dict[str, DataFrame]:
-    """Every chart dataset of the dashboard, lazily, keyed by chart."""
+def dashboard_datasets(statlines: DataFrame, players: DataFrame | None = None, metrics: DataFrame | None = None,
+                       predictions: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every chart dataset of the dashboard, keyed by chart.
+
+    ``players`` adds the team bars. ``metrics`` (model, metric, value), as
+    ``train_and_score`` returns them, adds the model comparison and the
+    precision–recall points; ``predictions`` (truth, prediction) adds the heat map.
+    """
+    more = {}
+    if players is not None:
+        more["team_bars"] = aggregate.value_distribution(players, "team_name")
+    if metrics is not None:
+        more["model_comparison"] = metrics
+        more["precision_recall"] = metrics.where(F.col("metric").isin("precision", "recall"))
+    if predictions is not None:
+        more["confusion"] = evaluate.confusion_matrix(predictions, "truth", "prediction")
     lab = classify.label_statlines(statlines)
     feat = features.create_features(lab)
     core = ("pts", "reb", "ast", "min", "fg_pct")
@@ -57,6 +71,7 @@ def dashboard_datasets(statlines: DataFrame) -> dict[str, DataFrame]:
         "histogram_ast": dashboard.histogram(statlines, "ast"),
         "scatter_pts_reb": dashboard.scatter_grid(statlines, "pts", "reb"),
         "scatter_pts_ast": dashboard.scatter_grid(statlines, "pts", "ast"),
+        "scatter_efficiency": dashboard.scatter_grid(lab, "fg_pct", "ts_pct", shade="pts"),
         "top_scorers": rank.top_n(feat, "pts", 10, cols, ("player_id", "season")),
         "top_rebounders": rank.top_n(feat, "reb", 10, cols, ("player_id", "season")),
         "top_playmakers": rank.top_n(feat, "ast", 10, cols, ("player_id", "season")),
@@ -65,4 +80,4 @@ def dashboard_datasets(statlines: DataFrame) -> dict[str, DataFrame]:
             feat, "position", ("pts", "reb", "ast", "true_shooting_percentage", "usage_rate")),
         "position_comparison": dashboard.position_comparison(lab),
         "feature_summary": dashboard.feature_summary(feat, lab.columns),
-    }
+    } | more

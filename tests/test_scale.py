@@ -77,6 +77,32 @@ def test_upsert_is_idempotent_and_keeps_latest(spark):
         "k", "part", "ver", "v").collect()) == twice
 
 
+def test_upsert_moves_keys_between_partitions(spark):
+    schema = "k long, part string, ver long"
+    path = scratch_path(spark, "test-upsert")
+    writers.upsert(spark, spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, None, 1)], schema), path, ("k",), ("ver",), ("part",))
+    writers.upsert(spark, spark.createDataFrame([(1, "b", 2), (3, "a b/c", 2), (4, None, 1)], schema), path, ("k",), ("ver",), ("part",))
+    got = sorted((r.k, r.part, r.ver) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [(1, "b", 2), (2, "b", 1), (3, "a b/c", 2), (4, None, 1)]
+
+
+def test_high_water_mark_reaches_the_scan(spark):
+    from statline.sources import landed
+    from statline.sources.fixtures import fixtures
+    events = fixtures(spark, SMALL).events
+    loaded = events.where(F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-20 00:00:00")))
+    plan = _plan(landed.incremental_delta(events, loaded, "ts"))
+    assert "GreaterThan(ts,2024-01-19" in plan and "Join" not in plan
+
+
+def test_quantiles_do_not_sort_rows(spark):
+    """Only tables of counts are ordered: no sort or exchange of the values in any plan that ran."""
+    from statline.operators import aggregate
+    df = spark.range(20_000).selectExpr("CAST(id % 7919 AS DOUBLE) AS v")
+    plan = _plan(aggregate.quantiles(df, {"v": (0.5,)}))
+    assert "Sort" not in plan and "Exchange" not in plan  # what is returned is one written row
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -158,19 +158,65 @@ def test_history_gaps_and_order(spark):
     assert got[(3, "2000-01")] == (None, None)
 
 
-@pytest.mark.parametrize("limit", [0, 10_000_000])
-def test_quantile_paths_agree(spark, monkeypatch, limit):
-    """In-task and distributed exact quantiles give the same numbers (pandas definition)."""
+@pytest.mark.parametrize("values", [
+    [float(i % 40) for i in range(500)] + [None, float("nan")],
+    [10.0] * 300 + [float(i) / 7 for i in range(200)],
+    [0.0, -0.0, -5e-324, 5e-324, -1e300, 1e300, -3.5, -3.5, 2.0**-1000, float("inf"), 1.0, 1.0 + 2**-52],
+    [1.0 + i * 2**-52 for i in range(300)] + [-1e9, 1e9],
+    [7.0],
+])
+def test_counted_quantiles_equal_sorted(spark, values):
+    """Exact for hot values, neighbours of one bit, all magnitudes and both signs."""
     import numpy as np
-    rng = np.random.default_rng(3)
-    vals = [float(x) for x in rng.integers(0, 40, 500)] + [None]
-    df = spark.createDataFrame([(v, (i % 3)) for i, v in enumerate(vals)], "v double, g long")
-    monkeypatch.setattr(aggregate, "SORT_IN_TASK_LIMIT", limit)
-    got = aggregate.quantiles(df, {"v": (0.1, 0.5, 0.73)}).first()
-    clean_vals = np.array([v for v in vals if v is not None])
-    for p, name in ((0.1, "v_q10"), (0.5, "v_q50"), (0.73, "v_q73")):
-        assert got[name] == pytest.approx(float(np.quantile(clean_vals, p)), rel=1e-12)
+    df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "v double, g long")
+    good = np.sort([v for v in values if v is not None and not math.isnan(v)])
+    probs = (0.0, 0.1, 0.5, 0.73, 1.0)
+    got = aggregate.quantiles(df, {"v": probs}).first()
+    for p in probs:
+        pos = (len(good) - 1) * p
+        lo, hi = float(good[math.floor(pos)]), float(good[math.ceil(pos)])
+        want = lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos))
+        have = got[f"v_q{aggregate._label(p)}"]
+        assert have == pytest.approx(want, rel=1e-12) or math.isnan(want)
     per_group = {r.g: r.v_q50 for r in aggregate.quantiles(df, {"v": (0.5,)}, by=("g",)).collect()}
     for g in range(3):
-        gv = np.array([v for i, v in enumerate(vals) if v is not None and i % 3 == g])
-        assert per_group[g] == pytest.approx(float(np.median(gv)))
+        own = [v for i, v in enumerate(values) if i % 3 == g and v is not None and not math.isnan(v)]
+        if own:
+            assert per_group[g] == pytest.approx(float(np.median(own)), nan_ok=True)
+
+
+def test_quantiles_without_values(spark):
+    df = spark.createDataFrame([(None, 1)], "v double, g long")
+    assert aggregate.quantiles(df, {"v": (0.5,)}).first().v_q50 is None
+    assert aggregate.quantiles(df, {"v": (0.5,)}, by=("g",)).collect() == []
+
+
+def test_contract_report(spark):
+    from statline.operators.quality import check_contract
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(1, "a", 2.0)], "player_id long, season string, extra double")
+    contract = T.StructType.fromDDL("player_id bigint, season bigint, pts double")
+    assert {r["column_name"]: r["status"] for r in check_contract(df, contract)} == {
+        "player_id": "ok", "season": "type_mismatch", "pts": "missing", "extra": "undeclared"}
+
+
+def test_constant_columns_do_not_count_for_gamma(spark):
+    from statline.ml import models, split
+    df = spark.createDataFrame([(1.0, 5.0, 0.0), (3.0, 5.0, 0.0)], "a double, b double, c double")
+    params = split.fit_standard_scaler(df, ["a", "b", "c"])
+    assert params.constant == ("b", "c") and params["a"] == (2.0, 1.0) and params["b"] == (5.0, 1.0)
+    prep = models.Prepared(df, ["a", "b", "c"], "y", "regression", ("a",), params)
+    assert models._gamma_scale(prep) == pytest.approx(1.0)
+
+
+def test_class_cutoffs_equal_ranks(spark):
+    from pyspark.sql import Window
+    from statline.ml import split
+    df = spark.range(4000).selectExpr("id AS player_id", "'2000-01' AS season",
+                                      "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 1000 = 1 THEN NULL ELSE concat('c', id % 5) END AS label")
+    got = {r.player_id for r in split.stratified_split(df, "label").where("is_test").collect()}
+    h = split.key_hash(("player_id", "season"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy(h, "player_id", "season"))
+    size = F.count("*").over(Window.partitionBy("label"))
+    want = {r.player_id for r in df.withColumn("p", place).withColumn("n", size).where("p <= round(n * 0.2)").collect()}
+    assert got == want
