@@ -139,7 +139,8 @@ def _counted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: S
     q = (state.withColumn("__x", found).groupBy(*grp, "__i")
          .agg(F.max(F.when(F.col("__role") == 0, F.col("__x"))).alias("__lov"),
               F.max(F.when(F.col("__role") == 1, F.col("__x"))).alias("__hiv"), F.max("__d").alias("__d"))
-         .withColumn("__q", F.col("__lov") + (F.col("__hiv") - F.col("__lov")) * F.col("__d")))
+         .withColumn("__q", F.when(F.col("__lov") == F.col("__hiv"), F.col("__lov"))
+                     .otherwise(F.col("__lov") + (F.col("__hiv") - F.col("__lov")) * F.col("__d"))))
     out = saved(q.groupBy(*by).agg(*[
         F.max(F.when((F.col("__c") == j) & (F.col("__i") == i), F.col("__q"))).alias(f"{c}_q{_label(p)}")
         for j, c in enumerate(cols) for i, p in enumerate(spec[c])]), "quantiles")
