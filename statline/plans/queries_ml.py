@@ -226,16 +226,35 @@ FROM p""", "statlines"))(
 # ----------------------------------------------------------------- fitted models (rows)
 
 
-def _prep(spark, d, task):
-    if task == "regression":
-        return models.prepare(numeric(spark, d), REG_TARGET, "regression", engineer=False)
-    return models.prepare(dash(spark, d), CLS_TARGET, "classification", engineer=False)
+#: Prepared inputs and folders of fitted pipelines by session, tables, task and model: queries that need the
+#: same full-size model share one fit.
+_PREPARED: dict[tuple, models.Prepared] = {}
+_FITTED: dict[tuple, str] = {}
 
 
-def _fit_query(task: str, model: str, **kw):
+def _prep(spark, d, task):
+    at = (spark.sparkContext.applicationId, d, task)
+    if at not in _PREPARED:
+        if task == "regression":
+            _PREPARED[at] = models.prepare(numeric(spark, d), REG_TARGET, "regression", engineer=False)
+        else:
+            _PREPARED[at] = models.prepare(dash(spark, d), CLS_TARGET, "classification", engineer=False)
+    return _PREPARED[at]
+
+
+def _fit(spark, d, task, model):
+    """The input and the fitted pipeline, loaded from where its first use saved it."""
+    prep, at = _prep(spark, d, task), (spark.sparkContext.applicationId, d, task, model)
+    if at not in _FITTED:
+        path = scratch_path(spark, "model")
+        models.save_model(models.fit(prep, model), path)
+        _FITTED[at] = path
+    return prep, models.load_model(_FITTED[at])
+
+
+def _fit_query(task: str, model: str):
     def run(spark, d):
-        prep = _prep(spark, d, task)
-        m = models.fit(prep, model, **kw)
+        prep, m = _fit(spark, d, task, model)
         return models.evaluate_model(m, prep).withColumn("model", F.lit(model))
     return run
 
@@ -260,7 +279,6 @@ def _cv_query(task: str, model: str, **kw):
 
 
 for _name, _task, _model in (("cv_linear", "regression", "linear_regression"),
-                             ("cv_rf_regressor", "regression", "random_forest"),
                              ("cv_kernel_regressor", "regression", "kernel_svr"),
                              ("cv_logistic", "classification", "logistic_regression"),
                              ("cv_rf_classifier", "classification", "random_forest"),
@@ -270,10 +288,9 @@ for _name, _task, _model in (("cv_linear", "regression", "linear_regression"),
 
 def _compare(spark, d):
     """L20 + V4: hold-out metrics of every regressor, with the best by r²."""
-    prep = _prep(spark, d, "regression")
     parts = []
     for m in models.REGRESSORS:
-        fitted = models.fit(prep, m)
+        prep, fitted = _fit(spark, d, "regression", m)
         parts.append(models.evaluate_model(fitted, prep).withColumn("model", F.lit(m)))
     out = parts[0]
     for p in parts[1:]:
@@ -287,8 +304,7 @@ register("compare_models", None)(_compare)
 
 
 def _importance(spark, d):
-    prep = _prep(spark, d, "regression")
-    m = models.fit(prep, "random_forest")
+    prep, m = _fit(spark, d, "regression", "random_forest")
     rows = models.feature_importance(m, prep)
     return spark.createDataFrame(rows, "feature string, importance double")
 
@@ -409,10 +425,9 @@ WHERE substr(md5('42|' || CAST(player_id AS VARCHAR) || '|' || season), 1, 8) <
 def _compare_classifiers(spark, d):
     """L20 + V4/V6: hold-out accuracy, precision, recall and F1 of every classifier,
     with the best model by accuracy."""
-    prep = _prep(spark, d, "classification")
     parts = []
     for m in models.CLASSIFIERS:
-        fitted = models.fit(prep, m)
+        prep, fitted = _fit(spark, d, "classification", m)
         parts.append(models.evaluate_model(fitted, prep).withColumn("model", F.lit(m)))
     out = parts[0]
     for p in parts[1:]:
