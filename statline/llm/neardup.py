@@ -43,6 +43,8 @@ SKETCH_BITS, SKETCH_LONGS = 512, 8
 DEVIATIONS = 6
 #: Members of a bucket that one task compares with as many others, and pairs that leave it first.
 BLOCK, FIRST = 2048, 4
+#: Text bytes whose words and shingles a task hashes at once.
+SLICE = 4 << 20
 #: Bits of the parity of all shingles, by the largest set that has them; longer sets get the last.
 PARITY_BITS = ((4096, 2048), (32_768, 16_384), (1 << 62, 65_536))
 
@@ -126,7 +128,7 @@ def features(docs: DataFrame, words: int) -> DataFrame:
     """Set size, digest of the set, band hashes and odd sketch of every row."""
 
     def compute(batches):
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=SLICE):
             n, keys, bands, sketches, parities = [], [], [], [], []
             for shingles in shingle_sets(plain_strings(part.column("text")), words):
                 n.append(len(shingles))
@@ -175,7 +177,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
 
     def sets(batches):
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=SLICE):
             made = [s.view(np.int64) for s in shingle_sets(plain_strings(part.column("text")), words)]
             ends = np.concatenate(([0], np.cumsum([len(s) for s in made]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
