@@ -71,8 +71,10 @@ RULES = (
     *((name, (f"notice {name}",)) for name in NAMES),
 )
 PARTIAL = "part of a licence"
-#: Every known sentence has one of these, so a text without any needs no closer look.
-ANCHORS = r"(?i)licen[sc]e|permission|warrant|redistribut|copyright|gpl|cc by|creative commons|in no event"
+#: Every known sentence has one of these in the raw text too, so a text without any needs no closer look: each lies within
+#: one word ("cc" with the mark or space after it), so it doesn't matter what stands between words. A long s (U+017F)
+#: ends a word, but (?i) takes it for a letter.
+ANCHORS = r"(?i)licen[sc]e|permission|warrant|redistribut|copyright|gpl|cc(?:[^a-z0-9]|ſ)"
 
 _ATOM = re.compile(r"[^\n]+?(?:[.!?;:]+(?=\s|$)|(?=\n)|$)")
 _WORD = re.compile(r"[a-z0-9]+")

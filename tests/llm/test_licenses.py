@@ -90,3 +90,21 @@ def test_odd_documents(spark, odd, clashing, empty):
     got = scan(some).collect()
     assert sorted((r.doc_id or 0, r.license) for r in got) == [(0, "MIT"), (1, "MIT"), (1, "MIT")]
     assert rows_of(scan(odd)) == rows_of(scan(clashing)) and len(odd_rows())
+
+
+@pytest.mark.parametrize("between", ["-", "\n", "\n * ", "\t", "  ", "\u00a0", "\u2010", "_", "\u017f", " / "])
+def test_whatever_stands_between_words_passes_the_anchor(between):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    texts = [between.join(w.upper() if i % 2 else w for i, w in enumerate(words)) for words in _known()]
+    near = pc.match_substring_regex(pa.array(texts), ANCHORS).to_pylist()
+    assert [t for t, n in zip(texts, near) if not n] == []
+
+
+def test_scan_finds_what_the_rules_find(spark):
+    texts = ["Released under CC-BY 4.0.", "This work is distributed under CC-BY-SA 4.0", "Available under the CC-BY-NC 4.0.",
+             "available under CC\u00a0BY 4.0", "Released under CC\n# BY 4.0", "Released under CC\tBY  4.0.", "released under cc_by 4.0"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = sorted((r.doc_id, r.license, r.start, r.stop) for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(i, *m[:3]) for i, t in rows for m in RULES.match(t)]
+    assert {i for i, *_ in got} == set(range(len(texts)))
