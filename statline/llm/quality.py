@@ -1,10 +1,13 @@
 """Text quality by a vote of the nearest labelled documents in a latent-semantic space.
 
-A document's features are how often each word shape occurs (letters and digits folded, marks kept)
-and how often a word repeats the one before. Logarithmic counts times inverse document frequency go
-through a truncated singular value decomposition. Labelled vectors, at most ``LABELLED`` of them,
-are broadcast; each document's cosines with all of them come from one matrix product for a block of
-documents, and its ``NEIGHBOURS`` nearest vote with a power of their similarity.
+A document's features are its words (letters and digits without marks, lower case; pairs of characters
+where a script has no spaces), hashed into ``TERMS`` buckets, how often each word shape occurs (letters
+and digits folded, marks kept) and how often a word repeats the one before. Spark takes the document
+frequencies of the features over the whole table. Logarithmic counts times inverse document frequency,
+with words and marks weighing the same on average, go through a truncated singular value decomposition
+of the sparse matrix of labelled rows. Labelled vectors, at most ``LABELLED`` of them, are broadcast;
+each document's cosines with all of them come from one matrix product for a block of documents, and its
+``NEIGHBOURS`` nearest vote with a power of their similarity.
 """
 
 from __future__ import annotations
@@ -23,10 +26,16 @@ from .words import split_words
 
 #: Bound on labelled documents (those with the smallest hashes teach), latent size, voters.
 LABELLED, LATENT, NEIGHBOURS, SHARPNESS = 4096, 48, 15, 12
-SHAPES = 511  # the last feature counts repeated words
-FEATURES = SHAPES + 1
+SHAPES = 511  # one more feature counts repeated words, then come the words
+MARKS = SHAPES + 1
+TERMS = 1 << 16
+FEATURES = MARKS + TERMS
 LOW = 0.3
 BLOCK = 256
+#: The decomposition ends when a round adds less than this share of what its axes hold.
+SETTLED, MOST_ROUNDS, SPARE = 1e-4, 60, 16
+#: Scripts without spaces between words.
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 
 
 def _shape_of(words: pa.Array) -> pa.Array:
@@ -36,28 +45,105 @@ def _shape_of(words: pa.Array) -> pa.Array:
     return words
 
 
-def counts(texts: pa.Array) -> np.ndarray:
-    """Feature counts, one row for each text; texts without words have zeros."""
+def _spread(starts: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and positions of the picked groups; group ``g`` is ``starts[g]:starts[g + 1]``."""
+    lengths = np.diff(starts)[picked]
+    ends = np.cumsum(lengths)
+    return lengths, np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[picked] - (ends - lengths), lengths)
+
+
+def _terms_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, buckets): word ``i`` has the terms ``buckets[starts[i]:starts[i + 1]]``, marks alone have none."""
+    starts, codes, terms = split_words(pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}\p{N}]+", " "))
+    unspaced = pc.match_substring_regex(terms, _UNSPACED).to_numpy(zero_copy_only=False)
+    sizes = np.ones(len(terms), np.int64)
+    pairs = terms.filter(pa.array(unspaced, pa.bool_()))
+    chars = pc.utf8_length(pairs).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes[unspaced] = np.maximum(chars - 1, 1)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    buckets = np.empty(at[-1], np.int64)
+    buckets[at[:-1][~unspaced]] = [zlib.crc32(t.encode()) % TERMS for t in terms.filter(pa.array(~unspaced, pa.bool_())).to_pylist()]
+    if len(pairs):
+        code = np.frombuffer("".join(pairs.to_pylist()).encode("utf-32-le"), "<u4").astype(np.uint64)
+        last = np.cumsum(chars) - 1
+        after = np.append(code[1:], np.uint64(0))
+        after[last] = 0
+        keep = np.ones(len(code), bool)
+        keep[last[chars > 1]] = False
+        pair = (code[keep] * np.uint64(1 << 21) + after[keep]) * np.uint64(0x9E3779B97F4A7C15)
+        buckets[_spread(at, np.flatnonzero(unspaced))[1]] = (pair >> np.uint64(40)).astype(np.int64) % TERMS
+    lengths, where = _spread(at, codes)
+    return np.concatenate(([0], np.cumsum(lengths)))[starts], buckets[where]
+
+
+def sparse_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, features, counts): features of text ``i``, ascending, and their counts stand at ``starts[i]:starts[i + 1]``."""
     offsets, codes, words = split_words(texts)
-    out = np.zeros((len(texts), FEATURES), np.float32)
     if not len(codes):
-        return out
+        return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
     shapes = _shape_of(words).dictionary_encode()
     bucket = np.array([zlib.crc32(s.encode()) % SHAPES for s in shapes.dictionary.to_pylist()])
     feature = bucket[shapes.indices.to_numpy(zero_copy_only=False)][codes]
     row = np.repeat(np.arange(len(texts)), np.diff(offsets))
     again = np.zeros(len(codes), bool)
     again[1:] = (codes[1:] == codes[:-1]) & (row[1:] == row[:-1])
-    for at in range(0, len(texts), BLOCK):
-        a, b = offsets[at], offsets[min(at + BLOCK, len(texts))]
-        n = min(BLOCK, len(texts) - at)
-        key = (row[a:b] - at) * FEATURES + feature[a:b]
-        block = np.bincount(key, minlength=n * FEATURES).reshape(n, FEATURES)
-        block[:, SHAPES] = np.bincount(row[a:b][again[a:b]] - at, minlength=n)
-        out[at:at + n] = block
+    starts, terms = _terms_of(words)
+    lengths, where = _spread(starts, codes)
+    key, n = np.unique(np.concatenate((row * FEATURES + feature, row[again] * FEATURES + SHAPES,
+                                       np.repeat(row, lengths) * FEATURES + MARKS + terms[where])), return_counts=True)
+    return np.searchsorted(key, np.arange(len(texts) + 1) * FEATURES), key % FEATURES, n.astype(np.float32)
+
+
+def counts(texts: pa.Array) -> np.ndarray:
+    """Feature counts, one row for each text; texts without words have zeros."""
+    starts, features, n = sparse_counts(texts)
+    out = np.zeros((len(texts), FEATURES), np.float32)
+    out[np.repeat(np.arange(len(texts)), np.diff(starts)), features] = n
+    return out
+
+
+def _times(starts: np.ndarray, columns: np.ndarray, values: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """Product of a sparse matrix by rows and a dense one, some rows at a time."""
+    out = np.zeros((len(starts) - 1, dense.shape[1]), dense.dtype)
+    at = 0
+    while at < len(out):
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + (1 << 17), side="right")) - 1)
+        a, b = starts[at], starts[to]
+        full = np.flatnonzero(starts[at:to] < starts[at + 1:to + 1])
+        if len(full):
+            out[at + full] = np.add.reduceat(dense[columns[a:b]] * values[a:b, None], starts[at + full] - a, axis=0)
+        at = to
     return out
 
 
+def _weighted(starts: np.ndarray, features: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Values of unit rows: logarithmic counts times inverse document frequency."""
+    values = np.log1p(n) * idf[features]
+    squares = np.concatenate(([0.0], np.cumsum(values.astype(np.float64) ** 2)))[starts]
+    norm = np.sqrt(np.maximum(np.diff(squares), 0))
+    return values / np.repeat(np.maximum(norm, 1e-9), np.diff(starts)).astype(values.dtype)
+
+
+def _axes(starts: np.ndarray, features: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The ``LATENT`` main right singular vectors of the sparse rows, by subspace iteration until they settle."""
+    rows = len(starts) - 1
+    used, column = np.unique(features, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row = np.repeat(np.arange(rows), np.diff(starts))[order]
+    by_column = np.concatenate(([0], np.cumsum(np.bincount(column, minlength=len(used)))))
+    width = min(LATENT + SPARE, rows, len(used))
+    axes, held = np.linalg.qr(np.random.default_rng(0).standard_normal((len(used), width)))[0], 0.0
+    for _ in range(MOST_ROUNDS):
+        left = np.linalg.qr(_times(starts, column, values, axes))[0]
+        turned, size, _ = np.linalg.svd(_times(by_column, row, values[order], left), full_matrices=False)
+        axes, before, held = turned, held, float((size[:LATENT] ** 2).sum())
+        if held - before <= SETTLED * held:
+            break
+    basis = np.zeros((FEATURES, min(LATENT, width)), np.float32)
+    basis[used] = axes[:, :LATENT]
+    return basis
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
@@ -71,10 +157,12 @@ class QualityModel:
     spark: object = None
 
     @classmethod
-    def fit(cls, docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> QualityModel:
+    def fit(cls, docs: DataFrame, labels: DataFrame, bound: int = LABELLED, marks: bool = True) -> QualityModel:
         """Learn from labelled rows whose crc32(doc_id) mod 5 is not 0; rows without label, id or text teach nothing.
 
         A document with several labels has their mean. Of repeated ids in ``docs`` the smallest text counts.
+        Document frequencies come from all such rows of ``docs``, labelled or not. Without ``marks`` only
+        the words count.
         """
         spark = docs.sparkSession
         workers_import_package(spark)
@@ -87,32 +175,56 @@ class QualityModel:
 
         def features(batches):
             for part in text_slices(batches):
-                got = counts(plain_strings(part.column("text"))).astype("<f4")
+                starts, found, n = sparse_counts(plain_strings(part.column("text")))
+                cut = [found.astype("<i4"), n.astype("<f4")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("quality"), pa.array([r.tobytes() for r in got], pa.binary())],
-                    ["doc_id", "quality", "counts"])
+                    [part.column("doc_id"), part.column("quality"),
+                     *(pa.array([c[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary()) for c in cut)],
+                    ["doc_id", "quality", "features", "counts"])
 
-        got = rows.mapInArrow(features, "doc_id long, quality double, counts binary").toPandas().sort_values("doc_id")
+        def frequencies(batches):
+            seen, rows_seen = np.zeros(FEATURES, np.int64), 0
+            for part in text_slices(batches):
+                seen += np.bincount(sparse_counts(plain_strings(part.column("text")))[1], minlength=FEATURES)
+                rows_seen += part.num_rows
+            at = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(seen[at], rows_seen))],
+                                             ["feature", "n"])
+
+        got = (rows.mapInArrow(features, "doc_id long, quality double, features binary, counts binary")
+               .toPandas().sort_values("doc_id"))
         if not len(got):
-            return cls(np.zeros(FEATURES), np.zeros((FEATURES, 1)), np.zeros((0, 1)), np.zeros(0), spark)
-        table = np.frombuffer(b"".join(got["counts"]), "<f4").reshape(len(got), FEATURES).astype(np.float64)
-        idf = np.log((1 + len(table)) / (1 + (table > 0).sum(axis=0))) + 0.1
-        _, _, axes = np.linalg.svd(_unit(np.log1p(table) * idf), full_matrices=False)
-        basis = axes[:LATENT].T
-        vectors = _unit(_unit(np.log1p(table) * idf) @ basis)
+            return cls(np.zeros(FEATURES), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1)), np.zeros(0), spark)
+        seen = (docs.where(F.col("text").isNotNull() & taught).select("text").mapInArrow(frequencies, "feature int, n long")
+                .groupBy("feature").agg(F.sum("n").alias("n")).toPandas())
+        often = np.zeros(FEATURES + 1)
+        often[seen["feature"]] = seen["n"]  # the last one, -1, counts documents
+        idf = np.log((1 + often[-1]) / (1 + often[:-1])) + 0.1
+        starts = np.concatenate(([0], np.cumsum([len(f) // 4 for f in got["features"]])))
+        found = np.frombuffer(b"".join(got["features"]), "<i4").astype(np.int64)
+        n = np.frombuffer(b"".join(got["counts"]), "<f4").astype(np.float64)
+        row = np.repeat(np.arange(len(got)), np.diff(starts))
+        for some, block in ((found < MARKS, slice(0, MARKS)), (found >= MARKS, slice(MARKS, None))):
+            size = np.sqrt(np.bincount(row[some], (np.log1p(n[some]) * idf[found[some]]) ** 2, minlength=len(got))).mean()
+            idf[block] /= max(size, 1e-9)
+        if not marks:
+            idf[:MARKS] = 0
+        values = _weighted(starts, found, n, idf)
+        basis = _axes(starts, found, values)
+        vectors = _unit(_times(starts, found, values, basis.astype(np.float64)))
         return cls(idf, basis, vectors, got["quality"].to_numpy(np.float64), spark)
 
     def votes(self, texts: pa.Array) -> np.ndarray:
         """Score of each text: similarity-weighted mean label of its nearest; without any, the mean label or 0.5."""
         if not len(self.labels):
             return np.full(len(texts), 0.5)
-        table, base = counts(texts), float(self.labels.mean())
-        basis, vectors = self.basis.astype(np.float32), self.vectors.astype(np.float32).T.copy()
+        base, vectors = float(self.labels.mean()), self.vectors.astype(np.float32).T.copy()
+        starts, features, n = sparse_counts(texts)
+        place = _times(starts, features, _weighted(starts, features, n, self.idf.astype(np.float32)), self.basis)
         out = np.empty(len(texts))
         k = min(NEIGHBOURS, len(self.labels))
         for at in range(0, len(texts), BLOCK):
-            latent = _unit(_unit(np.log1p(table[at:at + BLOCK]) * self.idf.astype(np.float32)) @ basis)
-            cosine = latent @ vectors
+            cosine = _unit(place[at:at + BLOCK]) @ vectors
             near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
             weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** SHARPNESS
             total = weight.sum(axis=1)

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from corpus_rows import odd_rows, rows_of
 from pyspark.sql import functions as F
 
@@ -59,3 +60,39 @@ def test_odd_documents(spark, odd, clashing, empty):
     assert classify(empty, model).collect() == []
     untaught = QualityModel.fit(odd, labels.limit(0))
     assert {(r.score, r.predicted) for r in classify(odd, untaught).collect()} == {(0.5, 1)}
+
+
+def test_texts_of_other_words_with_like_marks_differ():
+    hello, bye, kanji, other = counts(pa.array(["Hello hello another", "Goodbye goodbye someone", "言語処理の研究", "天気予報を見る"]))
+    assert not np.array_equal(hello, bye) and np.array_equal(hello[:quality.MARKS], bye[:quality.MARKS])
+    assert (np.minimum(kanji, other)[quality.MARKS:]).sum() == 0 and kanji[quality.MARKS:].sum() == 6
+    same = counts(pa.array(["a-b $$$ C.", "A b c"]))
+    assert np.array_equal(same[0][quality.MARKS:], same[1][quality.MARKS:])
+
+
+@pytest.mark.parametrize("good, bad, gap", [("tree river stone cloud meadow", "casino bonus winner prize click", " "),
+                                            ("言語処理研究論文本", "賭博勝利賞金無料券", "")])
+def test_words_alone_tell_spam(spark, good, bad, gap):
+    """Both kinds have words of like shapes, and no mark or repeat."""
+    draw = np.random.default_rng(1)
+    rows = []
+    for i in range(400):
+        text = good if i % 2 else bad
+        rows.append((i, gap.join(draw.permutation(text.split() if gap else list(text))[:4]), i % 2))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    got = classify(table, QualityModel.fit(table, table.select("doc_id", "quality"))).where("held_out").collect()
+    assert len(got) > 40 and all(r.predicted == r.doc_id % 2 for r in got)
+
+
+def test_axes_are_the_singular_vectors(monkeypatch):
+    monkeypatch.setattr(quality, "LATENT", 5)
+    monkeypatch.setattr(quality, "SETTLED", 1e-13)
+    draw = np.random.default_rng(2)
+    dense = draw.random((40, 60)) * (draw.random((40, 60)) < 0.3) + np.outer(draw.random(40), draw.random(60))
+    dense[7] = 0
+    row, column = np.nonzero(dense)
+    starts = np.searchsorted(row, np.arange(41))
+    got = quality._axes(starts, column, dense[row, column])[:60]
+    want = np.linalg.svd(dense)[2][:5].T
+    assert np.allclose(got @ got.T, want @ want.T, atol=1e-2)
+    assert np.allclose(quality._times(starts, column, dense[row, column], want), dense @ want)
