@@ -9,12 +9,15 @@ each micro-batch is merged into the target with the idempotent ``upsert``
 
 ``dedup_stream`` keeps the first arrival of each key. Rows may come in any
 order: nothing is dropped for being late, and a key counts as repeated if the
-target has it within the look-back window around its event time.
+target, or an earlier kept event of the same micro-batch, has it within the
+look-back window around its event time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,32 +67,59 @@ def dedup_stream(spark: SparkSession, landing: str, schema: T.StructType, target
                  fmt: str = "parquet", max_files_per_trigger: int | None = None) -> None:
     """First arrival of each key, appended to ``target`` (partitioned by ``event_day``).
 
-    Each micro-batch keeps its earliest row per key and drops keys that the
-    target holds with an event time at most ``lookback`` away; only the days in
-    question are read. Running a batch again appends nothing. A key that
-    comes back after more than the look-back is a new event.
+    Each micro-batch drops rows whose key the target holds with an event time at
+    most ``lookback`` away; only the days in question are read. Of the rest, in
+    order of time, a key's first row is kept and then each that comes more than
+    ``lookback`` after the last kept one, so rows that land in order of time give
+    the same events in one micro-batch as in many. Running a batch again appends
+    nothing. Only for keys whose rows in a batch span more than ``lookback`` are
+    the distinct event times brought together, 8 bytes each. Rows without an
+    event time are one event of their key.
     """
     others = [f.name for f in schema.fields if f.name not in key]
+    span = F.expr(f"timestampdiff(MICROSECOND, timestamp'2000-01-01', timestamp'2000-01-01' + INTERVAL {lookback})")
+
+    def micros(of: str):
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp'1970-01-01', cast(`{of}` AS timestamp))")
+
+    def earliest(rows: DataFrame, *by: str) -> DataFrame:
+        """One row of each group, the earliest, with its place in time (``__at``) and the last one's (``__last``)."""
+        return (rows.groupBy(*key, *by).agg(F.min_by(F.struct("__at", *others), F.struct(ts, *[c for c in others if c != ts])).alias("__v"),
+                                            F.max("__at").alias("__last")).select(*key, "__v.*", "__last"))
+
+    def same_key(a: DataFrame, b: DataFrame):
+        return reduce(and_, [a[k].eqNullSafe(b[k]) for k in key])
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = saved(batch.groupBy(*key).agg(F.min_by(F.struct(*others), F.struct(ts, *[
-            c for c in others if c != ts])).alias("__v")).select(*key, "__v.*"), "dedup-batch")
-        low, high = first.agg(F.min(ts).cast("date"), F.max(ts).cast("date")).first()
-        if path_exists(spark, target) and low is not None:
-            days = F.col("event_day").between(F.date_sub(F.lit(low), 1) - F.expr(f"INTERVAL {lookback}"),
-                                              F.date_add(F.lit(high), 1) + F.expr(f"INTERVAL {lookback}"))
-            had = spark.read.parquet(target).where(days).select(*key, F.col(ts).alias("__ts"))
-            near = F.abs(F.expr(f"timestampdiff(MICROSECOND, __ts, `{ts}`)")) <= F.expr(
-                f"timestampdiff(MICROSECOND, timestamp'2000-01-01', timestamp'2000-01-01' + INTERVAL {lookback})")
-            same = near
-            for k in key:
-                same = same & first[k].eqNullSafe(had[k])
-            new = first.join(had, same, "left_anti")
-        else:
-            new = first
+        rows = batch.select(*key, *others).withColumn("__at", micros(ts)).withColumn("__none", F.col("__at").isNull())
+        low, high = rows.agg(F.min(ts).cast("date"), F.max(ts).cast("date")).first()
+        if path_exists(spark, target):
+            days = F.col("event_day").isNull()
+            if low is not None:
+                days = days | F.col("event_day").between(F.date_sub(F.lit(low), 1) - F.expr(f"INTERVAL {lookback}"),
+                                                         F.date_add(F.lit(high), 1) + F.expr(f"INTERVAL {lookback}"))
+            had = spark.read.parquet(target).where(days).select(*key, micros(ts).alias("__had"))
+            near = F.coalesce(F.abs(F.col("__at") - F.col("__had")) <= span, F.col("__at").isNull() & F.col("__had").isNull())
+            rows = rows.join(had, same_key(rows, had) & near, "left_anti")
+        rows = saved(rows, "dedup-rows")
+        first = saved(earliest(rows, "__none"), "dedup-first")
+        wide = F.coalesce(F.col("__last") - F.col("__at") > span, F.lit(False))
+        new = first.select(*key, *others)
+        if first.where(wide).limit(1).count():
+            some = first.where(wide).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)])
+            of_wide = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)])
+            times = (rows.where(~F.col("__none")).join(some, of_wide, "left_semi").groupBy(*key)
+                     .agg(F.array_sort(F.collect_set("__at")).alias("__all"), F.any_value(span).alias("__span")))
+            kept = times.select(
+                *[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)],
+                F.explode(F.expr("aggregate(__all, cast(array() AS array<bigint>), (kept, at) -> if("
+                                 "size(kept) = 0 or at - element_at(kept, -1) > __span, concat(kept, array(at)), kept))")).alias("__kept"))
+            events = earliest(rows.join(kept, of_wide & (F.col("__at") == F.col("__kept")), "left_semi"), "__at")
+            new = first.where(~wide).select(*key, *others).unionByName(events.select(*key, *others))
         (new.withColumn("event_day", F.col(ts).cast("date"))
          .write.mode("append").partitionBy("event_day").parquet(target))
         drop_scratch(first)
+        drop_scratch(rows)
 
     _drain(read_landing(spark, landing, schema, fmt, max_files_per_trigger), append, checkpoint)

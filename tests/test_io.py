@@ -120,3 +120,40 @@ def test_train_and_score_and_dashboard_plans(spark):
     assert ds["histogram_pts"].count() == 30
     assert ds["top_scorers"].count() == 10
     assert ds["summary"].count() == 5
+
+
+def _deduplicated(spark, rows, per_trigger):
+    from statline.streaming import stage
+    base = scratch_path(spark, "dedup-test")
+    make = lambda some: spark.createDataFrame(some, "k long, n long, t string").select(
+        "k", "n", F.col("t").cast("timestamp_ntz").alias("at"))
+    schema = make(rows[:1]).schema
+    for i, row in enumerate(rows):  # one file each, landed in this order
+        make([row]).coalesce(1).write.parquet(f"{base}/landing/{i:02d}")
+        os.utime(_local(f"{base}/landing/{i:02d}"), (1_700_000_000 + i, 1_700_000_000 + i))
+    for _ in range(2):  # the second run has nothing to do
+        stage.dedup_stream(spark, f"{base}/landing/*", schema, f"{base}/out", f"{base}/ckpt", ("k",), "at", "7 days",
+                           max_files_per_trigger=per_trigger)
+    return sorted(((r.k, r.n) for r in spark.read.schema(schema).parquet(f"{base}/out").collect()), key=str)
+
+
+def _local(folder):
+    import glob
+    return glob.glob(folder.removeprefix("file:") + "/*.parquet")[0]
+
+
+def test_stream_dedup_does_not_depend_on_trigger_size(spark):
+    """A key that returns after more than the look-back is a new event, counted from the last kept one."""
+    day = "2024-{} 00:00:00".format
+    rows = [(1, 0, day("01-01")), (2, 0, day("01-01")), (None, 0, day("01-02")), (2, 1, day("01-06")), (3, 0, day("01-08")), (3, 1, day("01-08")),
+            (2, 2, day("01-11")), (2, 3, day("01-18")), (2, 4, "2024-01-18 00:00:01"), (None, 1, day("01-20")), (1, 1, day("01-30"))]
+    want = sorted([(1, 0), (1, 1), (2, 0), (2, 2), (2, 4), (3, 0), (None, 0), (None, 1)], key=str)
+    for per_trigger in (None, 1, 4):
+        assert _deduplicated(spark, rows, per_trigger) == want, per_trigger
+
+
+def test_stream_dedup_compares_with_the_target_before_it_splits(spark):
+    """The 16th repeats the target's 10th, so it must not hide the 20th of its own batch."""
+    rows = [(1, 0, "2024-01-10 00:00:00"), (1, 1, "2024-01-16 00:00:00"), (1, 2, "2024-01-20 00:00:00"), (2, 0, None), (2, 1, "2024-01-20 00:00:00"), (2, 2, None)]
+    for per_trigger in (None, 1, 2):
+        assert _deduplicated(spark, rows, per_trigger) == [(1, 0), (1, 2), (2, 0), (2, 1)], per_trigger
