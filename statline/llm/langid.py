@@ -4,11 +4,14 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 the sum over all ways to cut it into pieces, which a forward pass gives without listing them; a text's
 is the product over its words, as no piece crosses white space. Piece probabilities come from a few
 rounds of expectation maximisation (forward and backward pass) over the words of labelled documents.
+Both passes go over whole words, however long: they hold ``BLOCK`` characters at once and carry the last
+``LONGEST_PIECE`` values, scaled, from one block to the next.
 Only distinct words of a slice are scored, all at once by array operations.
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +26,10 @@ from .words import per_text_sum, split_words
 
 #: Labelled documents that teach each language (the ones with the smallest hashes), and rounds of training.
 DOCS_PER_LANGUAGE, ROUNDS = 600, 4
-#: Longest piece; words are cut after so many characters, which bounds the work on any text.
-LONGEST_PIECE, LONGEST_WORD = 6, 32
+#: Longest piece; words are never cut.
+LONGEST_PIECE, LONGEST_WORD = 6, sys.maxsize
+#: Characters of a word that a pass holds at once, characters of all its words, and after how many values are scaled.
+BLOCK, CHARS_AT_ONCE, RESCALE = 512, 640_000, 16
 #: Probability of one character that no piece covers, and what every piece has at least.
 UNSEEN, FLOOR = 1e-7, 1e-6
 #: A text is in the language if a character is this likely (log) at least; unseen ones have -16.
@@ -76,61 +81,125 @@ def _pieces_at(chars: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _forward(found: list[np.ndarray], probability: np.ndarray, width: int) -> np.ndarray:
-    """Probability of every prefix: array of (words, width + 1, languages). The last row of ``probability`` is 0."""
-    words = found[0].shape[0]
-    alpha = np.zeros((words, width + 1, probability.shape[1]))
-    alpha[:, 0] = 1.0
-    for end in range(1, width + 1):
-        for length in range(1, min(LONGEST_PIECE, end) + 1):
-            piece = found[length - 1][:, end - length]
-            p = probability[piece]
-            if length == 1:
-                p = np.where((piece < 0)[:, None], UNSEEN, p)
-            alpha[:, end] += alpha[:, end - length] * p
-    return alpha
+def _groups(words: list[str]):
+    """Numbers of words of like length, at most ``WORDS_AT_ONCE`` and about ``CHARS_AT_ONCE`` characters, one word at least."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable")
+    ends = np.cumsum(lengths[order])
+    at = 0
+    while at < len(order):
+        most = np.searchsorted(ends, (ends[at - 1] if at else 0) + CHARS_AT_ONCE, side="right")
+        to = max(at + 1, min(at + WORDS_AT_ONCE, int(most)))
+        yield order[at:to], lengths[order[at:to]]
+        at = to
+
+
+def _block(words: list[str], begin: int, end: int, keys: np.ndarray) -> list[np.ndarray]:
+    """Pieces found in the characters ``begin`` to ``end`` of each word; those past its end are 0, which no piece has."""
+    return _pieces_at(_matrix([w[begin:end] for w in words])[0], keys)
+
+
+def _chance(found: list[np.ndarray], length: int, rows: slice, at: int, probability: np.ndarray) -> np.ndarray | None:
+    """Probability of the piece of each word that starts at ``at``; a character without piece has ``UNSEEN``."""
+    if length > len(found) or at >= found[length - 1].shape[1]:
+        return None  # it would end after the longest word
+    piece = found[length - 1][rows, at]
+    p = probability[piece]
+    return np.where((piece < 0)[:, None], UNSEEN, p) if length == 1 else p
+
+
+def _rescale(window: np.ndarray, log: np.ndarray) -> None:
+    """Divide by the largest value of the window (words, places, languages), which goes to ``log``."""
+    top = window.max(axis=1)
+    top[top <= 0] = 1.0
+    window /= top[:, None]
+    log += np.log(top)
+
+
+def _advance(window, log, found, begin, base, to, lengths, probability, whole=None, keep=None):
+    """Forward from place ``begin`` to ``to``; ``window`` holds the values of the last ``LONGEST_PIECE`` places, oldest first.
+
+    ``found`` starts at character ``base``. A word's last value goes to ``whole`` (log); ``keep`` gets (value, log) of
+    every place before its step. Words are in order of length, and those that have ended are left alone.
+    """
+    for place in range(begin, to):
+        if keep is not None:
+            keep.append((window[:, -1].copy(), log.copy()))
+        live = slice(int(np.searchsorted(lengths, place, side="right")), None)
+        value = np.zeros_like(window[live, 0])
+        for length in range(1, min(LONGEST_PIECE, place + 1) + 1):
+            p = _chance(found, length, live, place + 1 - length - base, probability)
+            if p is not None:
+                value += window[live, -length] * p
+        window[live, :-1] = window[live, 1:]
+        window[live, -1] = value
+        if whole is not None:
+            done = slice(live.start, int(np.searchsorted(lengths, place + 1, side="right")))
+            whole[done] = np.log(window[done, -1]) + log[done]
+        if (place + 1) % RESCALE == 0:
+            _rescale(window[live], log[live])
+
+
+def _start(words: int, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    window = np.zeros((words, LONGEST_PIECE, languages))
+    window[:, -1] = 1.0
+    return window, np.zeros((words, languages))
 
 
 def word_scores(words: list[str], keys: np.ndarray, probability: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language; ``keys`` sorted, ``probability`` by key with a last row of 0."""
-    parts, owner = [], []
-    for i, word in enumerate(words):
-        marked = _START + word
-        for at in range(0, len(marked), LONGEST_WORD):
-            parts.append(marked[at:at + LONGEST_WORD])
-            owner.append(i)
-    owner = np.array(owner, np.int64)
-    order = np.argsort(np.fromiter(map(len, parts), np.int64, len(parts)), kind="stable")
+    marked = [_START + w for w in words]
     out = np.zeros((len(words), probability.shape[1]))
-    for at in range(0, len(order), WORDS_AT_ONCE):
-        some = order[at:at + WORDS_AT_ONCE]
-        chars, lengths = _matrix([parts[i] for i in some])
-        alpha = _forward(_pieces_at(chars, keys), probability, chars.shape[1])
-        np.add.at(out, owner[some], np.log(alpha[np.arange(len(some)), lengths]))
+    for some, lengths in _groups(marked):
+        window, log = _start(len(some), probability.shape[1])
+        whole = np.zeros_like(log)
+        for begin in range(0, int(lengths[-1]), BLOCK):
+            live = int(np.searchsorted(lengths, begin, side="right"))
+            base, end = max(begin - LONGEST_PIECE + 1, 0), min(begin + BLOCK, int(lengths[-1]))
+            found = _block([marked[i] for i in some[live:]], base, end, keys)
+            _advance(window[live:], log[live:], found, begin, base, end, lengths[live:], probability, whole[live:])
+        out[some] = whole
     return out
 
 
 def _expectation(words: list[str], weight: np.ndarray, keys: np.ndarray, probability: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the weighted words, for one language."""
     uses = np.zeros(len(keys) + 1)
-    order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
-    for at in range(0, len(order), WORDS_AT_ONCE):
-        some = order[at:at + WORDS_AT_ONCE]
-        chars, lengths = _matrix([words[i] for i in some])
-        width, found = chars.shape[1], _pieces_at(chars, keys)
-        alpha = _forward(found, probability, width)[:, :, 0]
-        beta = np.zeros_like(alpha)
-        beta[np.arange(len(some)), lengths] = 1.0
-        whole = np.maximum(alpha[np.arange(len(some)), lengths], 1e-300)
-        for start in range(width - 1, -1, -1):
-            for length in range(1, min(LONGEST_PIECE, width - start) + 1):
-                piece = found[length - 1][:, start]
-                p = probability[piece, 0]
-                if length == 1:
-                    p = np.where(piece < 0, UNSEEN, p)
-                after = p * beta[:, start + length]
-                beta[:, start] += after
-                np.add.at(uses, piece, weight[some] * alpha[:, start] * after / whole)
+    for some, lengths in _groups(words):
+        longest = int(lengths[-1])
+        window, log = _start(len(some), 1)
+        whole, borders = np.zeros_like(log), []
+        texts = [words[i] for i in some]
+        for begin in range(0, longest, BLOCK):  # forward, where only the values at the borders of blocks stay
+            live = int(np.searchsorted(lengths, begin, side="right"))
+            borders.append((window[live:].copy(), log[live:].copy()))
+            base, end = max(begin - LONGEST_PIECE + 1, 0), min(begin + BLOCK, longest)
+            _advance(window[live:], log[live:], _block(texts[live:], base, end, keys), begin, base, end, lengths[live:],
+                     probability, whole[live:])
+        after, after_log = np.zeros((len(some), LONGEST_PIECE, 1)), np.zeros((len(some), 1))  # of the next places, nearest first
+        for begin in range((longest - 1) // BLOCK * BLOCK, -1, -BLOCK):  # backward, with each block's forward values again
+            live = int(np.searchsorted(lengths, begin, side="right"))
+            base, end = max(begin - LONGEST_PIECE + 1, 0), min(begin + BLOCK, longest)
+            found = _block(texts[live:], base, min(end + LONGEST_PIECE - 1, longest), keys)
+            (window, log), kept = borders.pop(), []
+            _advance(window, log, found, begin, base, end, lengths[live:], probability, None, kept)
+            for place in range(end - 1, begin - 1, -1):
+                at = int(np.searchsorted(lengths, place, side="right"))
+                ending = slice(at, int(np.searchsorted(lengths, place + 1, side="right")))
+                after[ending, 0] = 1.0
+                rows, here = slice(at - live, None), np.zeros((len(some) - at, 1))
+                alpha, alpha_log = (x[rows] for x in kept[place - begin])
+                share = alpha * np.exp(alpha_log + after_log[at:] - whole[at:]) * weight[some[at:], None]
+                for length in range(1, LONGEST_PIECE + 1):
+                    p = _chance(found, length, rows, place - base, probability)
+                    if p is not None:
+                        p = p * after[at:, length - 1]
+                        here += p
+                        uses += np.bincount(found[length - 1][rows, place - base] % len(uses), (share * p)[:, 0], len(uses))
+                after[at:, 1:] = after[at:, :-1]
+                after[at:, 0] = here
+                if place % RESCALE == 0:
+                    _rescale(after[at:], after_log[at:])
     return uses[:-1]
 
 
@@ -141,7 +210,7 @@ def _train(model_file: str):
         order = np.argsort(keys)
         keys = keys[order]
         counts = counts.sort_values("word")  # sums of floats in one order, so reruns agree
-        marked = (_START + counts["word"]).str.slice(0, LONGEST_WORD).tolist()
+        marked = (_START + counts["word"]).tolist()
         weight = counts["n"].to_numpy(np.float64)
         p = np.full(len(keys), 1.0 / len(keys))
         for _ in range(ROUNDS):

@@ -97,3 +97,42 @@ def test_empty(spark, empty, odd, docs):
 def test_clean_documents_stay(spark, docs):
     model = LanguageModel.fit(docs)
     assert docs.where(~model.accepts(F.col("text"))).count() == 0
+
+
+def test_long_words_are_summed_and_taught_whole(monkeypatch):
+    """Blocks of 8, 512 and all characters agree, and the tail of a long word teaches."""
+    pieces = {"▁": .1, "a": .2, "b": .1, "ab": .15, "▁a": .12, "ba": .05, "aba": .02, "babbab": .03, "c": .1, "ccb": .05}
+    keys = piece_keys(list(pieces))
+    order = np.argsort(keys)
+    table = np.append(np.array(list(pieces.values()))[order], 0.0)[:, None]
+    draw = np.random.default_rng(3)
+    words = ["".join(draw.choice(list("abcx"), n, p=[.4, .4, .1, .1])) for n in (1, 2, 5, 7, 8, 9, 15, 16, 17, 31, 40, 40, 100)]
+    marked, weight = ["▁" + w for w in words], draw.random(len(words)) + 0.5
+    uses = np.zeros(len(pieces))
+    for word, w in zip(marked, weight):  # every piece at every place: alpha times piece times beta over the whole
+        n = len(word)
+        chance = lambda a, b: pieces.get(word[a:b], langid.UNSEEN if b - a == 1 else 0.0)  # noqa: B023, E731
+        alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+        for e in range(1, n + 1):
+            alpha[e] = sum(alpha[a] * chance(a, e) for a in range(max(0, e - 6), e))
+        for a in range(n - 1, -1, -1):
+            beta[a] = sum(chance(a, e) * beta[e] for e in range(a + 1, min(n, a + 6) + 1))
+        for i, piece in enumerate(np.array(list(pieces))[order]):
+            uses[i] += sum(w * alpha[a] * pieces[piece] * beta[a + len(piece)] / alpha[n]
+                           for a in range(n - len(piece) + 1) if word.startswith(piece, a))
+    for block, rescale, at_once in ((8, 4, 1), (512, 16, 640_000), (7, 16, 60), (1 << 20, 3, 640_000)):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        monkeypatch.setattr(langid, "RESCALE", rescale)
+        monkeypatch.setattr(langid, "CHARS_AT_ONCE", at_once)
+        assert np.allclose(word_scores(words, keys[order], table)[:, 0], [by_parts(m, pieces) for m in marked], rtol=1e-10)
+        assert np.allclose(langid._expectation(marked, weight, keys[order], table), uses, rtol=1e-8)
+    endless = word_scores(["ab" * 20_000], keys[order], table)[0, 0]  # far below the least float
+    assert np.isfinite(endless) and math.isclose(endless, 2 * word_scores(["ab" * 10_000], keys[order], table)[0, 0], rel_tol=1e-3)
+
+
+def test_tail_of_unspaced_text_teaches(spark):
+    """Both languages' texts start alike for 40 characters."""
+    rows = [(i, "天地人" * 14 + ("水木火土" if i % 2 else "金銀銅鉄") * 10, "xy"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = identify(docs.withColumn("text", F.substring("text", 43, 20)), LanguageModel.fit(docs)).collect()
+    assert {(r.doc_id % 2, r.lang_pred) for r in got} == {(0, "x"), (1, "y")}
