@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-from ..session import drop_scratch, saved  # noqa: F401  (scratch tables of every operator)
+from ..session import _file_system, drop_scratch, saved  # noqa: F401  (scratch tables of every operator)
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -27,6 +27,11 @@ def workers_import_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _file_system(spark, path)
+    fs.delete(hadoop, True)
+
+
 def text_slices(batches, column: str = "text", most: int = SLICE_BYTES):
     """Yield slices of record batches whose ``column`` holds at most ``most`` bytes, one row at least."""
     import numpy as np
