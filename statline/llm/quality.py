@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import plain_strings, text_slices, workers_import_package
+from .runtime import drop_scratch, plain_strings, saved, text_slices, workers_import_package
 from .words import split_words
 
 #: Bound on labelled documents (those with the smallest hashes teach), latent size, voters.
@@ -34,6 +34,8 @@ LOW = 0.3
 BLOCK = 256
 #: The decomposition ends when a round adds less than this share of what its axes hold.
 SETTLED, MOST_ROUNDS, SPARE = 1e-4, 60, 16
+#: Bytes of features for one task of the fit, labelled rows and features that a task takes at once.
+TASK_BYTES, ROWS_AT_ONCE, AXES_AT_ONCE = 64 << 20, 128, 4096
 #: Scripts without spaces between words.
 _UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 
@@ -124,24 +126,127 @@ def _weighted(starts: np.ndarray, features: np.ndarray, n: np.ndarray, idf: np.n
     return values / np.repeat(np.maximum(norm, 1e-9), np.diff(starts)).astype(values.dtype)
 
 
-def _axes(starts: np.ndarray, features: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The ``LATENT`` main right singular vectors of the sparse rows, by subspace iteration until they settle."""
-    rows = len(starts) - 1
-    used, column = np.unique(features, return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    row = np.repeat(np.arange(rows), np.diff(starts))[order]
-    by_column = np.concatenate(([0], np.cumsum(np.bincount(column, minlength=len(used)))))
-    width = min(LATENT + SPARE, rows, len(used))
-    axes, held = np.linalg.qr(np.random.default_rng(0).standard_normal((len(used), width)))[0], 0.0
-    for _ in range(MOST_ROUNDS):
-        left = np.linalg.qr(_times(starts, column, values, axes))[0]
-        turned, size, _ = np.linalg.svd(_times(by_column, row, values[order], left), full_matrices=False)
-        axes, before, held = turned, held, float((size[:LATENT] ** 2).sum())
-        if held - before <= SETTLED * held:
-            break
-    basis = np.zeros((FEATURES, min(LATENT, width)), np.float32)
-    basis[used] = axes[:, :LATENT]
-    return basis
+def _orthonormal(block: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of the block's columns by their small Gram matrix, columns of no size left out."""
+    gram = sum(part.T @ part for part in (block[at:at + 8192].astype(np.float64) for at in range(0, len(block), 8192)))
+    size, turn = np.linalg.eigh(gram)
+    kept = size > 1e-10 * max(size[-1], 1e-300)
+    return block @ (turn[:, kept] / np.sqrt(size[kept])).astype(np.float32)
+
+
+class _Taught:
+    """Labelled rows as a table (doc_id, quality, features, counts) that tasks multiply; the driver sees sums.
+
+    A task reads about ``TASK_BYTES`` of features, so a product of few rows is one task and needs no shuffle.
+    """
+
+    def __init__(self, table: DataFrame, used: np.ndarray):
+        self.used = used
+        size = table.agg(F.sum(F.octet_length("features") * 2)).first()[0] or 0
+        self.table = table.coalesce(max(1, -(-size // TASK_BYTES)))
+
+    def _weighted_rows(self, idf: np.ndarray):
+        """(generator function, its broadcast): slices (starts, columns among the used features, values, batch) of weighted rows."""
+        place = np.full(FEATURES, -1, np.int32)
+        place[self.used] = np.arange(len(self.used), dtype=np.int32)
+        shared = self.table.sparkSession.sparkContext.broadcast((place, idf.astype(np.float32)))
+
+        def run(batches):
+            place, idf = shared.value
+            for batch in batches:
+                at = 0
+                while at < batch.num_rows:
+                    some = batch.slice(at, ROWS_AT_ONCE)
+                    at += some.num_rows
+                    found = np.frombuffer(b"".join(some.column("features").to_pylist()), "<i4")
+                    n = np.frombuffer(b"".join(some.column("counts").to_pylist()), "<f4")
+                    sizes = pc.binary_length(some.column("features")).to_numpy(zero_copy_only=False) // 4
+                    starts = np.concatenate(([0], np.cumsum(sizes.astype(np.int64))))
+                    yield starts, place[found], _weighted(starts, found, n, idf), some
+
+        return run, shared
+
+    def product(self, idf: np.ndarray, axes: np.ndarray) -> np.ndarray:
+        """A'(A axes) for the weighted rows A, added up on the executors."""
+        width = axes.shape[1]
+        asked = self.table.sparkSession.sparkContext.broadcast(axes)
+
+        weighted, shared = self._weighted_rows(idf)
+
+        def add_up(batches):
+            axes = asked.value
+            out = np.zeros(axes.shape, np.float32)
+            for starts, column, values, _ in weighted(batches):
+                here, at = np.unique(column, return_inverse=True)  # few rows have few of all features
+                dense = np.zeros((len(starts) - 1, len(here)), np.float32)
+                dense[np.repeat(np.arange(len(dense)), np.diff(starts)), at] = values
+                out[here] += dense.T @ (dense @ axes[here])
+            for at in range(0, len(out), AXES_AT_ONCE):
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([out[at:at + AXES_AT_ONCE].tobytes()], pa.binary())],
+                                                 ["at", "block"])
+
+        def added(table: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x.as_buffer(), np.float32) for x in table.column("block"))
+            return pa.table({"at": table.column("at").slice(0, 1), "block": pa.array([total.tobytes()], pa.binary())})
+
+        frame = self.table.mapInArrow(add_up, "at int, block binary").groupBy("at").applyInArrow(added, "at int, block binary")
+        out = np.zeros(axes.shape, np.float32)
+        for row in frame.toLocalIterator():
+            block = np.frombuffer(row.block, np.float32).reshape(-1, width)
+            out[row.at:row.at + len(block)] = block
+        asked.destroy()
+        shared.destroy()
+        return out
+
+    def places(self, idf: np.ndarray, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(A axes, mean labels) of the rows in order of doc_id: ``LABELLED`` rows of ``LATENT`` numbers at most."""
+        asked = self.table.sparkSession.sparkContext.broadcast(axes)
+
+        weighted, shared = self._weighted_rows(idf)
+
+        def place(batches):
+            for starts, column, values, some in weighted(batches):
+                left = _times(starts, column, values, asked.value)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("quality"), pa.array([r.tobytes() for r in left], pa.binary())],
+                                                 ["doc_id", "quality", "place"])
+
+        got = sorted(self.table.mapInArrow(place, "doc_id long, quality double, place binary").collect(), key=lambda r: r.doc_id)
+        asked.destroy()
+        shared.destroy()
+        place = np.frombuffer(b"".join(r.place for r in got), np.float32).reshape(len(got), axes.shape[1])
+        return place.astype(np.float64), np.array([r.quality for r in got])
+
+    def block_sizes(self, idf: np.ndarray) -> tuple[float, float]:
+        """Mean length of the rows' marks and of their words."""
+        def size(batches):
+            for batch in batches:
+                lengths = [[], []]
+                for f, n in zip(batch.column("features").to_pylist(), batch.column("counts").to_pylist()):
+                    found = np.frombuffer(f, "<i4")
+                    square = (np.log1p(np.frombuffer(n, "<f4")) * idf[found]) ** 2
+                    lengths[0].append(float(np.sqrt(square[found < MARKS].sum())))
+                    lengths[1].append(float(np.sqrt(square[found >= MARKS].sum())))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()) for x in lengths], ["marks", "words"])
+
+        return tuple(self.table.mapInArrow(size, "marks double, words double").agg(F.avg("marks"), F.avg("words")).first())
+
+    def axes(self, idf: np.ndarray) -> np.ndarray:
+        """The ``LATENT`` main right singular vectors of the weighted rows, by subspace iteration until they settle.
+
+        After ``MOST_ROUNDS`` the axes are taken as they are: still orthonormal, only less settled.
+        """
+        width = min(LATENT + SPARE, len(self.used))
+        axes = _orthonormal(np.random.default_rng(0).standard_normal((len(self.used), width)).astype(np.float32))
+        held = 0.0
+        for _ in range(MOST_ROUNDS):
+            after = self.product(idf, axes)
+            inner = axes.T.astype(np.float64) @ after.astype(np.float64)
+            size, turn = np.linalg.eigh((inner + inner.T) / 2)
+            before, held = held, float(size[::-1][:LATENT].sum())
+            if held - before <= SETTLED * held:
+                break
+            axes = _orthonormal(after @ turn[:, ::-1].astype(np.float32))
+        return axes @ turn[:, ::-1][:, :LATENT].astype(np.float32)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -191,28 +296,35 @@ class QualityModel:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(seen[at], rows_seen))],
                                              ["feature", "n"])
 
-        got = (rows.mapInArrow(features, "doc_id long, quality double, features binary, counts binary")
-               .toPandas().sort_values("doc_id"))
-        if not len(got):
-            return cls(np.zeros(FEATURES), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1)), np.zeros(0), spark)
+        table = saved(rows.mapInArrow(features, "doc_id long, quality double, features binary, counts binary"), "taught")
+
+        def used_features(batches):
+            seen = np.zeros(FEATURES, bool)
+            for batch in batches:
+                for f in batch.column("features").to_pylist():
+                    seen[np.frombuffer(f, "<i4")] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int32())], ["feature"])
+
+        used = np.array(sorted(r.feature for r in table.mapInArrow(used_features, "feature int").distinct().collect()), np.int64)
+        if not len(used):  # no labelled row, or none with a word
+            marks_of = np.array([r.quality for r in table.select("quality").collect()])
+            return cls(np.zeros(FEATURES), np.zeros((FEATURES, 1), np.float32), np.zeros((len(marks_of), 1)), marks_of, spark)
         seen = (docs.where(F.col("text").isNotNull() & taught).select("text").mapInArrow(frequencies, "feature int, n long")
                 .groupBy("feature").agg(F.sum("n").alias("n")).toPandas())
         often = np.zeros(FEATURES + 1)
         often[seen["feature"]] = seen["n"]  # the last one, -1, counts documents
         idf = np.log((1 + often[-1]) / (1 + often[:-1])) + 0.1
-        starts = np.concatenate(([0], np.cumsum([len(f) // 4 for f in got["features"]])))
-        found = np.frombuffer(b"".join(got["features"]), "<i4").astype(np.int64)
-        n = np.frombuffer(b"".join(got["counts"]), "<f4").astype(np.float64)
-        row = np.repeat(np.arange(len(got)), np.diff(starts))
-        for some, block in ((found < MARKS, slice(0, MARKS)), (found >= MARKS, slice(MARKS, None))):
-            size = np.sqrt(np.bincount(row[some], (np.log1p(n[some]) * idf[found[some]]) ** 2, minlength=len(got))).mean()
+        taught_rows = _Taught(table, used)
+        for block, size in zip((slice(0, MARKS), slice(MARKS, None)), taught_rows.block_sizes(idf)):
             idf[block] /= max(size, 1e-9)
         if not marks:
             idf[:MARKS] = 0
-        values = _weighted(starts, found, n, idf)
-        basis = _axes(starts, found, values)
-        vectors = _unit(_times(starts, found, values, basis.astype(np.float64)))
-        return cls(idf, basis, vectors, got["quality"].to_numpy(np.float64), spark)
+        axes = taught_rows.axes(idf)
+        place, quality = taught_rows.places(idf, axes)
+        basis = np.zeros((FEATURES, axes.shape[1]), np.float32)
+        basis[used] = axes
+        drop_scratch(table)
+        return cls(idf, basis, _unit(place), quality, spark)
 
     def votes(self, texts: pa.Array) -> np.ndarray:
         """Score of each text: similarity-weighted mean label of its nearest; without any, the mean label or 0.5."""

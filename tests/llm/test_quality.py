@@ -84,15 +84,29 @@ def test_words_alone_tell_spam(spark, good, bad, gap):
     assert len(got) > 40 and all(r.predicted == r.doc_id % 2 for r in got)
 
 
-def test_axes_are_the_singular_vectors(monkeypatch):
+def test_axes_are_the_singular_vectors(spark, monkeypatch):
     monkeypatch.setattr(quality, "LATENT", 5)
-    monkeypatch.setattr(quality, "SETTLED", 1e-13)
+    monkeypatch.setattr(quality, "SETTLED", 1e-7)
+    monkeypatch.setattr(quality, "TASK_BYTES", 2000)  # several tasks, whose products are added up
     draw = np.random.default_rng(2)
-    dense = draw.random((40, 60)) * (draw.random((40, 60)) < 0.3) + np.outer(draw.random(40), draw.random(60))
-    dense[7] = 0
-    row, column = np.nonzero(dense)
-    starts = np.searchsorted(row, np.arange(41))
-    got = quality._axes(starts, column, dense[row, column])[:60]
-    want = np.linalg.svd(dense)[2][:5].T
-    assert np.allclose(got @ got.T, want @ want.T, atol=1e-2)
-    assert np.allclose(quality._times(starts, column, dense[row, column], want), dense @ want)
+    n = draw.integers(1, 9, (40, 60)) * (draw.random((40, 60)) < 0.3)
+    n[:, :3] = draw.integers(1, 40, (40, 3))
+    n[7] = 0
+    rows = [(i, float(i % 2), np.flatnonzero(r).astype("<i4").tobytes(), r[r > 0].astype("<f4").tobytes()) for i, r in enumerate(n)]
+    table = spark.createDataFrame(rows, "doc_id long, quality double, features binary, counts binary").repartition(5)
+    taught = quality._Taught(table, np.flatnonzero(n.any(axis=0)))
+    idf = np.ones(quality.FEATURES)
+    dense = np.log1p(n)
+    dense = dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
+    got = taught.axes(idf)
+    want = np.linalg.svd(dense[:, taught.used])[2][:5].T
+    assert np.allclose(got @ got.T, want @ want.T, atol=2e-2)
+    assert np.allclose(taught.product(idf, got), dense[:, taught.used].T @ (dense[:, taught.used] @ got), atol=1e-4)
+    place, marks = taught.places(idf, got)
+    assert np.allclose(place, dense[:, taught.used] @ got, atol=1e-5) and list(marks) == [i % 2 for i in range(40)]
+
+
+def test_labelled_rows_without_words(spark):
+    table = spark.createDataFrame([(i, " ", i % 2) for i in range(20)], "doc_id long, text string, quality int")
+    model = QualityModel.fit(table, table.select("doc_id", "quality"))
+    assert {r.score for r in classify(table, model).collect()} == {float(model.labels.mean())}
