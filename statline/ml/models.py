@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_features
 from ..session import checkpoint_dir, saved
 from ..operators.features import create_features
-from . import evaluate
+from . import evaluate, folds
 from .selection import select_features
 from .split import (ScalerParams, fit_standard_scaler, holdout_split, kfold_column, label_indexer,
                     scaler_transformer, stratified_split_folds)
@@ -229,25 +229,55 @@ def evaluate_model(model: PipelineModel, prep: Prepared) -> DataFrame:
                                           for c in cols])))
 
 
-def cross_validate(prep: Prepared, model: str, parallelism: int = 2, param_grid=None, **kw):
-    """K-fold CV on the training split with the precomputed fold column.
+@dataclass
+class GridSearch:
+    """Mean and standard deviation of every grid point over the folds, and the best point's pipeline fitted on all training rows."""
+
+    points: list[tuple[dict, float, float]]
+    best_params: dict
+    best_model: PipelineModel
+
 
-    Returns (mean, population std) of r² or accuracy, like the reference's
-    ``cross_val_score(...).mean() / .std()``.
+def grid_search(prep: Prepared, model: str, grid: dict | None = None, parallelism: int = 2, **kw) -> GridSearch:
+    """K-fold CV of every combination of ``grid`` (parameter of the estimator -> values) with the fold column.
+
+    Scores are r² or accuracy; ties go to the first point. Only the refit of the best point is kept.
     """
     pipe = build_pipeline(prep, model, **kw)
     if prep.task == "regression":
         ev = RegressionEvaluator(metricName="r2", labelCol="label")
     else:
         ev = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="label")
-    grid = param_grid or ParamGridBuilder().build()
-    folds = prep.data.agg(F.max("fold")).first()[0] + 1
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
+    estimator = pipe.getStages()[-1]
+    build = ParamGridBuilder()
+    for name, values in (grid or {}).items():
+        build = build.addGrid(estimator.getParam(name), list(values))
+    points = build.build()
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=points, evaluator=ev,
+                        numFolds=prep.data.agg(F.max("fold")).first()[0] + 1,
                         foldCol="fold", parallelism=parallelism, collectSubModels=False)
     cvm = cv.fit(prep.train)
-    mean = float(cvm.avgMetrics[0])
-    # PySpark computes stdMetrics with numpy's population std (ddof 0), as the reference reports
-    std = float(cvm.stdMetrics[0]) if getattr(cvm, "stdMetrics", None) else float("nan")
+    # PySpark computes stdMetrics with numpy's population std (ddof 0), as NumPy users expect
+    scored = [({p.name: v for p, v in point.items()}, float(m), float(s))
+              for point, m, s in zip(points, cvm.avgMetrics, cvm.stdMetrics)]
+    best = max(range(len(scored)), key=lambda i: (scored[i][1], -i))
+    return GridSearch(scored, scored[best][0], cvm.bestModel)
+
+
+def training_sums(prep: Prepared) -> folds.FoldSums:
+    """Fold sums of the training rows, for :func:`folds.ridge_search`."""
+    return folds.fold_sums(prep.train, prep.features, prep.target, "fold", prep.scaler)
+
+
+def cross_validate(prep: Prepared, model: str, parallelism: int = 2, **kw):
+    """(mean, population std) of r² or accuracy over the folds of the training split.
+
+    The linear regression needs no fit for that: its folds follow from one pass of sums.
+    """
+    if (prep.task, model) == ("regression", "linear_regression"):
+        r2 = [r for _, _, r in folds.ridge_scores(training_sums(prep), (0.0,))]
+        return float(np.mean(r2)), float(np.std(r2))
+    _, mean, std = grid_search(prep, model, parallelism=parallelism, **kw).points[0]
     return mean, std
 
 

@@ -36,7 +36,7 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
-def _range_sorted(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
+def range_sorted(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
     """Rows with their range partition ``__pid`` and their place ``__pos`` in it, written once."""
     base = saved(df, "rank-input")
     n = n or max(1, -(-base.count() // ROWS_PER_RANGE_PARTITION))
@@ -53,7 +53,7 @@ def row_number_by(df: DataFrame, order: Sequence[Column | str], partition_by: Se
     ``order`` must end in a unique key so the numbering is deterministic.
     """
     keys = [F.col(c).asc_nulls_first() for c in partition_by] + _sort_cols(order)
-    rows = _range_sorted(df, keys, num_partitions)
+    rows = range_sorted(df, keys, num_partitions)
     gcols = [f"__g{i}" for i in range(len(partition_by))]
     counts = saved(rows.groupBy(F.col("__pid").alias("__opid"),
                                 *[F.col(c).alias(g) for c, g in zip(partition_by, gcols)])
@@ -78,7 +78,7 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str],
     none of which holds more than a part's rows, so a group with a third of the
     data is still spread over every part.
     """
-    rows = _range_sorted(df, _sort_cols(order), num_partitions)
+    rows = range_sorted(df, _sort_cols(order), num_partitions)
     every = list(dict.fromkeys(c for groups in groupings.values() for c in groups))
     counts = saved(rows.groupBy("__pid", *every).agg(F.count(F.lit(1)).alias("__n")), "rank-counts")
     out = rows.repartition("__pid") if every else rows

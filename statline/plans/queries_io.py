@@ -30,7 +30,7 @@ GAME_COLS = ("player_id", "game_date", "wl", "minutes", "fgm", "fga", "fg3m", "f
              "reb", "ast", "stl", "blk", "tov", "pts", "plus_minus")
 
 
-def _game_log_documents(game_logs):
+def game_log_documents(game_logs, month=None):
     """Inverse of S2 for landing test data: one document per player-season.
 
     A document holds the games of one player in one calendar month of one
@@ -46,8 +46,8 @@ def _game_log_documents(game_logs):
             cells.append(F.lit(None).cast("string"))
     row = F.array(*cells)
     season = F.col("season") if "season" in game_logs.columns else F.lit(None).cast("string")
-    month = F.date_trunc("month", F.col("game_date")) if "game_date" in game_logs.columns \
-        else F.lit(None)
+    if month is None:
+        month = F.date_trunc("month", F.col("game_date")) if "game_date" in game_logs.columns else F.lit(None)
     return (game_logs.withColumn("__row", row).withColumn("__season", season)
             .groupBy("player_id", "__season", month.alias("__month"))
             .agg(F.collect_list("__row").alias("rowSet"))
@@ -62,7 +62,7 @@ def _decode_payload(spark, d):
     """Land game logs as positional JSON payloads, read them back and decode."""
     logs = clean.stage_game_logs(fx(spark, d).game_logs)
     path = scratch_path(spark, "payload")
-    _game_log_documents(logs).write.json(path)
+    game_log_documents(logs).write.json(path)
     decoded = payload.decode_game_logs(payload.read_payloads(spark, path))
     # dates leave as ISO text so every client reads the same value
     return decoded.select(*GAME_COLS).withColumn("game_date", F.col("game_date").cast("string"))

@@ -3,8 +3,9 @@
 A payload is one JSON document ``{"parameters": {...}, "resultSets": [{"headers":
 [...], "rowSet": [[...], ...]}]}`` whose rows are positional, mixed-type
 arrays. The reader is given an explicit schema (no inference pass); every
-cell is read as text and converted with ``try_cast``, so one malformed cell
-becomes NULL instead of failing the job. Folders are laid out
+cell is read as text and converted so that a malformed one becomes NULL
+instead of failing the job; ``rejected_cells`` lists these with a reason, and
+lines that are no document with them. Folders are laid out
 ``endpoint=<name>/season=<YYYY-YY>/`` so a backfill of any set of seasons
 is one scan with partition pruning.
 """
@@ -50,27 +51,92 @@ ADVANCED_LAYOUT = ((0, "player_id", "bigint"), (1, "player_name", "string"),
                    (24, "pie", "double"))
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed payload documents (one JSON document per line) with the fixed schema."""
-    return spark.read.schema(PAYLOAD_SCHEMA).json(path)
+#: Column that receives the text of a line that is no JSON document.
+CORRUPT = "_corrupt_record"
+# The second date format, as in ``APR 09, 2023``.
+LONG_DATE = "MMM dd, yyyy"
 
 
-def _cell(row: Column, idx: int, typ: str) -> Column:
-    cell = F.get(row, idx)
+def read_payloads(spark: SparkSession, path: str, corrupt: bool = False) -> DataFrame:
+    """Landed payload documents (one JSON document per line) with the fixed schema.
+
+    With ``corrupt`` lines that are no document come along as text in ``_corrupt_record``.
+    """
+    schema = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())]) if corrupt else PAYLOAD_SCHEMA
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def _number(cell: Column) -> Column:
+    num = cell.try_cast("double")
+    return F.when(F.isnan(num), None).otherwise(num)
+
+
+def _value(cell: Column, typ: str) -> Column:
+    """The text of a cell as ``typ``; what cannot be converted is NULL, never an error.
+
+    Whole numbers are read from their text, so large ids keep every digit; only a text with a fraction or an exponent,
+    such as ``12.0``, goes through a double, if its value is whole and a double holds it exactly.
+    """
     if typ == "string":
         return cell
-    num = cell.try_cast("double") if typ != "date" else F.to_date(cell)
     if typ == "double":
-        return F.when(F.isnan(num), None).otherwise(num)
-    if typ in ("bigint", "int"):
-        return num.cast(typ)
-    return num
+        return _number(cell)
+    if typ == "date":
+        return F.coalesce(cell.try_cast("date"), F.try_to_timestamp(cell, F.lit(LONG_DATE)).cast("date"))
+    num = _number(cell)
+    whole = F.when((num % 1 == 0) & (F.abs(num) <= 2.0 ** 53), num.try_cast("bigint"))
+    exact = F.coalesce(F.trim(cell).try_cast("bigint"), whole)
+    return exact if typ == "bigint" else exact.try_cast(typ)
+
+
+def _raw_cell(idx: int, name: str) -> Column:
+    """A row's cell: where the document's headers list the column (upper case), at that place, else at the fixed position."""
+    listed = F.array_position(F.col("__h"), name.upper())
+    return F.get(F.col("__r"), F.when(listed > 0, listed - 1).otherwise(F.lit(idx)).cast("int"))
+
+
+def _cell(idx: int, name: str, typ: str) -> Column:
+    return _value(_raw_cell(idx, name), typ)
 
 
 def _rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One output row per positional row of the first result set."""
-    return raw.select(*keep, "parameters",
-                      F.explode(F.get(F.col("resultSets"), 0).getField("rowSet")).alias("__r"))
+    first = F.get(F.col("resultSets"), 0)
+    return raw.select(*keep, "parameters", first.getField("headers").alias("__h"),
+                      F.posexplode(first.getField("rowSet")).alias("__i", "__r"))
+
+
+def rejected_cells(raw: DataFrame, layout: Sequence[tuple[int, str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """Q10 for payloads: (keep…, row_number, column_name, cell, reason) of every cell that could not be converted.
+
+    Reasons: ``not a date``, ``not a number``, ``not whole`` (an id with a fraction), ``out of range``. A null
+    or empty cell is missing, not rejected. Lines that are no document (read with ``corrupt``) have reason
+    ``corrupt document``, no column and their text as the cell. ``keep`` names columns of ``raw`` to carry along.
+    """
+    rows = _rows(raw, keep)
+    checks = []
+    for idx, name, typ in layout:
+        if typ == "string":
+            continue
+        cell = _raw_cell(idx, name)
+        number = cell.try_cast("double")
+        if typ == "date":
+            reason = F.lit("not a date")
+        elif typ == "double":
+            reason = F.lit("not a number")
+        else:
+            reason = (F.when(number.isNull() | F.isnan(number), "not a number")
+                      .when(number % 1 != 0, "not whole").otherwise("out of range"))
+        bad = cell.isNotNull() & (F.trim(cell) != "") & _value(cell, typ).isNull()
+        checks.append(F.when(bad, F.struct(F.lit(name).alias("column_name"), cell.alias("cell"), reason.alias("reason"))))
+    cells = rows.select(*keep, F.col("__i").cast("long").alias("row_number"),
+                        F.inline(F.filter(F.array(*checks), lambda x: x.isNotNull())))
+    if CORRUPT not in raw.columns:
+        return cells
+    lines = raw.where(F.col(CORRUPT).isNotNull()).select(
+        *keep, F.lit(None).cast("long").alias("row_number"), F.lit(None).cast("string").alias("column_name"),
+        F.col(CORRUPT).alias("cell"), F.lit("corrupt document").alias("reason"))
+    return cells.unionByName(lines)
 
 
 def decode_players(raw: DataFrame, season: str | None = None) -> DataFrame:
@@ -79,7 +145,7 @@ def decode_players(raw: DataFrame, season: str | None = None) -> DataFrame:
     season_col = (F.lit(season) if season else
                   F.coalesce(F.col("season") if "season" in raw.columns else F.lit(None),
                              F.col("parameters")["Season"]))
-    cols = {n: _cell(F.col("__r"), i, t).alias(n) for i, n, t in PLAYER_LAYOUT}
+    cols = {n: _cell(i, n, t).alias(n) for i, n, t in PLAYER_LAYOUT}
     return rows.select(cols["player_id"], cols["player_name"], cols["team_id"],
                        cols["team_name"], season_col.alias("season"), cols["is_active"])
 
@@ -88,7 +154,7 @@ def decode_game_logs(raw: DataFrame) -> DataFrame:
     """Game rows; ``player_id`` comes from the request parameters of each document."""
     rows = _rows(raw)
     return rows.select(F.col("parameters")["PlayerID"].try_cast("bigint").alias("player_id"),
-                       *[_cell(F.col("__r"), i, t).alias(n) for i, n, t in GAME_LOG_LAYOUT])
+                       *[_cell(i, n, t).alias(n) for i, n, t in GAME_LOG_LAYOUT])
 
 
 def decode_advanced(raw: DataFrame, season: str | None = None,
@@ -96,7 +162,7 @@ def decode_advanced(raw: DataFrame, season: str | None = None,
     """S3: advanced rows plus season and season type from arguments or the request."""
     rows = _rows(raw)
     p = F.col("parameters")
-    return rows.select(*[_cell(F.col("__r"), i, t).alias(n) for i, n, t in ADVANCED_LAYOUT],
+    return rows.select(*[_cell(i, n, t).alias(n) for i, n, t in ADVANCED_LAYOUT],
                        (F.lit(season) if season else p["Season"]).alias("season"),
                        (F.lit(season_type) if season_type else p["SeasonType"]).alias("season_type"))
 
