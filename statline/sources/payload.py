@@ -133,7 +133,9 @@ def rejected_cells(raw: DataFrame, layout: Sequence[tuple[int, str, str]], keep:
                         F.inline(F.filter(F.array(*checks), lambda x: x.isNotNull())))
     if CORRUPT not in raw.columns:
         return cells
-    lines = raw.where(F.col(CORRUPT).isNotNull()).select(
+    # the reader refuses queries of the corrupt text alone, so the condition names a parsed column too
+    parsed = F.coalesce(F.size("resultSets"), F.lit(-1)) >= -1
+    lines = raw.where(F.col(CORRUPT).isNotNull() & parsed).select(
         *keep, F.lit(None).cast("long").alias("row_number"), F.lit(None).cast("string").alias("column_name"),
         F.col(CORRUPT).alias("cell"), F.lit("corrupt document").alias("reason"))
     return cells.unionByName(lines)
