@@ -77,6 +77,13 @@ def latest_per_key(df: DataFrame, unique_key: Sequence[str], order_key: Sequence
         .select(*df.columns)
 
 
+def rows_of_keys(df: DataFrame, keys: DataFrame, unique_key: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is one of ``keys``; null keys are equal, as in :func:`latest_per_key`."""
+    asked = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(unique_key)]).distinct()
+    same = [df[c].eqNullSafe(asked[f"__k{i}"]) for i, c in enumerate(unique_key)]
+    return df.join(asked, same, "left_semi")
+
+
 def _partition_filter(rows: Sequence, partition_by: Sequence[str]) -> Column:
     """Literal predicate for a list of partition values, which prunes the scan's folders."""
     if len(partition_by) == 1:
@@ -124,8 +131,7 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, unique_key: Sequenc
         if partition_by:
             parts = delta.select(*partition_by)
             if not set(partition_by) <= set(unique_key):
-                moved = target.select(*dict.fromkeys([*unique_key, *partition_by])) \
-                    .join(delta.select(*unique_key).distinct(), list(unique_key), "left_semi")
+                moved = rows_of_keys(target.select(*dict.fromkeys([*unique_key, *partition_by])), delta, unique_key)
                 parts = parts.unionByName(moved.select(*partition_by))
             touched = parts.distinct().collect()
             target = target.where(_partition_filter(touched, partition_by))

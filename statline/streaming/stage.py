@@ -11,6 +11,10 @@ each micro-batch is merged into the target with the idempotent ``upsert``
 order: nothing is dropped for being late, and a key counts as repeated if the
 target, or an earlier kept event of the same micro-batch, has it within the
 look-back window around its event time.
+
+``dedup_stream_watermark`` is its counterpart with bounded state: keys are held in
+the state store until the watermark passes them, nothing of the target is
+read, and what comes later than the watermark is left out and counted.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import drop_scratch, saved
+from ..sinks import versioned
 from ..sinks.writers import upsert
 from ..sources.landed import path_exists
 
@@ -45,15 +50,22 @@ def _drain(src: DataFrame, merge, checkpoint: str) -> None:
 def stage_stream(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                  checkpoint: str, unique_key: Sequence[str], order_key: Sequence[str],
                  partition_by: Sequence[str] = (), fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None, buckets: int | None = None) -> None:
+                 max_files_per_trigger: int | None = None, buckets: int | None = None,
+                 as_versions: bool = False) -> None:
     """Drain the landing folder into the target table with per-batch upserts.
 
+    With ``as_versions`` the target is a versioned table (``sinks.versioned``): every batch is published
+    by one rename with its number, so a batch that runs again changes nothing.
+
     With ``buckets`` the table is partitioned by a hash of the key
     (``key_bucket``): a batch rewrites only the buckets of its keys, and no
     key ever moves.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         parts = list(partition_by)
+        if as_versions:
+            versioned.upsert(batch.sparkSession, batch, target, unique_key, order_key, parts, buckets, (checkpoint, batch_id))
+            return
         if buckets:
             batch = batch.withColumn("key_bucket", F.pmod(F.xxhash64(*unique_key), F.lit(buckets)).cast("int"))
             parts = ["key_bucket"]
@@ -123,3 +135,37 @@ def dedup_stream(spark: SparkSession, landing: str, schema: T.StructType, target
         drop_scratch(rows)
 
     _drain(read_landing(spark, landing, schema, fmt, max_files_per_trigger), append, checkpoint)
+
+
+def dedup_stream_watermark(spark: SparkSession, landing: str, schema: T.StructType, target: str, checkpoint: str,
+                           key: Sequence[str], ts: str, delay: str = "7 days", fmt: str = "parquet",
+                           max_files_per_trigger: int | None = None) -> None:
+    """X2 with bounded state: the first arrival of each key, appended to ``target`` (partitioned by ``event_day``).
+
+    A key stays in the state store until the watermark, the latest event time of the triggers before less ``delay``,
+    is more than ``delay`` past its first event; state is bounded by the keys of that time, whatever the
+    table's size. A row at or behind the watermark is late: it is left out, and counted in
+    ``{target}_progress`` (batch_id, watermark, input_rows, late_rows, state_rows; one row for each trigger
+    of a drain). Rows without an event time have no place in it; they go to ``{target}_undated``, repeats
+    included. The checkpoint holds state, offsets and what was committed, so a restart goes on where it stopped.
+    """
+    src = read_landing(spark, landing, schema, fmt, max_files_per_trigger)
+    at = F.col(ts).cast("timestamp")
+    first = (src.where(F.col(ts).isNotNull()).withColumn("__at", at).withWatermark("__at", delay)
+             .dropDuplicatesWithinWatermark(list(key)).drop("__at").withColumn("event_day", F.col(ts).cast("date")))
+    base = target.rstrip("/")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")  # every trigger of a drain is reported
+    q = (first.writeStream.format("parquet").outputMode("append").partitionBy("event_day")
+         .option("path", base).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    undated = (src.where(F.col(ts).isNull()).writeStream.format("parquet").option("path", f"{base}_undated")
+               .option("checkpointLocation", f"{checkpoint.rstrip('/')}_undated").trigger(availableNow=True).start())
+    q.awaitTermination()
+    undated.awaitTermination()
+    rows = []
+    for p in q.recentProgress:
+        state = p.stateOperators[0] if p.stateOperators else None
+        rows.append((p.batchId, p.eventTime.get("watermark"), p.numInputRows,
+                     state.numRowsDroppedByWatermark if state else 0, state.numRowsTotal if state else 0))
+    if rows:
+        (spark.createDataFrame(rows, "batch_id long, watermark string, input_rows long, late_rows long, state_rows long")
+         .coalesce(1).write.mode("append").parquet(f"{base}_progress"))
