@@ -5,7 +5,8 @@ the sum over all ways to cut it into pieces, which a forward pass gives without
 is the product over its words, as no piece crosses white space. Piece probabilities come from a few
 rounds of expectation maximisation (forward and backward pass) over the words of labelled documents.
 Both passes go over whole words, however long: they hold ``BLOCK`` characters at once and carry the last
-``LONGEST_PIECE`` values, scaled, from one block to the next.
+``LONGEST_PIECE`` values, scaled, from one block to the next, in a ring where the value of a place has the
+slot ``place % LONGEST_PIECE``. Few words have a long piece at a place, so these are added for those words alone.
 Only distinct words of a slice are scored, all at once by array operations.
 """
 
@@ -27,7 +28,7 @@ from .words import per_text_sum, split_words
 #: Labelled documents that teach each language (the ones with the smallest hashes), and rounds of training.
 DOCS_PER_LANGUAGE, ROUNDS = 600, 4
 #: Longest piece; words are never cut.
-LONGEST_PIECE, LONGEST_WORD = 6, sys.maxsize
+LONGEST_PIECE, LONGEST_WORD = 16, sys.maxsize
 #: Characters of a word that a pass holds at once, characters of all its words, and after how many values are scaled.
 BLOCK, CHARS_AT_ONCE, RESCALE = 512, 640_000, 16
 #: Probability of one character that no piece covers, and what every piece has at least.
@@ -72,12 +73,16 @@ def piece_keys(pieces: list[str]) -> np.ndarray:
 def _pieces_at(chars: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
     """For each piece length, the number of the piece that starts at each character, or -1."""
     out, width = [], chars.shape[1]
-    key = np.zeros(chars.shape, np.uint64)
+    key, filled = np.zeros(chars.shape, np.uint64), chars > 0
     for length in range(1, min(LONGEST_PIECE, width) + 1):
         n = width - length + 1
         key = (key[:, :n] + chars[:, length - 1:length - 1 + n] + np.uint64(1)) * _BASE
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        out.append(np.where(keys[at] == key, at, -1))
+        inside = filled[:, length - 1:length - 1 + n]  # the piece would end inside the word
+        asked = key[inside]
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        found = np.full(key.shape, -1, np.int64)
+        found[inside] = np.where(keys[at] == asked, at, -1)
+        out.append(found)
     return out
 
 
@@ -99,13 +104,22 @@ def _block(words: list[str], begin: int, end: int, keys: np.ndarray) -> list[np.
     return _pieces_at(_matrix([w[begin:end] for w in words])[0], keys)
 
 
-def _chance(found: list[np.ndarray], length: int, rows: slice, at: int, probability: np.ndarray) -> np.ndarray | None:
-    """Probability of the piece of each word that starts at ``at``; a character without piece has ``UNSEEN``."""
+def _chance(found: list[np.ndarray], length: int, rows: slice, at: int, probability: np.ndarray):
+    """(words, their pieces, probabilities): the pieces of ``length`` that start at ``at``, words counted from ``rows``.
+
+    All words have a piece of one character; without one in the vocabulary it has ``UNSEEN``.
+    """
     if length > len(found) or at >= found[length - 1].shape[1]:
         return None  # it would end after the longest word
     piece = found[length - 1][rows, at]
-    p = probability[piece]
-    return np.where((piece < 0)[:, None], UNSEEN, p) if length == 1 else p
+    if length == 1:
+        return slice(None), piece, np.where((piece < 0)[:, None], UNSEEN, probability[piece])
+    some = np.flatnonzero(piece >= 0)
+    if not len(some):
+        return None
+    if 2 * len(some) > len(piece):
+        return slice(None), piece, probability[piece]
+    return some, piece[some], probability[piece[some]]
 
 
 def _rescale(window: np.ndarray, log: np.ndarray) -> None:
@@ -117,32 +131,32 @@ def _rescale(window: np.ndarray, log: np.ndarray) -> None:
 
 
 def _advance(window, log, found, begin, base, to, lengths, probability, whole=None, keep=None):
-    """Forward from place ``begin`` to ``to``; ``window`` holds the values of the last ``LONGEST_PIECE`` places, oldest first.
+    """Forward from place ``begin`` to ``to``; ``window`` is the ring of the last ``LONGEST_PIECE`` places' values.
 
     ``found`` starts at character ``base``. A word's last value goes to ``whole`` (log); ``keep`` gets (value, log) of
     every place before its step. Words are in order of length, and those that have ended are left alone.
     """
     for place in range(begin, to):
         if keep is not None:
-            keep.append((window[:, -1].copy(), log.copy()))
+            keep.append((window[:, place % LONGEST_PIECE].copy(), log.copy()))
         live = slice(int(np.searchsorted(lengths, place, side="right")), None)
         value = np.zeros_like(window[live, 0])
         for length in range(1, min(LONGEST_PIECE, place + 1) + 1):
-            p = _chance(found, length, live, place + 1 - length - base, probability)
-            if p is not None:
-                value += window[live, -length] * p
-        window[live, :-1] = window[live, 1:]
-        window[live, -1] = value
+            got = _chance(found, length, live, place + 1 - length - base, probability)
+            if got is not None:
+                some, _, p = got
+                value[some] += window[live, (place + 1 - length) % LONGEST_PIECE][some] * p
+        window[live, (place + 1) % LONGEST_PIECE] = value
         if whole is not None:
             done = slice(live.start, int(np.searchsorted(lengths, place + 1, side="right")))
-            whole[done] = np.log(window[done, -1]) + log[done]
+            whole[done] = np.log(window[done, (place + 1) % LONGEST_PIECE]) + log[done]
         if (place + 1) % RESCALE == 0:
             _rescale(window[live], log[live])
 
 
 def _start(words: int, languages: int) -> tuple[np.ndarray, np.ndarray]:
     window = np.zeros((words, LONGEST_PIECE, languages))
-    window[:, -1] = 1.0
+    window[:, 0] = 1.0
     return window, np.zeros((words, languages))
 
 
@@ -176,7 +190,7 @@ def _expectation(words: list[str], weight: np.ndarray, keys: np.ndarray, probabi
             base, end = max(begin - LONGEST_PIECE + 1, 0), min(begin + BLOCK, longest)
             _advance(window[live:], log[live:], _block(texts[live:], base, end, keys), begin, base, end, lengths[live:],
                      probability, whole[live:])
-        after, after_log = np.zeros((len(some), LONGEST_PIECE, 1)), np.zeros((len(some), 1))  # of the next places, nearest first
+        after, after_log = np.zeros((len(some), LONGEST_PIECE, 1)), np.zeros((len(some), 1))  # ring of the next places
         for begin in range((longest - 1) // BLOCK * BLOCK, -1, -BLOCK):  # backward, with each block's forward values again
             live = int(np.searchsorted(lengths, begin, side="right"))
             base, end = max(begin - LONGEST_PIECE + 1, 0), min(begin + BLOCK, longest)
@@ -186,18 +200,18 @@ def _expectation(words: list[str], weight: np.ndarray, keys: np.ndarray, probabi
             for place in range(end - 1, begin - 1, -1):
                 at = int(np.searchsorted(lengths, place, side="right"))
                 ending = slice(at, int(np.searchsorted(lengths, place + 1, side="right")))
-                after[ending, 0] = 1.0
+                after[ending, (place + 1) % LONGEST_PIECE] = 1.0
                 rows, here = slice(at - live, None), np.zeros((len(some) - at, 1))
                 alpha, alpha_log = (x[rows] for x in kept[place - begin])
                 share = alpha * np.exp(alpha_log + after_log[at:] - whole[at:]) * weight[some[at:], None]
                 for length in range(1, LONGEST_PIECE + 1):
-                    p = _chance(found, length, rows, place - base, probability)
-                    if p is not None:
-                        p = p * after[at:, length - 1]
-                        here += p
-                        uses += np.bincount(found[length - 1][rows, place - base] % len(uses), (share * p)[:, 0], len(uses))
-                after[at:, 1:] = after[at:, :-1]
-                after[at:, 0] = here
+                    got = _chance(found, length, rows, place - base, probability)
+                    if got is not None:
+                        words_at, piece, p = got
+                        p = p * after[at:, (place + length) % LONGEST_PIECE][words_at]
+                        here[words_at] += p
+                        uses += np.bincount(piece % len(uses), (share[words_at] * p)[:, 0], len(uses))
+                after[at:, place % LONGEST_PIECE] = here
                 if place % RESCALE == 0:
                     _rescale(after[at:], after_log[at:])
     return uses[:-1]
