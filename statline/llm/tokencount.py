@@ -33,11 +33,30 @@ _CHUNK = regex.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _SPECIAL = "<|endoftext|>"
 #: Texts in which only single spaces and line ends part the words can be split by Arrow.
 _NOT_SIMPLE = r"^ |[ \n][ \n]|[ \n]$|[\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|<\|endoftext\|>"
-KEPT_CHUNKS, KEPT_PIECES, KEPT_PAIRS = 250_000, 400_000, 1_000_000
+#: Bytes of counts that a worker keeps of chunks and of pre-tokens, pairs of tokens, and the longest text kept.
+KEPT_BYTES, KEPT_PAIRS, LONGEST_KEPT = 64 << 20, 400_000, 64
 
 _LOADED: dict[str, PrefixCounter] = {}
 
 
+class _Kept(dict):
+    """Counts by text, for short texts; all go when they would take more than ``KEPT_BYTES``."""
+
+    def __init__(self):
+        super().__init__()
+        self.size = 0
+
+    def keep(self, text, counts) -> None:
+        if len(text) > LONGEST_KEPT:
+            return
+        cost = 300 + 4 * len(text) + 8 * len(counts)  # at least what both objects and their entry take
+        if self.size + cost > KEPT_BYTES:
+            self.clear()
+            self.size = 0
+        self[text] = counts
+        self.size += cost
+
+
 class PrefixCounter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -60,9 +79,20 @@ class PrefixCounter:
             for c in token:
                 node = node.setdefault(letters[c], {})
             node[-1] = i
+        #: whole characters with the byte after them, as they stand in tokens
+        self.char_and_next = set()
+        for token in number:
+            raw = bytes(letters[c] for c in token)
+            for i, byte in enumerate(raw):
+                size = 1 + (byte >= 0xC0) + (byte >= 0xE0) + (byte >= 0xF0)
+                if i + size < len(raw):
+                    self.char_and_next.add(raw[i:i + size + 1])
+        self.char_before = {held[:-1] for held in self.char_and_next}
+        self.crossing: dict[tuple[str, int], bool] = {}
+        #: by character: 1 if no token goes on after it, -1 if one may, 0 if not looked at yet; its tokens on its own
+        self.closed, self.alone = np.zeros(0x110000, np.int8), np.zeros(0x110000, np.uint8)
         self.stable: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.pieces, self.parts_of, self.chunks = _Kept(), _Kept(), _Kept()
 
     @classmethod
     def load(cls, path: str) -> PrefixCounter:
@@ -125,23 +155,87 @@ class PrefixCounter:
                 last[j + 1], count[j + 1] = token, more
         return count
 
+    def _crosses(self, char: str, lead: int) -> bool:
+        """Whether a token can hold the end of ``char`` and the first byte ``lead`` of the next character."""
+        raw = char.encode()
+        if raw + bytes([lead]) in self.char_and_next:
+            return True
+        for begin in range(len(raw)):  # a token that starts inside or at the character
+            node = self.tree
+            for byte in (*raw[begin:], lead):
+                node = node.get(byte)
+                if node is None:
+                    break
+            else:
+                return True
+        return False
+
+    def _by_part(self, piece: str) -> list[int]:
+        """As :meth:`_by_char`, for a long pre-token: part by part where no token crosses from one character to the next.
+
+        No merge ever joins two tokens there, so the parts are encoded as if they stood alone.
+        """
+        code = np.frombuffer(piece.encode("utf-32-le"), "<u4").astype(np.int64)
+        for c in np.unique(code[self.closed[code] == 0]).tolist():
+            self.closed[c] = -1 if self._may_cross(chr(c)) else 1
+            self.alone[c] = min(self._at_chars(chr(c), self.prefixes(chr(c).encode()))[-1], 255)
+        cut = self.closed[code] > 0  # after the character
+        for at in np.flatnonzero(~cut[:-1]).tolist():
+            pair = piece[at], piece[at + 1].encode()[0]
+            known = self.crossing.get(pair)
+            if known is None:
+                if len(self.crossing) >= KEPT_PAIRS:
+                    self.crossing.clear()
+                known = self.crossing[pair] = self._crosses(*pair)
+            cut[at] = not known
+        begins = np.flatnonzero(np.concatenate(([True], cut[:-1])))  # first characters of the parts
+        ends = np.append(begins[1:], len(code))
+        added = self.alone[code].astype(np.int64)  # tokens that each character adds to its prefix
+        for begin, end in zip(begins[ends - begins > 1].tolist(), ends[ends - begins > 1].tolist()):
+            added[begin:end] = np.diff(self._of_part(piece[begin:end]), prepend=0)
+        return np.cumsum(added).tolist()
+
+    def _may_cross(self, char: str) -> bool:
+        """Whether some next character can share a token with the end of ``char``."""
+        raw = char.encode()
+        if raw in self.char_before:
+            return True
+        for begin in range(len(raw)):
+            node = self.tree
+            for byte in raw[begin:]:
+                node = node.get(byte)
+                if node is None:
+                    break
+            else:
+                if any(0 <= byte < 0x80 or byte >= 0xC0 for byte in node):
+                    return True
+        return False
+
+    def _of_part(self, part: str) -> list[int]:
+        known = self.parts_of.get(part)
+        if known is None:
+            known = self._at_chars(part, self.prefixes(part.encode()))
+            self.parts_of.keep(part, known)
+        return known
+
+    @staticmethod
+    def _at_chars(piece: str, count: list[int]) -> list[int]:
+        """Counts at the ends of characters, of counts at all bytes."""
+        if len(count) == len(piece) + 1:
+            return count[1:]
+        code = np.frombuffer(piece.encode("utf-32-le"), "<u4")
+        ends = np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
+        return [count[e] for e in ends.tolist()]
+
     def _by_char(self, piece: str) -> list[int]:
         """Token counts after each character of one pre-token."""
         known = self.pieces.get(piece)
         if known is not None:
             return known
-        raw = piece.encode()
-        count = self.prefixes(raw)
-        if len(raw) == len(piece):
-            known = count[1:]
-        else:
-            known, end = [], 0
-            for c in piece:
-                end += len(c.encode())
-                known.append(count[end])
-        if len(self.pieces) >= KEPT_PIECES:
-            self.pieces.clear()
-        self.pieces[piece] = known
+        if len(piece) > LONGEST_KEPT:
+            return self._by_part(piece)
+        known = self._at_chars(piece, self.prefixes(piece.encode()))
+        self.pieces.keep(piece, known)
         return known
 
     def chunk(self, text: str) -> tuple[int, ...]:
@@ -161,9 +255,8 @@ class PrefixCounter:
             skip = max(0, body - at)
             out += [base + c for c in counts[skip:]]
             base, at = base + counts[-1], at + len(piece)
-        if len(self.chunks) >= KEPT_CHUNKS:
-            self.chunks.clear()
-        self.chunks[text] = known = tuple(out)
+        known = tuple(out)
+        self.chunks.keep(text, known)
         return known
 
     def counts(self, text: str) -> np.ndarray:
@@ -210,18 +303,20 @@ def _count_slice(counter: PrefixCounter, texts: pa.Array, limit: int) -> tuple[n
     coded = flat.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
     words = [w if w.startswith("\n") else " " + w for w in coded.dictionary.to_pylist()]
-    total, chars = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-    for k, w in enumerate(words):
-        counts = counter.chunk(w)
-        total[k], chars[k] = counts[-1], len(counts)
-    per, size = total[codes], chars[codes]
+    total, chars = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     first = offsets[:-1].copy()
     lead = first[offsets[1:] > offsets[:-1]]
+    inner = np.ones(len(codes), bool)
+    inner[lead] = False
+    for k in np.unique(codes[inner]).tolist():
+        counts = counter.chunk(words[k])
+        total[k], chars[k] = counts[-1], len(counts)
+    per, size = total[codes], chars[codes]
     heads = []
     for at in lead.tolist():  # a text's first chunk has no space before it
         head = words[codes[at]].removeprefix(" ")
         got = counter.chunk(head) if head else ()
-        heads.append(head)
+        heads.append(np.array(got, np.int32))
         per[at], size[at] = (got[-1] if got else 0), len(got)
     tokens, ends = np.concatenate(([0], np.cumsum(per))), np.concatenate(([0], np.cumsum(size)))
     for k, (a, b) in enumerate(pairwise(offsets.tolist())):
@@ -229,9 +324,9 @@ def _count_slice(counter: PrefixCounter, texts: pa.Array, limit: int) -> tuple[n
         n_tokens[i] = tokens[b] - base
         # the last chunk that starts within the limit holds the cut
         at = int(np.searchsorted(tokens[a:b], base + limit, side="right")) + a - 1
-        inside = counter.chunk(heads[k] if at == a else words[codes[at]])
+        inside = heads[k] if at == a else counter.chunk(words[codes[at]])
         room = limit - int(tokens[at] - base)
-        keep[i] = ends[at] - ends[a] + max((q + 1 for q, c in enumerate(inside) if c <= room), default=0)
+        keep[i] = ends[at] - ends[a] + int((np.flatnonzero(np.asarray(inside, np.int64) <= room)[-1:] + 1).sum())
     return n_tokens, keep
 
 

@@ -76,3 +76,25 @@ def test_query(spark, docs, name):
         at = np.arange(max(0, r.keep_chars - 3), min(len(text), r.keep_chars + 12) + 1)
         fits = [int(i) for i in at if count(text[:i]) <= 512]
         assert fits[-1] == r.keep_chars
+
+
+def test_unspaced_text_equals_the_library_in_bounded_memory(monkeypatch):
+    """Long texts without spaces: counts at every prefix, parts cut where no token crosses, nothing long kept."""
+    import random
+
+    from statline.llm import tokencount
+    from statline.llm.queries import tokenizer_path
+    from tokenizers import Tokenizer
+    path = tokenizer_path("byte_bpe_50k.json")
+    monkeypatch.setattr(tokencount, "KEPT_BYTES", 200_000)
+    counter, library = tokencount.PrefixCounter(path), Tokenizer.from_file(path)
+    draw = random.Random(5)
+    kinds = [(0x4E00, 0x9FA5), (0x3040, 0x30FF), (0xAC00, 0xD7A3), (0x61, 0x7A), (0x1F300, 0x1F5FF), (0x0E01, 0x0E2E)]
+    for i in range(60):
+        low, high = kinds[i % len(kinds)]
+        text = "".join(chr(draw.randint(low, high)) for _ in range(300))
+        counts = counter.counts(text)
+        for end in (1, 2, 63, 64, 65, 66, 150, 299, 300):
+            assert counts[end - 1] == len(library.encode(text[:end], add_special_tokens=False).ids)
+    assert not any(len(t) > tokencount.LONGEST_KEPT for kept in (counter.chunks, counter.pieces, counter.parts_of) for t in kept)
+    assert all(kept.size <= 200_000 for kept in (counter.chunks, counter.pieces, counter.parts_of))
