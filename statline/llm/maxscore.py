@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .vectors import search_shards, usable
 
@@ -74,10 +73,8 @@ class Postings:
 
 
 def _search(k: int):
-    def search(ids, vectors, query_ids, queries):
+    def search(vectors, own, queries):
         postings = Postings(np.floor(SCALE * vectors).astype(np.int64))
-        own = np.searchsorted(ids, query_ids)
-        own = np.where((own < len(ids)) & (ids[np.minimum(own, len(ids) - 1)] == query_ids), own, -1)
         which, rows, scores = [], [], []
         for i, query in enumerate(np.floor(SCALE * queries).astype(np.int64)):
             row, score = postings.best(query, k, int(own[i]))
@@ -91,11 +88,11 @@ def _search(k: int):
 
 
 def top_k(vectors: DataFrame, k: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` highest integer inner products of each query, ties to smaller ids.
+    """(query_id, rank, vec_id, score, query_row): the ``k`` highest integer inner products of each query, ties to smaller ids.
 
     Components become floor(64 * x). Queries are rows whose vec_id is divisible by 20; all other rows
-    are candidates. Rows that :func:`usable` leaves out take no part; vectors of unequal length count
-    as filled with zeros. A query without a candidate has no row.
+    are candidates, rows that repeat the query's id too (``query_row`` tells the queries of one id apart). Rows that
+    :func:`usable` leaves out take no part, among them those whose products might not fit a long; vectors of
+    unequal length count as filled with zeros. A query without a candidate has no row.
     """
-    return search_shards(usable(vectors), _search(k), "long", k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return search_shards(usable(vectors, scale=SCALE), _search(k), "long", k)

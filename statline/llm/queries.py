@@ -83,24 +83,24 @@ def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register("op1_top_k", """
-WITH t AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH t AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-      FROM t q JOIN t c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM t q JOIN t c ON q.vec_id % 20 = 0 AND c.r <> q.r),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""")
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .maxscore import top_k
 
-    return top_k(_table(spark, sf_dir, "embeddings"))
+    return top_k(_table(spark, sf_dir, "embeddings")).drop("query_row")
 
 
 @_register("op10_nearest")
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vamana import nearest
 
-    return nearest(_table(spark, sf_dir, "embeddings"))
+    return nearest(_table(spark, sf_dir, "embeddings")).drop("query_row")
 
 
 @_register("op8_license_scan")

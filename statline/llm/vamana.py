@@ -146,7 +146,7 @@ def same_length(vectors: np.ndarray) -> np.ndarray:
 
 
 def _search(k: int, beam: int):
-    def search(ids, vectors, query_ids, queries):
+    def search(vectors, own, queries):
         distinct, node_of = np.unique(vectors, axis=0, return_inverse=True)
         members = np.argsort(node_of.ravel(), kind="stable")  # by node, and in it by id
         starts = np.searchsorted(node_of.ravel()[members], np.arange(len(distinct) + 1))
@@ -162,7 +162,7 @@ def _search(k: int, beam: int):
                 # k + 1 of equal vectors, as one may be the query itself
                 take = [members[starts[n]:min(starts[n] + k + 1, starts[n + 1])] for n in nodes.tolist()]
                 row, score = np.concatenate(take), np.repeat(value, [len(t) for t in take])
-                other = ids[row] != query_ids[i]
+                other = row != own[i]
                 row, score = row[other], score[other]
                 order = np.lexsort((row, -score))[:k]
                 which.append(np.full(len(order), i))
@@ -174,11 +174,11 @@ def _search(k: int, beam: int):
 
 
 def nearest(vectors: DataFrame, k: int = 20, beam: int = BEAM_SEARCH) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each query by inner product, ties to smaller ids.
+    """(query_id, rank, vec_id, score, query_row): the ``k`` nearest found of each query by inner product, ties to smaller ids.
 
-    Queries are rows whose vec_id is divisible by 20; all other rows are candidates. Every row is in
-    its shard's graph. Rows that :func:`usable` leaves out and zero vectors take no part; vectors of
-    unequal length count as filled with zeros. A query without a candidate has no row.
+    Queries are rows whose vec_id is divisible by 20; all other rows are candidates, rows that repeat the
+    query's id too (``query_row`` tells the queries of one id apart). Every row is in its shard's graph. Rows that
+    :func:`usable` leaves out and zero vectors take no part; vectors of unequal length count as filled with
+    zeros. A query without a candidate has no row.
     """
-    return search_shards(usable(vectors, zero=False), _search(k, beam), "double", k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return search_shards(usable(vectors, zero=False), _search(k, beam), "double", k)

@@ -17,11 +17,13 @@ SHARD_ROWS, QUERY_ROWS = 8192, 4096
 QUERY_EVERY = 20
 
 
-def usable(vectors: DataFrame, column: str = "embedding", zero: bool = True) -> DataFrame:
-    """(vec_id, v) with finite vectors of doubles, one row for each id; of rows that repeat an id the smallest counts.
+def usable(vectors: DataFrame, column: str = "embedding", zero: bool = True, scale: int | None = None) -> DataFrame:
+    """(vec_id, v) with finite vectors of doubles; rows that repeat an id all stay.
 
     Rows with a null id, vector or component, an empty vector or a component that isn't finite are
-    left out, and all-zero vectors unless ``zero``. Other columns are not looked at.
+    left out, and all-zero vectors unless ``zero``. With ``scale``, rows are left out too that hold a component x
+    for which the inner product of two such vectors of floor(scale * x) might not fit 63 bits
+    (floor(scale * x) squared times the width reaches 2^62). Other columns are not looked at.
     """
     v = F.transform(F.col(column), lambda x: x.cast("double"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -29,7 +31,10 @@ def usable(vectors: DataFrame, column: str = "embedding", zero: bool = True) ->
             .select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(finite))
     if not zero:
         rows = rows.where(F.exists("v", lambda x: x != 0.0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    if scale:
+        most = F.sqrt(F.lit(2.0 ** 62) / F.size("v")) - 1
+        rows = rows.where(F.forall("v", lambda x: F.abs(x) * scale < most))
+    return rows
 
 
 def matrix(lists: pa.ChunkedArray) -> np.ndarray:
@@ -48,37 +53,43 @@ def matrix(lists: pa.ChunkedArray) -> np.ndarray:
 def search_shards(rows: DataFrame, search: Callable, score: str, k: int) -> DataFrame:
     """Best ``k`` rows for every query: ``search`` runs for each shard and block of queries, results are merged.
 
-    ``rows`` is (vec_id, v); queries are those whose id is divisible by ``QUERY_EVERY``. Shards come
-    from a hash of the id. A shard is shuffled once for each block of queries and a block once for
-    each shard. ``search(ids, vectors, query_ids, query_vectors)`` returns arrays
-    (query number, row number, score), at least the best ``k`` of the shard with ties to smaller ids.
+    ``rows`` is (vec_id, v); queries are those whose id is divisible by ``QUERY_EVERY``, and each row is a query
+    of its own, whose candidates are all other rows: ``query_row``, the row's number, tells the queries of a
+    repeated id apart. Shards come from a hash of the row's number. A shard is shuffled once for each block of queries and a block once for
+    each shard. ``search(vectors, own, query_vectors)`` gets rows in order of their ids and for each query its own
+    row's place, or -1, and returns arrays (query number, row number, score), at least the best ``k`` of the
+    shard with ties to smaller ids.
     """
     workers_import_package(rows.sparkSession)
-    rows = saved(rows, "vectors")
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")  # numbered as it is written, once
     is_query = F.col("vec_id") % QUERY_EVERY == 0
     n, n_queries = rows.agg(F.count("*"), F.count_if(is_query)).first()
     shards, blocks = max(1, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(n_queries / QUERY_ROWS))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    own = lambda count, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(count)).cast("int")
+    own = lambda count, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(count)).cast("int")
     base = rows.withColumn("shard", own(shards, 1)).withColumn("block", every(blocks))
     asked = rows.where(is_query).withColumn("block", own(blocks, 2)).withColumn("shard", every(shards))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                          "score": pa.array([], pa.int64() if score == "long" else pa.float64())})
+        kind = pa.int64() if score == "long" else pa.float64()
         if not left.num_rows or not right.num_rows:
-            return empty
-        ids, query_ids = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
-        order, asked_order = np.argsort(ids), np.argsort(query_ids)
+            return pa.table({"query_id": pa.array([], pa.int64()), "query_row": pa.array([], pa.int64()),
+                             "vec_id": pa.array([], pa.int64()), "score": pa.array([], kind)})
+        ids, row, query_ids, query_row = (t.column(c).to_numpy() for t in (left, right) for c in ("vec_id", "row"))
+        order, asked_order = np.lexsort((row, ids)), np.lexsort((query_row, query_ids))
         x, q = matrix(left.column("v")), matrix(right.column("v"))
         width = max(x.shape[1], q.shape[1])
         x, q = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (x, q))
-        ids, query_ids = ids[order], query_ids[asked_order]
-        which, row, value = search(ids, np.ascontiguousarray(x[order]), query_ids, np.ascontiguousarray(q[asked_order]))
-        return pa.table({"query_id": query_ids[which], "vec_id": ids[row],
-                         "score": pa.array(value, pa.int64() if score == "long" else pa.float64())})
+        ids, query_ids, query_row = ids[order], query_ids[asked_order], query_row[asked_order]
+        by_row = np.argsort(row[order])
+        at = np.minimum(np.searchsorted(row[order][by_row], query_row), len(row) - 1)
+        own = np.where(row[order][by_row][at] == query_row, by_row[at], -1)
+        which, found, value = search(np.ascontiguousarray(x[order]), own, np.ascontiguousarray(q[asked_order]))
+        return pa.table({"query_id": query_ids[which], "query_row": query_row[which], "vec_id": ids[found],
+                         "score": pa.array(value, kind)})
 
     found = (base.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
-             .applyInArrow(run, f"query_id long, vec_id long, score {score}"))
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+             .applyInArrow(run, f"query_id long, query_row long, vec_id long, score {score}"))
+    best = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", best).where(F.col("rank") <= k).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "query_row")

@@ -23,29 +23,43 @@ def rows(n=600, dim=12, seed=3, copies=150):
 
 
 def brute(data, k, kind):
-    good = {i: np.array(v, np.float64) for i, v, *_ in data
-            if i is not None and v and all(c is not None and np.isfinite(c) for c in v)}
+    """Rankings of every query row, by (vec_id, vector): every row but the query's own is a candidate."""
+    good = [(i, np.array(v, np.float64)) for i, v, *_ in data
+            if i is not None and v and all(c is not None and np.isfinite(c) for c in v)]
     if kind == "int":
-        good = {i: np.floor(64 * v).astype(np.int64) for i, v in good.items()}
+        good = [(i, np.floor(64 * v).astype(np.int64)) for i, v in good if 64 * np.abs(v).max() < np.sqrt(2.0 ** 62 / len(v)) - 1]
     else:
-        good = {i: v for i, v in good.items() if v.any()}
-    ids = np.array(sorted(good))
-    x = np.array([good[i] for i in ids])
+        good = [(i, v) for i, v in good if v.any()]
+    good.sort(key=lambda r: r[0])
+    ids = np.array([i for i, _ in good])
+    x = np.array([v for _, v in good])
     out = {}
-    for q in ids[ids % 20 == 0]:
-        score = x @ good[q]
+    for at in np.flatnonzero(ids % 20 == 0) if len(good) else ():
+        score = x @ x[at]
         order = np.lexsort((ids, -score))
-        order = order[ids[order] != q][:k]
-        out[int(q)] = [(int(ids[i]), score[i]) for i in order]
-    return out
+        order = order[order != at][:k]
+        out.setdefault(int(ids[at]), []).append([(int(ids[i]), score[i]) for i in order])
+    return {q: sorted(v, key=repr) for q, v in out.items() if any(v)}
 
 
 def found(df):
     out = {}
-    for r in sorted(df.collect(), key=lambda r: (r.query_id, r.rank)):
-        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
-        assert r.rank == len(out[r.query_id])
-    return out
+    rows_ = sorted(df.collect(), key=lambda r: (r.query_id, getattr(r, "query_row", 0), r.rank))
+    for r in rows_:
+        lists = out.setdefault(r.query_id, {}).setdefault(getattr(r, "query_row", 0), [])
+        lists.append((r.vec_id, r.score))
+        assert r.rank == len(lists)
+    return {q: sorted(v.values(), key=repr) for q, v in out.items()}
+
+
+def test_repeated_ids_and_large_components(spark):
+    """Rows that share an id are rows of their own; a component whose products overflow leaves its row out."""
+    data = rows()[:60] + [(1, [0.9] * 12, 1, 0.0, ""), (1, [0.5] * 12, 1, 0.0, ""), (20, [0.25] * 12, 1, 0.0, ""), (40, [1e18] * 12, 1, 0.0, ""),
+                          (41, [1e6] * 12, 1, 0.0, ""), (40, [-1e6] * 12, 1, 0.0, ""), (40, [3e7] * 12, 1, 0.0, "")]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int, score double, rank string")
+    assert found(top_k(df)) == brute(data, 20, "int")
+    got, want = found(nearest(df)), brute(data, 20, "float")
+    assert {q: len(v) for q, v in got.items()} == {q: len(v) for q, v in want.items()} and recall(got, want) >= 0.9
 
 
 @pytest.mark.parametrize("shard_rows, query_rows", [(8192, 4096), (100, 7)])
@@ -72,13 +86,14 @@ def test_pruning_leaves_rows_out_and_stays_exact():
 def test_few_vectors(spark, n):
     data = rows()[:n] if n > 2 else [(20 * i, [1.0, 2.0 + i], 1, 0.0, "") for i in range(n)]
     df = spark.createDataFrame(data, SCHEMA)
-    assert found(top_k(df)) == {q: v for q, v in brute(data, 20, "int").items() if v}
-    got, want = found(nearest(df)), {q: v for q, v in brute(data, 20, "float").items() if v}
-    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert found(top_k(df)) == brute(data, 20, "int")
+    got, want = found(nearest(df)), brute(data, 20, "float")
+    assert {q: [i for v in some for i, _ in v] for q, some in got.items()} == {q: [i for v in some for i, _ in v] for q, some in want.items()}
 
 
 def recall(got, want):
-    return sum(len({i for i, _ in got.get(q, [])} & {i for i, _ in v}) for q, v in want.items()) / sum(map(len, want.values()))
+    hits = sum(len({i for i, _ in g} & {i for i, _ in v}) for q, some in want.items() for g, v in zip(got.get(q, []), some))
+    return hits / sum(len({i for i, _ in v}) for some in want.values() for v in some)
 
 
 @pytest.mark.parametrize("shard_rows", [8192, 150])
@@ -88,9 +103,10 @@ def test_nearest_recall_and_scores(spark, monkeypatch, shard_rows):
     got, want = found(nearest(spark.createDataFrame(data, SCHEMA))), brute(data, 20, "float")
     assert set(got) == set(want) and recall(got, want) >= 0.95
     x = {i: np.array(v, np.float64) for i, v, *_ in data if v and None not in v}
-    for q, v in got.items():
-        assert len(v) == 20 and all(s == pytest.approx(x[i] @ x[q], rel=1e-12) for i, s in v)
-        assert v == sorted(v, key=lambda t: (-t[1], t[0]))
+    for q, some in got.items():
+        for v in some:
+            assert len(v) == 20 and all(s == pytest.approx(x[i] @ x[q], rel=1e-12) for i, s in v)
+            assert v == sorted(v, key=lambda t: (-t[1], t[0]))
 
 
 def test_query_recall(spark):
