@@ -135,15 +135,42 @@ def _orthonormal(block: np.ndarray) -> np.ndarray:
 
 
 class _Taught:
-    """Labelled rows as a table (doc_id, quality, features, counts) that tasks multiply; the driver sees sums.
-
-    A task reads about ``TASK_BYTES`` of features, so a product of few rows is one task and needs no shuffle.
-    """
+    """Labelled rows as a table (doc_id, quality, features, counts) that tasks multiply, each about ``TASK_BYTES`` of it."""
 
     def __init__(self, table: DataFrame, used: np.ndarray):
         self.used = used
-        size = table.agg(F.sum(F.octet_length("features") * 2)).first()[0] or 0
-        self.table = table.coalesce(max(1, -(-size // TASK_BYTES)))
+        self.size = table.agg(F.sum(F.octet_length("features") * 2)).first()[0] or 0
+        self.table = table.coalesce(max(1, -(-self.size // TASK_BYTES)))
+
+    def main_axes(self, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(main axes, places of the rows on them, mean labels), rows in order of doc_id.
+
+        Rows of one task's size are multiplied, round after round, where they are, and the driver gets the
+        result; of more rows each round adds up the products of all tasks.
+        """
+        if self.size > TASK_BYTES:
+            axes = _main_axes(lambda a: self.product(idf, a), len(self.used))
+            return axes, *self.places(idf, axes)
+        weighted, shared = self._weighted_rows(idf)
+        n_used = len(self.used)
+
+        def fit(batches):
+            rows, ids, labels = _Slices(), [], []
+            for starts, column, values, some in weighted(batches):
+                rows.add(starts, column, values)
+                ids += some.column("doc_id").to_pylist()
+                labels += some.column("quality").to_pylist()
+            axes = _main_axes(rows.product, n_used)
+            order = np.argsort(np.array(ids), kind="stable")
+            for kind, array in enumerate((axes, rows.places(axes)[order], np.array(labels, np.float32)[order])):
+                for at in range(0, len(array), AXES_AT_ONCE):
+                    yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([at], pa.int32()),
+                                                      pa.array([array[at:at + AXES_AT_ONCE].tobytes()], pa.binary())], ["kind", "at", "block"])
+
+        got = sorted(self.table.mapInArrow(fit, "kind int, at int, block binary").collect(), key=lambda r: (r["kind"], r["at"]))
+        shared.destroy()
+        axes, place, marks = (np.frombuffer(b"".join(r["block"] for r in got if r["kind"] == kind), np.float32) for kind in range(3))
+        return axes.reshape(n_used, -1), place.reshape(len(marks), -1).astype(np.float64), marks.astype(np.float64)
 
     def _weighted_rows(self, idf: np.ndarray):
         """(generator function, its broadcast): slices (starts, columns among the used features, values, batch) of weighted rows."""
@@ -174,13 +201,11 @@ class _Taught:
         weighted, shared = self._weighted_rows(idf)
 
         def add_up(batches):
-            axes = asked.value
-            out = np.zeros(axes.shape, np.float32)
+            out = np.zeros(asked.value.shape, np.float32)
             for starts, column, values, _ in weighted(batches):
-                here, at = np.unique(column, return_inverse=True)  # few rows have few of all features
-                dense = np.zeros((len(starts) - 1, len(here)), np.float32)
-                dense[np.repeat(np.arange(len(dense)), np.diff(starts)), at] = values
-                out[here] += dense.T @ (dense @ axes[here])
+                some = _Slices()
+                some.add(starts, column, values)
+                out += some.product(asked.value)
             for at in range(0, len(out), AXES_AT_ONCE):
                 yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([out[at:at + AXES_AT_ONCE].tobytes()], pa.binary())],
                                                  ["at", "block"])
@@ -230,23 +255,51 @@ class _Taught:
 
         return tuple(self.table.mapInArrow(size, "marks double, words double").agg(F.avg("marks"), F.avg("words")).first())
 
-    def axes(self, idf: np.ndarray) -> np.ndarray:
-        """The ``LATENT`` main right singular vectors of the weighted rows, by subspace iteration until they settle.
 
-        After ``MOST_ROUNDS`` the axes are taken as they are: still orthonormal, only less settled.
-        """
-        width = min(LATENT + SPARE, len(self.used))
-        axes = _orthonormal(np.random.default_rng(0).standard_normal((len(self.used), width)).astype(np.float32))
-        held = 0.0
-        for _ in range(MOST_ROUNDS):
-            after = self.product(idf, axes)
-            inner = axes.T.astype(np.float64) @ after.astype(np.float64)
-            size, turn = np.linalg.eigh((inner + inner.T) / 2)
-            before, held = held, float(size[::-1][:LATENT].sum())
-            if held - before <= SETTLED * held:
-                break
-            axes = _orthonormal(after @ turn[:, ::-1].astype(np.float32))
-        return axes @ turn[:, ::-1][:, :LATENT].astype(np.float32)
+def _main_axes(product, n_used: int) -> np.ndarray:
+    """The ``LATENT`` main right singular vectors of the weighted rows, by subspace iteration until they settle.
+
+    ``product(axes)`` is A'(A axes). After ``MOST_ROUNDS`` the axes are taken as they are: still orthonormal, only
+    less settled.
+    """
+    width = min(LATENT + SPARE, n_used)
+    axes = _orthonormal(np.random.default_rng(0).standard_normal((n_used, width)).astype(np.float32))
+    held = 0.0
+    for _ in range(MOST_ROUNDS):
+        after = product(axes)
+        inner = axes.T.astype(np.float64) @ after.astype(np.float64)
+        size, turn = np.linalg.eigh((inner + inner.T) / 2)
+        before, held = held, float(size[::-1][:LATENT].sum())
+        if held - before <= SETTLED * held:
+            break
+        axes = _orthonormal(after @ turn[:, ::-1].astype(np.float32))
+    return axes @ turn[:, ::-1][:, :LATENT].astype(np.float32)
+
+
+class _Slices:
+    """Weighted rows as dense slices over the columns that each slice has."""
+
+    def __init__(self):
+        self.slices = []
+
+    def add(self, starts: np.ndarray, column: np.ndarray, values: np.ndarray) -> None:
+        here, at = np.unique(column, return_inverse=True)
+        self.slices.append((starts, here, at.astype(np.int32), values))
+
+    def _dense(self):
+        for starts, here, at, values in self.slices:
+            dense = np.zeros((len(starts) - 1, len(here)), np.float32)
+            dense[np.repeat(np.arange(len(dense)), np.diff(starts)), at] = values
+            yield here, dense
+
+    def product(self, axes: np.ndarray) -> np.ndarray:
+        out = np.zeros(axes.shape, np.float32)
+        for here, dense in self._dense():  # few rows have few of all features
+            out[here] += dense.T @ (dense @ axes[here])
+        return out
+
+    def places(self, axes: np.ndarray) -> np.ndarray:
+        return np.concatenate([dense @ axes[here] for here, dense in self._dense()])
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -305,22 +358,22 @@ class QualityModel:
                     seen[np.frombuffer(f, "<i4")] = True
             yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int32())], ["feature"])
 
-        used = np.array(sorted(r.feature for r in table.mapInArrow(used_features, "feature int").distinct().collect()), np.int64)
+        seen_in = table.mapInArrow(used_features, "feature int").distinct().toArrow().column("feature")
+        used = np.sort(seen_in.to_numpy()).astype(np.int64)
         if not len(used):  # no labelled row, or none with a word
             marks_of = np.array([r.quality for r in table.select("quality").collect()])
             return cls(np.zeros(FEATURES), np.zeros((FEATURES, 1), np.float32), np.zeros((len(marks_of), 1)), marks_of, spark)
         seen = (docs.where(F.col("text").isNotNull() & taught).select("text").mapInArrow(frequencies, "feature int, n long")
-                .groupBy("feature").agg(F.sum("n").alias("n")).toPandas())
+                .groupBy("feature").agg(F.sum("n").alias("n")).toArrow())
         often = np.zeros(FEATURES + 1)
-        often[seen["feature"]] = seen["n"]  # the last one, -1, counts documents
+        often[seen.column("feature").to_numpy()] = seen.column("n").to_numpy()  # the last one, -1, counts documents
         idf = np.log((1 + often[-1]) / (1 + often[:-1])) + 0.1
         taught_rows = _Taught(table, used)
         for block, size in zip((slice(0, MARKS), slice(MARKS, None)), taught_rows.block_sizes(idf)):
             idf[block] /= max(size, 1e-9)
         if not marks:
             idf[:MARKS] = 0
-        axes = taught_rows.axes(idf)
-        place, quality = taught_rows.places(idf, axes)
+        axes, place, quality = taught_rows.main_axes(idf)
         basis = np.zeros((FEATURES, axes.shape[1]), np.float32)
         basis[used] = axes
         drop_scratch(table)

@@ -98,12 +98,17 @@ def test_axes_are_the_singular_vectors(spark, monkeypatch):
     idf = np.ones(quality.FEATURES)
     dense = np.log1p(n)
     dense = dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
-    got = taught.axes(idf)
+    assert taught.size > quality.TASK_BYTES
+    got, place, marks = taught.main_axes(idf)
     want = np.linalg.svd(dense[:, taught.used])[2][:5].T
     assert np.allclose(got @ got.T, want @ want.T, atol=2e-2)
     assert np.allclose(taught.product(idf, got), dense[:, taught.used].T @ (dense[:, taught.used] @ got), atol=1e-4)
-    place, marks = taught.places(idf, got)
     assert np.allclose(place, dense[:, taught.used] @ got, atol=1e-5) and list(marks) == [i % 2 for i in range(40)]
+    monkeypatch.setattr(quality, "TASK_BYTES", 1 << 20)  # all rounds in one task
+    one, place, marks = quality._Taught(table, taught.used).main_axes(idf)
+    first = one[:, :5]  # workers keep the module's own number of axes
+    assert np.allclose(first @ first.T, want @ want.T, atol=2e-2) and list(marks) == [i % 2 for i in range(40)]
+    assert np.allclose(place, dense[:, taught.used] @ one, atol=1e-5)
 
 
 def test_labelled_rows_without_words(spark):
