@@ -34,7 +34,7 @@ _SPECIAL = "<|endoftext|>"
 #: Texts in which only single spaces and line ends part the words can be split by Arrow.
 _NOT_SIMPLE = r"^ |[ \n][ \n]|[ \n]$|[\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|<\|endoftext\|>"
 #: Bytes of counts that a worker keeps of chunks and of pre-tokens, pairs of tokens, and the longest text kept.
-KEPT_BYTES, KEPT_PAIRS, LONGEST_KEPT = 64 << 20, 400_000, 64
+KEPT_BYTES, KEPT_PAIRS, LONGEST_KEPT = 160 << 20, 1_000_000, 64
 
 _LOADED: dict[str, PrefixCounter] = {}
 
@@ -49,7 +49,7 @@ class _Kept(dict):
     def keep(self, text, counts) -> None:
         if len(text) > LONGEST_KEPT:
             return
-        cost = 300 + 4 * len(text) + 8 * len(counts)  # at least what both objects and their entry take
+        cost = 200 + 2 * len(text) + 8 * len(counts)  # about what both objects and their entry take
         if self.size + cost > KEPT_BYTES:
             self.clear()
             self.size = 0
@@ -223,9 +223,11 @@ class PrefixCounter:
         """Counts at the ends of characters, of counts at all bytes."""
         if len(count) == len(piece) + 1:
             return count[1:]
-        code = np.frombuffer(piece.encode("utf-32-le"), "<u4")
-        ends = np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
-        return [count[e] for e in ends.tolist()]
+        known, end = [], 0
+        for c in piece:
+            end += len(c.encode())
+            known.append(count[end])
+        return known
 
     def _by_char(self, piece: str) -> list[int]:
         """Token counts after each character of one pre-token."""
