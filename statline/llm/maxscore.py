@@ -1,13 +1,11 @@
-"""Exact top-k by integer inner product with MaxScore over term postings.
-
-A vector's components are its terms. In a shard, each term's postings hold the vectors with a
-positive and with a negative component; against a query only those of the query's sign add to a
-score, the others take from it, so a term's score bound is its largest addition. The terms with the
-smallest bounds whose sum cannot reach the k-th best score known are non-essential: a vector that no
-essential posting adds to cannot be among the best. The rest is traversed term by term, essential
-ones first; after each few terms, vectors that cannot reach the k-th best score any more are left out
-and the non-essential terms are probed only for those that still compete. All sums are integers, so
-results are exact; ties go to the smaller id. The shards' best are merged by a ranked window.
+"""Exact top-k by integer inner product with score bounds of terms.
+
+A vector's components are its terms, and a shard holds them term by term. Against a query a term's bound is the
+largest product that a row of the shard can add. Terms are summed in order of their bounds, a few at a time, for all
+rows; once the bounds of the terms that remain, added to a row's score so far, cannot reach the k-th best score known,
+the row is left out and later terms are looked at for the others only. As the vectors are dense, there are
+no postings lists and no split into essential and non-essential ones. All sums are integers, so results
+are exact; ties go to the smaller id. The shards' best are merged by a ranked window.
 """
 
 from __future__ import annotations
