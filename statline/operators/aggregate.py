@@ -10,6 +10,8 @@ broadcast decision to AQE's runtime size check.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,8 +77,9 @@ def quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[s
     return out.select(*by, *[F.col(t)[i].alias(n) for t, i, n in names])
 
 
-# Buckets that a value range is cut into by each pass after the first.
-SPLITS = 4096
+# Buckets that a value range is cut into, also the number of rows up to which a range is counted value by value; items
+# that a sketch keeps; how far in rank a bracket reaches to each side (three times the sketch's usual error).
+SPLITS, SKETCH_ITEMS, BRACKET = 4096, 1000, 0.01
 
 
 def _magnitude(v: Column) -> Column:
@@ -85,38 +88,83 @@ def _magnitude(v: Column) -> Column:
     return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
 
 
+def _part(v: Column, low: Column, high: Column) -> Column:
+    """Number of ``v``'s part of the range from ``low`` to ``high``, rising with ``v``.
+
+    Parts are equally wide where both ends are of one sign and like size, else eighths of powers
+    of two, so that a range over many magnitudes doesn't need a pass for each twelve bits.
+    """
+    alike = (low != 0) & (F.signum(low) == F.signum(high)) & (F.greatest(F.abs(low), F.abs(high)) < F.least(F.abs(low), F.abs(high)) * SPLITS)
+    even = F.least(F.floor((v - low) / F.nullif(high - low, F.lit(0.0)) * SPLITS), F.lit(SPLITS - 1))
+    return F.when(alike, even).otherwise(_magnitude(v))
+
+
 def _narrowed(hist: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The bucket that holds each wanted rank ``__k``, with the rank inside it."""
-    upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy("__b"))
+    order = ["__s", "__b"] if "__s" in hist.columns else ["__b"]
+    upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy(*order))
     running = hist.withColumn("__upto", upto)
     inside = (F.col("__k") <= F.col("__upto")) & (F.col("__k") > F.col("__upto") - F.col("__n"))
     return (wanted.join(running, list(keys)).where(inside)
-            .withColumn("__k", F.col("__k") - F.col("__upto") + F.col("__n")).drop("__upto", "__b"))
+            .withColumn("__k", F.col("__k") - F.col("__upto") + F.col("__n")).drop("__upto", *order))
+
+
+def _brackets(wide: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[str]) -> DataFrame:
+    """One row for each group with a cell for each column: number of values, rank brackets, and their sorted ends.
+
+    One pass builds a sketch of each column, which combines before the shuffle. A bracket reaches from the sketch's
+    value a little below a wanted rank to the one a little above; smallest and largest value are ends too.
+    """
+    aggs, cells = [], []
+    for i, (c, probs) in enumerate(spec.items()):
+        x = F.when(~F.isnan(f"__v{i}"), F.col(f"__v{i}"))
+        aggs += [F.count(x).alias(f"__n{i}"), F.min(x).alias(f"__min{i}"), F.max(x).alias(f"__max{i}"),
+                 F.kll_sketch_agg_double(x, F.lit(SKETCH_ITEMS)).alias(f"__sk{i}")]
+        lows, highs = [F.array(*[F.kll_sketch_get_quantile_double(F.col(f"__sk{i}"), F.lit(min(max(float(p) + d, 0.0), 1.0)))
+                                 for p in probs]) for d in (-BRACKET, BRACKET)]
+        cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.col(f"__min{i}"), F.col(f"__max{i}")), lows, highs)))
+        cells.append(F.struct(F.col(f"__n{i}").alias("n"), *[F.when(F.col(f"__n{i}") > 0, x).alias(name)
+                                                             for name, x in (("cuts", cuts), ("lows", lows), ("highs", highs))]))
+    return wide.groupBy(*by).agg(*aggs).select(*by, F.array(*cells).alias("__cells"))
 
 
 def _counted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: Sequence[str]) -> DataFrame:
-    """Order statistics by counting, the same way at every size and for every distribution.
-
-    The first pass counts values by magnitude, with each bucket's smallest
-    and largest value. A running sum over the counts names the bucket of each
-    wanted rank; its value range is cut into ``SPLITS`` parts that are counted
-    in the next pass, until the bucket holds one distinct value (or the rank is
-    its first or last). All counts combine before the shuffle, so rows are
-    neither sorted nor moved and a value that half of the rows share is one
-    number. What passes between rounds has a row for each group, column and
-    probability.
+    """Order statistics in two passes, for almost all data; exact for every distribution and at every size.
+
+    The first pass sketches each column, which gives a bracket of values around each wanted rank. The second counts all
+    values: between two ends of brackets by part, at an end as a bucket of its own. A running sum over the exact counts
+    names the bucket of each wanted rank, whether or not the sketch was right. As long as a wanted bucket holds more
+    than one distinct value (and the rank is not its first or last), its range is cut again, by another pass. All counts
+    combine before the shuffle, so rows are neither sorted nor moved, and a value that half of the rows share is one
+    number. What passes between rounds has a row for each group, column and probability.
     """
     cols = list(spec)
     grp = [*by, "__c"]
-    wide = saved(df.select(*by, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)]), "quantile-input")
-    values = wide.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("__c"), F.col(f"__v{i}").alias("__v")) for i in range(len(cols))])))
-    values = values.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    wide = saved(df.select(*by, *[(F.col(c).cast("double") + 0.0).alias(f"__v{i}") for i, c in enumerate(cols)]), "quantile-input")
+    cells = saved(_brackets(wide, spec, by), "quantile-brackets")
     counted = [F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")]
-    hist = saved(values.groupBy(*grp, _magnitude(F.col("__v")).alias("__b")).agg(*counted), "quantile-counts")
+
+    def values(*more: Column) -> DataFrame:
+        return F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(f"__v{i}").alias("__v"), *[m[i] for m in more])
+                                  for i in range(len(cols))]))
+
+    here = [F.col("__cells")[i].alias("__cell") for i in range(len(cols))]
+    cut = attach_scalars(wide, cells) if not by else wide.join(cells, list(by))
+    cut = cut.select(*by, values(here)).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    v, cuts, most = F.col("__v"), F.col("__cell")["cuts"], max(map(len, spec.values()))
+    cut = cut.withColumn("__under", reduce(add, [F.when(F.get(cuts, F.lit(j)) < v, 1).otherwise(0) for j in range(2 * most + 2)]))
+    end = F.get(cuts, F.col("__under"))
+    near = reduce(or_, [v.between(F.get(F.col("__cell")["lows"], F.lit(j)), F.get(F.col("__cell")["highs"], F.lit(j)))
+                        for j in range(most)])
+    # even numbers lie between ends, odd ones are ends; what is in no bracket is one bucket
+    segment = F.col("__under") * 2 + (end == v).cast("int")
+    part = (F.when((end == v) | ~F.coalesce(near, F.lit(False)), F.lit(0.0)).when(F.col("__cell")["n"] * (2 * BRACKET) <= SPLITS, v)
+            .otherwise(_part(v, F.get(cuts, F.col("__under") - 1), end).cast("double")))
+    hist = cut.groupBy(*grp, segment.alias("__s"), part.alias("__b")).agg(*counted)
     probs = F.array(*[F.array(*[F.lit(float(p)) for p in spec[c]]) for c in cols])
     pos = (F.col("__total") - 1) * F.col("__p")
-    wanted = (hist.groupBy(*grp).agg(F.sum("__n").alias("__total"))
+    wanted = (cells.select(*by, F.posexplode("__cells").alias("__c", "__cell"))
+              .select(*grp, F.col("__cell")["n"].alias("__total")).where(F.col("__total") > 0)
               .select(*grp, "__total", F.posexplode(probs[F.col("__c")]).alias("__i", "__p"))
               .select(*grp, "__i", (pos - F.floor(pos)).alias("__d"), F.inline(F.array(
                   F.struct(F.lit(0).alias("__role"), (F.floor(pos) + 1).alias("__k")),
@@ -125,17 +173,19 @@ def _counted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: S
     state = saved(_narrowed(hist, wanted, grp).select(*fields), "quantile-ranks")
     found = F.when(F.col("__k") == F.col("__n"), F.col("__hi")).otherwise(F.col("__lo"))
     open_ = (F.col("__lo") < F.col("__hi")) & (F.col("__k") > 1) & (F.col("__k") < F.col("__n"))
-    scratch = [wide, hist, state]
+    scratch = [wide]
     while state.where(open_).limit(1).count():
-        todo = state.where(open_).withColumnsRenamed({"__lo": "__from", "__hi": "__to"}).drop("__n")
-        ranges = todo.select(*grp, "__from", "__to").distinct()
-        part = F.least(F.floor((F.col("__v") - F.col("__from")) / (F.col("__to") - F.col("__from")) * SPLITS),
-                       F.lit(SPLITS - 1))
-        hist = saved(values.join(ranges, grp).where(F.col("__v").between(F.col("__from"), F.col("__to")))
-                     .groupBy(*grp, "__from", "__to", part.alias("__b")).agg(*counted), "quantile-counts")
+        todo = state.where(open_).withColumnsRenamed({"__lo": "__from", "__hi": "__to", "__n": "__rows"})
+        ranges = todo.select(*grp, "__from", "__to", "__rows").distinct()
+        todo = todo.drop("__rows")
+        part = (F.when(F.col("__rows") <= SPLITS, v)
+                .otherwise(_part(v, F.col("__from"), F.col("__to")).cast("double")))
+        rows = wide.select(*by, values()).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+        hist = (rows.join(ranges, grp).where(F.col("__v").between(F.col("__from"), F.col("__to")))
+                .groupBy(*grp, "__from", "__to", part.alias("__b")).agg(*counted))
+        scratch.append(state)
         state = saved(state.where(~open_).unionByName(
             _narrowed(hist, todo, [*grp, "__from", "__to"]).select(*fields)), "quantile-ranks")
-        scratch += [hist, state]
     q = (state.withColumn("__x", found).groupBy(*grp, "__i")
          .agg(F.max(F.when(F.col("__role") == 0, F.col("__x"))).alias("__lov"),
               F.max(F.when(F.col("__role") == 1, F.col("__x"))).alias("__hiv"), F.max("__d").alias("__d"))
@@ -144,7 +194,7 @@ def _counted_quantiles(df: DataFrame, spec: Mapping[str, Sequence[float]], by: S
     out = saved(q.groupBy(*by).agg(*[
         F.max(F.when((F.col("__c") == j) & (F.col("__i") == i), F.col("__q"))).alias(f"{c}_q{_label(p)}")
         for j, c in enumerate(cols) for i, p in enumerate(spec[c])]), "quantiles")
-    drop_scratch(*scratch)
+    drop_scratch(*scratch, cells, state)
     return out
 
 

@@ -20,6 +20,7 @@ from ..operators.clean import (DEFAULT_AS_OF, as_of_literal, filter_active, stag
                                stage_game_logs, stage_players)
 from ..operators.joins import attach_advanced, attach_players, attach_players_by_season, career_advanced
 from ..operators.rank import row_numbers
+from ..session import saved
 
 PERFORMANCE_COLUMNS = (
     "player_id", "player_name", "team_id", "team_name", "season", "games_played",
@@ -92,11 +93,12 @@ def rank_key(df: DataFrame) -> list:
 def mart_summary(perf: DataFrame, as_of: str | _dt.datetime = DEFAULT_AS_OF,
                  num_partitions: int | None = None) -> DataFrame:
     """Mart model: classification, scores and season/position/team ranks."""
-    df = classify(perf)
-    df = row_numbers(df, rank_key(df), {"season_rank": (),
-                                        "position_rank": ("primary_position",),
-                                        "team_rank": ("team_id",)},
-                     num_partitions=num_partitions)
+    # written once with a number for each row, so that only the columns that ranks depend on are ordered and dealt out
+    df = saved(classify(perf).withColumn("__row", F.monotonically_increasing_id()), "classified")
+    groupings = {"season_rank": (), "position_rank": ("primary_position",), "team_rank": ("team_id",)}
+    keys = [c for c in ("performance_score", "player_id", "season", "primary_position", "team_id") if c in df.columns]
+    ranks = row_numbers(df.select("__row", *keys), rank_key(df), groupings, num_partitions=num_partitions)
+    df = df.join(ranks.select("__row", *groupings), "__row")
     ts = as_of_literal(as_of)
     return df.withColumns({"data_created_at": ts, "data_updated_at": ts}).select(*MART_COLUMNS)
 

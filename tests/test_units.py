@@ -185,6 +185,37 @@ def test_counted_quantiles_equal_sorted(spark, values):
             assert per_group[g] == pytest.approx(float(np.median(own)), nan_ok=True)
 
 
+@pytest.mark.parametrize("shape", ["normal", "hot", "magnitudes", "steps"])
+def test_counted_quantiles_of_many_values(spark, shape, monkeypatch):
+    """More values than are counted one by one: brackets are cut into parts; the rounds stay few."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    n = 300_000
+    values = {"normal": rng.normal(size=n), "steps": np.floor(rng.normal(size=n) * 50),
+              "hot": np.where(rng.random(n) < 0.4, 3.25, rng.normal(size=n)),
+              "magnitudes": np.exp(rng.normal(size=n) * 40) * np.where(rng.random(n) < 0.5, -1, 1)}[shape]
+    import pandas as pd
+    rounds = []
+    write = aggregate.saved
+    monkeypatch.setattr(aggregate, "saved", lambda df, name: rounds.append(name) or write(df, name))
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    probs = (0.01, 0.25, 0.5, 0.8, 0.999)
+    got = aggregate.quantiles(df, {"v": probs}).first()
+    want = np.quantile(values, probs)
+    assert [got[f"v_q{aggregate._label(p)}"] for p in probs] == pytest.approx(list(want), rel=1e-12)
+    assert rounds.count("quantile-ranks") <= 2
+
+
+def test_quantiles_need_no_good_sketch(spark, monkeypatch):
+    """Brackets that miss every wanted rank cost a pass, not the result."""
+    monkeypatch.setattr(aggregate, "BRACKET", -0.2)
+    df = spark.range(5000).selectExpr("CAST((id * 7919) % 5003 AS DOUBLE) AS v")
+    import numpy as np
+    want = np.quantile([(i * 7919) % 5003 for i in range(5000)], [0.3, 0.5])
+    got = aggregate.quantiles(df, {"v": (0.3, 0.5)}).first()
+    assert (got.v_q30, got.v_q50) == pytest.approx(tuple(want))
+
+
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None, 1)], "v double, g long")
     assert aggregate.quantiles(df, {"v": (0.5,)}).first().v_q50 is None
