@@ -1,7 +1,7 @@
 import pytest
 from corpus_rows import odd_rows, rows_of
 
-from statline.llm.licenses import ANCHORS, NAMES, PARTIAL, SENTENCES, SentenceRules, _known, normal, scan
+from statline.llm.licenses import ANCHORS, NAMES, PARTIAL, RULES as ALL_RULES, SENTENCES, SentenceRules, _known, normal, scan, spdx_expression
 
 RULES = SentenceRules()
 
@@ -57,6 +57,50 @@ def test_known_texts(text, want):
     assert RULES.identifiers(text) == by_trying_all(text)
 
 
+@pytest.mark.parametrize("text, want", [
+    ("SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0-only"]),
+    ("// SPDX-License-Identifier: Apache-2.0 OR MIT", ["Apache-2.0 OR MIT"]),
+    ("/* SPDX-License-Identifier: LGPL-2.1-or-later */", ["LGPL-2.1-or-later"]),
+    ("# spdx-license-identifier: (mit or apache-2.0) and gpl-2.0-only with classpath-exception-2.0\nprose",
+     ["(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0"]),
+    ("SPDX-License-Identifier: GPL-2.0+", ["GPL-2.0+"]),
+    ("SPDX-License-Identifier: MIT and more", ["MIT"]),
+    ("SPDX-License-Identifier: (MIT OR", []),
+    ("SPDX-License-Identifier: No-Such-1.0", []),
+    ("SPDX-License-Identifier:", []),
+    ("licensed under the terms of the MIT license", ["MIT"]),
+    ("Released under CC0 1.0.", ["CC0-1.0"]),
+    (wrapped(" ".join(SENTENCES[k] for k in ("mpl-grant", "mpl-copy")), "//"), ["MPL-2.0"]),
+    (SENTENCES["mpl-grant"] + "\n" + SENTENCES["mpl-copy"].replace("https", "http"), ["MPL-2.0"]),
+    (SENTENCES["unlicense-grant"] + "\n\n" + SENTENCES["unlicense-use"], ["Unlicense"]),
+    (SENTENCES["boost-grant"] + "\n" + SENTENCES["boost-see"], ["BSL-1.0"]),
+    (wrapped(" ".join(SENTENCES[k] for k in ("lgpl2-grant", "lgpl-warranty", "lgpl-see", "lgpl-copy")), " *"), ["LGPL-2.1-or-later"]),
+    (BSD2 + "\n" + SENTENCES["bsd-liability"], ["BSD-2-Clause"]),
+    ("{zlib-warranty} {zlib-liability}\n{zlib-grant}\n1. {zlib-origin} {zlib-thanks}\n2. {zlib-marked}\n3. {zlib-notice}".format(**SENTENCES), ["Zlib"]),
+])
+def test_notices_and_expressions(text, want):
+    import re
+    assert [m[0] for m in RULES.match(text)] == want
+    assert not want or re.search(ANCHORS, text)
+
+
+def test_places_of_expressions():
+    text = "a\n// SPDX-License-Identifier: MIT OR ISC */ b\nSPDX-License-Identifier: MIT\n"
+    assert [(m[0], text[m[1]:m[2]]) for m in RULES.match(text)] == [
+        ("MIT OR ISC", "SPDX-License-Identifier: MIT OR ISC"), ("MIT", "SPDX-License-Identifier: MIT")]
+    assert spdx_expression("MIT)", 0) == ("MIT", 3) and spdx_expression("OR MIT", 0) is None
+
+
+def test_every_rule_is_found_in_its_own_text():
+    """Each rule's sentences one after another, whole and without those that may be left out."""
+    for i, (license_, wanted) in enumerate(ALL_RULES):
+        for parts in (wanted, [w for w in wanted if not w.endswith("?")]):
+            text = "\n".join(SENTENCES[w.removesuffix("?")] for w in parts)
+            assert [m[0] for m in RULES.match(text)] == [license_], (license_, parts)
+            assert RULES.identifiers(wrapped(text, "#"))[0][0] == wanted[0].removesuffix("?")
+    assert {w.removesuffix("?") for _, wanted in ALL_RULES for w in wanted} == set(SENTENCES)
+
+
 def test_every_sentence_passes_the_anchor():
     import re
     for words in _known():
