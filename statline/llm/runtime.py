@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 
 import pyarrow as pa
@@ -32,10 +33,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system: Python workers live on from stage to stage, and allocators keep what they had."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library alone has it
+    if trim:
+        trim(0)
+
+
 def text_slices(batches, column: str = "text", most: int = SLICE_BYTES):
     """Yield slices of record batches whose ``column`` holds at most ``most`` bytes, one row at least."""
     import numpy as np
 
+    give_back_memory()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -47,6 +57,7 @@ def text_slices(batches, column: str = "text", most: int = SLICE_BYTES):
             to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    give_back_memory()
 
 
 def plain_strings(column: pa.Array) -> pa.Array:
