@@ -1,11 +1,14 @@
-"""Exact top-k by integer inner product with score bounds of terms.
-
-A vector's components are its terms, and a shard holds them term by term. Against a query a term's bound is the
-largest product that a row of the shard can add. Terms are summed in order of their bounds, a few at a time, for all
-rows; once the bounds of the terms that remain, added to a row's score so far, cannot reach the k-th best score known,
-the row is left out and later terms are looked at for the others only. As the vectors are dense, there are
-no postings lists and no split into essential and non-essential ones. All sums are integers, so results
-are exact; ties go to the smaller id. The shards' best are merged by a ranked window.
+"""Exact top-k by integer inner product with MaxScore over postings.
+
+A vector's components are its terms. A shard's rows are held in blocks, and in a block each term has a postings list: the rows
+where it isn't zero, in order, with their values. Against a query a term's bound is the largest product that a row of the block
+can add, or 0 if none adds anything. Terms in order of their bounds split in two: the non-essential ones are the longest run
+from the smallest bound whose bounds together cannot reach the score needed; a row that is helped by no other term
+cannot reach it either. The postings of the essential terms are traversed, and rows that one of them helps become candidates;
+the non-essential lists are only probed for candidates, largest bound first, while a candidate's score and the bounds
+left reach the score needed. That is one more than the k-th best of the rows before, which have smaller ids, and no less than the k-th best of
+the first shard, which is searched before the others. All sums are integers, so results are exact; ties go to the smaller id.
+The shards' best are merged by a ranked window.
 """
 
 from __future__ import annotations
@@ -13,73 +16,80 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .vectors import search_shards, usable
+from .vectors import LEAST, search_shards, usable
 
 SCALE = 64
-#: Terms that are probed between two looks at who still competes.
-STEP = 8
+#: Rows of a block: its bounds are its own, and the score needed rises from block to block.
+BLOCK = 2048
 
 
 class Postings:
-    """A shard by term: components as one row for each term, and the largest and smallest of each."""
+    """Postings by term of one block of rows, with the largest and smallest value of each list."""
 
     def __init__(self, vectors: np.ndarray):
-        self.by_term = np.ascontiguousarray(vectors.T)
-        self.highest = np.maximum(self.by_term.max(axis=1), 0)
-        self.lowest = np.minimum(self.by_term.min(axis=1), 0)
-
-    def best(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row numbers, scores) of all rows that reach the k-th best score, without row ``own``."""
+        self.n, width = vectors.shape
+        term, self.rows = np.nonzero(vectors.T)
+        self.values = vectors.T[term, self.rows]
+        self.starts = np.searchsorted(term, np.arange(width + 1))
+        self.highest = np.maximum(vectors.max(axis=0), 0)
+        self.lowest = np.minimum(vectors.min(axis=0), 0)
+
+    def competing(self, query: np.ndarray, needed: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(rows, scores, postings traversed or probed): all rows of the block with at least the score ``needed``."""
         bound = np.where(query > 0, query * self.highest, query * self.lowest)
-        terms = np.argsort(-bound, kind="stable")
-        terms = terms[query[terms] != 0]
-        rest = np.concatenate((np.cumsum(bound[terms][::-1])[::-1], [0]))  # what terms from here on can add
-        n = self.by_term.shape[1]
-        rows, score = None, np.zeros(n, np.int64)
-        threshold = None
-        for at in range(0, len(terms), STEP):
-            some = terms[at:at + STEP]
-            if rows is None:
-                score += query[some] @ self.by_term[some]
+        terms = np.argsort(bound, kind="stable")
+        terms = terms[(query[terms] != 0) & (self.starts[terms + 1] > self.starts[terms])]
+        reach = np.cumsum(bound[terms])  # what terms up to here can add together
+        split = int(np.searchsorted(reach, needed, side="left")) if needed > 0 else 0
+        score, helped, touched = np.zeros(self.n, np.int64), np.zeros(self.n, bool), 0
+        for t in terms[split:].tolist():
+            some = slice(self.starts[t], self.starts[t + 1])
+            rows, add = self.rows[some], query[t] * self.values[some]
+            score[rows] += add
+            helped[rows[add > 0]] = True
+            touched += len(rows)
+        rest = int(reach[split - 1]) if split else 0
+        rows = np.flatnonzero(helped & (score >= needed - rest) if needed > 0 else score >= needed - rest)
+        score = score[rows]
+        for i in range(split - 1, -1, -1):
+            if not len(rows):
+                break
+            t = terms[i]
+            listed, values = (a[self.starts[t]:self.starts[t + 1]] for a in (self.rows, self.values))
+            touched += len(rows)
+            if len(listed) == self.n:
+                score += query[t] * values[rows]
             else:
-                score += query[some] @ self.by_term[np.ix_(some, rows)]
-            left = int(rest[min(at + STEP, len(terms))])
-            if threshold is None:
-                threshold = self._known(query, terms, score, k, own)
-            if threshold is not None and left:
-                competes = score + left >= threshold
-                if competes.sum() <= 0.7 * len(score):
-                    rows = np.flatnonzero(competes) if rows is None else rows[competes]
-                    score = score[competes]
-        if rows is None:
-            rows = np.arange(n)
-        mine = rows != own
-        rows, score = rows[mine], score[mine]
-        if len(score) > k:
-            least = np.partition(score, len(score) - k)[len(score) - k]
-            reach = score >= least
-            rows, score = rows[reach], score[reach]
-        return rows, score
-
-    def _known(self, query, terms, score, k: int, own: int) -> int | None:
-        """A score that k rows are known to reach: that of the leaders so far, in full."""
-        if len(score) <= k + 1:
-            return None
-        lead = np.argpartition(-score, k)[:k + 1]
-        lead = lead[lead != own][:k]
-        return int((query[terms] @ self.by_term[np.ix_(terms, lead)]).min())
+                at = np.minimum(np.searchsorted(listed, rows), len(listed) - 1)
+                score += np.where(listed[at] == rows, query[t] * values[at], 0)
+            left = score >= needed - (int(reach[i - 1]) if i else 0)
+            rows, score = rows[left], score[left]
+        return rows, score, touched
+
+
+def best(blocks: list[Postings], query: np.ndarray, k: int, own: int, floor: int = LEAST) -> tuple[np.ndarray, np.ndarray, int]:
+    """(row numbers, scores, postings touched) of the ``k`` best rows of all ``blocks`` that reach ``floor``, best first, without row ``own``."""
+    rows, scores, at, touched = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
+    for block in blocks:
+        needed = max(floor, int(scores[-1]) + 1) if len(scores) == k else floor
+        new, score, n = block.competing(query, needed)
+        other = new + at != own
+        rows, scores = np.concatenate((rows, new[other] + at)), np.concatenate((scores, score[other]))
+        order = np.lexsort((rows, -scores))[:k]  # rows are in order of their ids
+        rows, scores, at, touched = rows[order], scores[order], at + block.n, touched + n
+    return rows, scores, touched
 
 
 def _search(k: int):
-    def search(vectors, own, queries):
-        postings = Postings(np.floor(SCALE * vectors).astype(np.int64))
+    def search(vectors, own, queries, edges, floor):
+        vectors = np.floor(SCALE * vectors).astype(np.int64)
+        blocks = [Postings(vectors[at:at + BLOCK]) for at in range(0, len(vectors), BLOCK)]
         which, rows, scores = [], [], []
         for i, query in enumerate(np.floor(SCALE * queries).astype(np.int64)):
-            row, score = postings.best(query, k, int(own[i]))
-            order = np.lexsort((row, -score))[:k]  # rows are in order of their ids
-            which.append(np.full(len(order), i))
-            rows.append(row[order])
-            scores.append(score[order])
+            row, score, _ = best(blocks, query, k, int(own[i]), int(floor[i]))
+            which.append(np.full(len(row), i))
+            rows.append(row)
+            scores.append(score)
         return np.concatenate(which), np.concatenate(rows), np.concatenate(scores)
 
     return search
@@ -93,4 +103,4 @@ def top_k(vectors: DataFrame, k: int = 20) -> DataFrame:
     :func:`usable` leaves out take no part, among them those whose products might not fit a long; vectors of
     unequal length count as filled with zeros. A query without a candidate has no row.
     """
-    return search_shards(usable(vectors, scale=SCALE), _search(k), "long", k)
+    return search_shards(usable(vectors, scale=SCALE), _search(k), "long", k, floors=True)

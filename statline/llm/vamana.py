@@ -4,7 +4,7 @@ A shard's distinct vectors are the nodes. They are inserted in rounds of doublin
 searches from the node nearest the mean propose neighbours, and pruning keeps a proposal only if no
 kept neighbour is nearer to it by the factor ``ALPHA``, which leaves diverse edges. Edges are added
 both ways and pruned again where a node gets too many. Vectors of a round are searched for side by
-side in array operations. A query runs a beam search on each shard's graph, and shards are merged.
+side in array operations. Each shard's graph is built once and written as a table; blocks of queries read it. A query runs a beam search on each shard's graph, and shards are merged.
 
 For the largest inner product the graph works on vectors with one more component that gives all of
 them the same length, so nearness by distance and by product agree; scores are products of the
@@ -14,6 +14,7 @@ original vectors in double precision. Equal vectors are one node, whose smallest
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +25,15 @@ FIRST_ROUND = 64
 
 
 class Graph:
-    def __init__(self, points: np.ndarray, seed: int = 7):
+    def __init__(self, points: np.ndarray, edges: np.ndarray | None = None, seed: int = 7):
+        """Builds the edges, or takes the ``edges`` of a graph that was built over the same points."""
         self.x = np.ascontiguousarray(points, np.float32)
         n = len(points)
-        self.edges = np.full((n, DEGREE), -1, np.int32)
         self.start = int(np.argmax(self.x @ self.x.mean(axis=0)))
+        if edges is not None:
+            self.edges = edges
+            return
+        self.edges = np.full((n, DEGREE), -1, np.int32)
         order = np.random.default_rng(seed).permutation(n).astype(np.int32)
         order = np.concatenate(([self.start], order[order != self.start])).astype(np.int32)
         done, size = 1, FIRST_ROUND
@@ -145,12 +150,27 @@ def same_length(vectors: np.ndarray) -> np.ndarray:
     return np.concatenate((vectors, np.sqrt(np.maximum(most - square, 0))[:, None]), axis=1) / np.sqrt(most)
 
 
+def _nodes(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct vectors, rows by node and in it by id, start of each node in them)."""
+    distinct, node_of = np.unique(vectors, axis=0, return_inverse=True)
+    members = np.argsort(node_of.ravel(), kind="stable")
+    return distinct, members, np.searchsorted(node_of.ravel()[members], np.arange(len(distinct) + 1))
+
+
+def _build(vectors: np.ndarray) -> list[list[int]]:
+    """Edges of each node, by numbers of nodes, at the node's first row; other rows have none."""
+    distinct, members, starts = _nodes(vectors)
+    out: list[list[int]] = [[] for _ in range(len(vectors))]
+    for row, edges in zip(members[starts[:-1]].tolist(), Graph(same_length(distinct)).edges.tolist()):
+        out[row] = edges
+    return out
+
+
 def _search(k: int, beam: int):
-    def search(vectors, own, queries):
-        distinct, node_of = np.unique(vectors, axis=0, return_inverse=True)
-        members = np.argsort(node_of.ravel(), kind="stable")  # by node, and in it by id
-        starts = np.searchsorted(node_of.ravel()[members], np.arange(len(distinct) + 1))
-        graph = Graph(same_length(distinct))
+    def search(vectors, own, queries, edges, floor):
+        distinct, members, starts = _nodes(vectors)
+        flat = edges.combine_chunks().take(pa.array(members[starts[:-1]])).flatten().to_numpy()
+        graph = Graph(same_length(distinct), flat.reshape(len(distinct), DEGREE))
         which, rows, scores = [], [], []
         unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
         unit = np.concatenate((unit, np.zeros((len(unit), 1))), axis=1)
@@ -181,4 +201,4 @@ def nearest(vectors: DataFrame, k: int = 20, beam: int = BEAM_SEARCH) -> DataFra
     :func:`usable` leaves out and zero vectors take no part; vectors of unequal length count as filled with
     zeros. A query without a candidate has no row.
     """
-    return search_shards(usable(vectors, zero=False), _search(k, beam), "double", k)
+    return search_shards(usable(vectors, zero=False), _search(k, beam), "double", k, build=_build)

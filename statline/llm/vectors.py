@@ -15,6 +15,8 @@ from .runtime import saved, workers_import_package
 #: Vectors of a shard and queries of a block; both bound what one task holds.
 SHARD_ROWS, QUERY_ROWS = 8192, 4096
 QUERY_EVERY = 20
+#: Floor of a query that has none.
+LEAST = -(1 << 63)
 
 
 def usable(vectors: DataFrame, column: str = "embedding", zero: bool = True, scale: int | None = None) -> DataFrame:
@@ -50,46 +52,83 @@ def matrix(lists: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def search_shards(rows: DataFrame, search: Callable, score: str, k: int) -> DataFrame:
+def _sorted_shard(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """(ids, row numbers, table) of a shard in order of (id, row number)."""
+    ids, row = table.column("vec_id").to_numpy(), table.column("row").to_numpy()
+    order = np.lexsort((row, ids))
+    return ids[order], row[order], table.take(pa.array(order))
+
+
+def shard_index(base: DataFrame, build: Callable) -> DataFrame:
+    """``base`` (vec_id, v, row, shard) with what ``build(vectors)`` makes of each shard, as a written table.
+
+    ``build`` gets a shard's vectors in order of (vec_id, row) and returns a list of integers for each; they
+    are the column ``edges``. A shard is built once, however many blocks of queries search it.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        ids, row, table = _sorted_shard(table)
+        edges = build(matrix(table.column("v")))
+        return pa.table({"vec_id": ids, "v": table.column("v"), "row": row, "shard": table.column("shard"),
+                         "edges": pa.array(edges, pa.list_(pa.int32()))})
+
+    return saved(base.groupBy("shard").applyInArrow(run, "vec_id long, v array<double>, row long, shard int, edges array<int>"), "index")
+
+
+def search_shards(rows: DataFrame, search: Callable, score: str, k: int, build: Callable | None = None,
+                  floors: bool = False) -> DataFrame:
     """Best ``k`` rows for every query: ``search`` runs for each shard and block of queries, results are merged.
 
     ``rows`` is (vec_id, v); queries are those whose id is divisible by ``QUERY_EVERY``, and each row is a query
     of its own, whose candidates are all other rows: ``query_row``, the row's number, tells the queries of a
     repeated id apart. Shards come from a hash of the row's number. A shard is shuffled once for each block of queries and a block once for
-    each shard. ``search(vectors, own, query_vectors)`` gets rows in order of their ids and for each query its own
-    row's place, or -1, and returns arrays (query number, row number, score), at least the best ``k`` of the
-    shard with ties to smaller ids.
+    each shard. ``search(vectors, own, query_vectors, edges, floor)`` gets rows in order of their ids, for each query its own
+    row's place, or -1, the lists that ``build`` made of the shard (None without it) and for each query a score that ``k``
+    rows of the first shard reach (the least long if unknown). It returns arrays (query number, row number, score), at least the best ``k`` of the
+    shard that reach the floor, with ties to smaller ids. With ``floors`` the first shard is searched before all others, for their floors.
     """
     workers_import_package(rows.sparkSession)
     rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")  # numbered as it is written, once
     is_query = F.col("vec_id") % QUERY_EVERY == 0
     n, n_queries = rows.agg(F.count("*"), F.count_if(is_query)).first()
     shards, blocks = max(1, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(n_queries / QUERY_ROWS))
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    every = lambda first, count: F.explode(F.sequence(F.lit(first), F.lit(count - 1)))
     own = lambda count, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(count)).cast("int")
-    base = rows.withColumn("shard", own(shards, 1)).withColumn("block", every(blocks))
-    asked = rows.where(is_query).withColumn("block", own(blocks, 2)).withColumn("shard", every(shards))
+    base = rows.withColumn("shard", own(shards, 1))
+    if build:
+        base = shard_index(base, build)
+    asked = rows.where(is_query).withColumn("block", own(blocks, 2)).withColumn("floor", F.lit(LEAST))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         kind = pa.int64() if score == "long" else pa.float64()
         if not left.num_rows or not right.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "query_row": pa.array([], pa.int64()),
                              "vec_id": pa.array([], pa.int64()), "score": pa.array([], kind)})
-        ids, row, query_ids, query_row = (t.column(c).to_numpy() for t in (left, right) for c in ("vec_id", "row"))
-        order, asked_order = np.lexsort((row, ids)), np.lexsort((query_row, query_ids))
+        (ids, row, left), (query_ids, query_row, right) = _sorted_shard(left), _sorted_shard(right)
         x, q = matrix(left.column("v")), matrix(right.column("v"))
         width = max(x.shape[1], q.shape[1])
         x, q = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (x, q))
-        ids, query_ids, query_row = ids[order], query_ids[asked_order], query_row[asked_order]
-        by_row = np.argsort(row[order])
-        at = np.minimum(np.searchsorted(row[order][by_row], query_row), len(row) - 1)
-        own = np.where(row[order][by_row][at] == query_row, by_row[at], -1)
-        which, found, value = search(np.ascontiguousarray(x[order]), own, np.ascontiguousarray(q[asked_order]))
+        by_row = np.argsort(row)
+        at = np.minimum(np.searchsorted(row[by_row], query_row), len(row) - 1)
+        own = np.where(row[by_row][at] == query_row, by_row[at], -1)
+        edges = left.column("edges") if build else None
+        which, found, value = search(np.ascontiguousarray(x), own, np.ascontiguousarray(q), edges, right.column("floor").to_numpy())
         return pa.table({"query_id": query_ids[which], "query_row": query_row[which], "vec_id": ids[found],
                          "score": pa.array(value, kind)})
 
-    found = (base.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
-             .applyInArrow(run, f"query_id long, query_row long, vec_id long, score {score}"))
+    def searched(asked: DataFrame, first: int, count: int) -> DataFrame:
+        some = base.where(F.col("shard").between(first, count - 1)).withColumn("block", every(0, blocks))
+        return (some.groupBy("shard", "block")
+                .cogroup(asked.withColumn("shard", every(first, count)).groupBy("shard", "block"))
+                .applyInArrow(run, f"query_id long, query_row long, vec_id long, score {score}"))
+
+    if floors and shards > 1:
+        first = saved(searched(asked, 0, 1), "first-shard")
+        reached = (first.groupBy(F.col("query_row").alias("row")).agg(F.min("score").alias("known"), F.count("*").alias("n"))
+                   .where(F.col("n") >= k).select("row", "known"))
+        asked = saved(asked.join(reached, "row", "left").withColumn("floor", F.coalesce("known", "floor")).drop("known"), "floors")
+        found = first.unionByName(searched(asked, 1, shards))
+    else:
+        found = searched(asked, 0, shards)
     best = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "query_row")

@@ -2,8 +2,8 @@ import numpy as np
 import pytest
 
 from statline.llm import vectors
-from statline.llm.maxscore import Postings, top_k
-from statline.llm.vamana import Graph, nearest, same_length
+from statline.llm.maxscore import Postings, best, top_k
+from statline.llm.vamana import Graph, _build, nearest, same_length
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score double, rank string"
 
@@ -71,16 +71,69 @@ def test_top_k_equals_brute_force(spark, monkeypatch, shard_rows, query_rows):
     assert found(top_k(spark.createDataFrame(data, SCHEMA), 20)) == brute(data, 20, "int")
 
 
-def test_pruning_leaves_rows_out_and_stays_exact():
-    rng = np.random.default_rng(0)
-    x = np.where(rng.random((3000, 200)) < 0.04, rng.integers(1, 60, (3000, 200)), 0)  # sparse, as postings are
-    postings, q = Postings(x), x[17]
-    got_rows, got = postings.best(q, 10, 17)
+def ranked(x, q, own, k):
     score = x @ q
-    order = np.lexsort((np.arange(3000), -score))
-    order = order[order != 17][:10]
-    mine = np.lexsort((got_rows, -got))[:10]
-    assert got_rows[mine].tolist() == order.tolist() and len(got_rows) < 3000
+    order = np.lexsort((np.arange(len(x)), -score))
+    order = order[order != own][:k]
+    return order.tolist(), score[order].tolist()
+
+
+@pytest.mark.parametrize("block", [300, 3000])
+@pytest.mark.parametrize("share, low, high", [(0.04, 1, 60), (0.3, -60, 60), (1.0, -60, 60), (1.0, -60, 0), (0.02, 1, 3)])
+def test_essential_lists_stay_exact(share, low, high, block):
+    """Sparse, signed, dense, all-negative and much tied rows; every floor up to the k-th score gives the same."""
+    rng = np.random.default_rng(0)
+    x = np.where(rng.random((3000, 60)) < share, rng.integers(low, high, (3000, 60)), 0)
+    blocks = [Postings(x[at:at + block]) for at in range(0, 3000, block)]
+    for own in (17, 0, 2999):
+        for q in (x[own], -x[own], np.zeros(60, np.int64)):
+            rows, scores = ranked(x, q, own, 10)
+            for floor in (-(1 << 63), scores[-1] - 5, scores[-1]):
+                got = best(blocks, q, 10, own, floor)
+                assert (got[0].tolist(), got[1].tolist()) == (rows, scores)
+
+
+def test_sparse_postings_are_left_alone():
+    """With a floor the lists of frequent, low terms are never traversed: far fewer postings are touched than the query has."""
+    rng = np.random.default_rng(0)
+    x = np.zeros((4000, 200), np.int64)
+    x[:, :20] = rng.integers(0, 3, (4000, 20))  # frequent and low
+    x[:, 20:] = np.where(rng.random((4000, 180)) < 0.01, rng.integers(30, 60, (4000, 180)), 0)  # rare and high
+    blocks, q = [Postings(x[at:at + 1000]) for at in range(0, 4000, 1000)], x[17]
+    rows, scores = ranked(x, q, 17, 10)
+    got = best(blocks, q, 10, 17, scores[-1])
+    assert got[0].tolist() == rows and got[2] < 0.2 * np.count_nonzero(x[:, q != 0])
+
+
+def test_graph_of_a_shard_is_built_once(spark, monkeypatch):
+    """The written graphs have one list of edges for each distinct vector, whatever the number of query blocks, and searches read them."""
+    data = rows()
+    monkeypatch.setattr(vectors, "SHARD_ROWS", 150)
+    calls, index = [], vectors.shard_index
+
+    def counted(base, build):
+        calls.append(index(base, build))
+        return calls[-1]
+
+    monkeypatch.setattr(vectors, "shard_index", counted)
+    df, results = spark.createDataFrame(data, SCHEMA), []
+    for query_rows in (4096, 5):
+        monkeypatch.setattr(vectors, "QUERY_ROWS", query_rows)
+        results.append(found(nearest(df)))
+    assert results[0].keys() == results[1].keys() and len(calls) == 2
+    want = brute(data, 20, "float")
+    assert all(recall(r, want) >= 0.95 for r in results)
+    counts = [c.where("size(edges) > 0").groupBy("shard").count().count() for c in calls]
+    built = [c.select("row").distinct().count() == c.count() for c in calls]
+    assert counts[0] == counts[1] == -(-calls[0].count() // 150) and all(built)
+
+
+def test_written_edges_are_the_graph():
+    x = np.random.default_rng(1).normal(size=(300, 8))
+    x[50:90] = x[3]
+    lists, distinct = _build(x), np.unique(x, axis=0)
+    assert sum(bool(e) for e in lists) == len(distinct) == 260
+    assert sorted(map(tuple, (e for e in lists if e))) == sorted(map(tuple, Graph(same_length(distinct)).edges.tolist()))
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 15])
