@@ -16,81 +16,119 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .vectors import LEAST, search_shards, usable
+from .vectors import search_shards, usable
 
 SCALE = 64
 #: Rows of a block: its bounds are its own, and the score needed rises from block to block.
-BLOCK = 2048
+BLOCK = 4096
+#: Queries whose essential postings are traversed together, and the filled share from which a block's lists are held as one table.
+TOGETHER, FULL = 64, 0.25
 
 
 class Postings:
-    """Postings by term of one block of rows, with the largest and smallest value of each list."""
+    """Postings by term of one block of rows, with the largest and smallest value of each list.
+
+    Lists that are nearly full are a table of terms by rows, so traversing them for many queries is one product.
+    """
 
     def __init__(self, vectors: np.ndarray):
-        self.n, width = vectors.shape
-        term, self.rows = np.nonzero(vectors.T)
-        self.values = vectors.T[term, self.rows]
-        self.starts = np.searchsorted(term, np.arange(width + 1))
+        self.n, self.width = vectors.shape
         self.highest = np.maximum(vectors.max(axis=0), 0)
         self.lowest = np.minimum(vectors.min(axis=0), 0)
-
-    def competing(self, query: np.ndarray, needed: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """(rows, scores, postings traversed or probed): all rows of the block with at least the score ``needed``."""
+        self.most = max(int(self.highest.max()), -int(self.lowest.min()))
+        self.full = np.count_nonzero(vectors) >= FULL * vectors.size
+        if self.full:
+            self.table = np.ascontiguousarray(vectors.T)
+            self.floats = self.table.astype(np.float64)
+        else:
+            term, self.rows = np.nonzero(vectors.T)
+            self.values = vectors.T[term, self.rows]
+            self.starts = np.searchsorted(term, np.arange(self.width + 1))
+
+    def plan(self, query: np.ndarray, needed: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(terms by rising bound, what the first of them can add together, number of non-essential ones)."""
         bound = np.where(query > 0, query * self.highest, query * self.lowest)
         terms = np.argsort(bound, kind="stable")
-        terms = terms[(query[terms] != 0) & (self.starts[terms + 1] > self.starts[terms])]
-        reach = np.cumsum(bound[terms])  # what terms up to here can add together
-        split = int(np.searchsorted(reach, needed, side="left")) if needed > 0 else 0
-        score, helped, touched = np.zeros(self.n, np.int64), np.zeros(self.n, bool), 0
-        for t in terms[split:].tolist():
-            some = slice(self.starts[t], self.starts[t + 1])
-            rows, add = self.rows[some], query[t] * self.values[some]
-            score[rows] += add
-            helped[rows[add > 0]] = True
-            touched += len(rows)
-        rest = int(reach[split - 1]) if split else 0
-        rows = np.flatnonzero(helped & (score >= needed - rest) if needed > 0 else score >= needed - rest)
-        score = score[rows]
-        for i in range(split - 1, -1, -1):
-            if not len(rows):
-                break
-            t = terms[i]
-            listed, values = (a[self.starts[t]:self.starts[t + 1]] for a in (self.rows, self.values))
-            touched += len(rows)
-            if len(listed) == self.n:
-                score += query[t] * values[rows]
-            else:
-                at = np.minimum(np.searchsorted(listed, rows), len(listed) - 1)
-                score += np.where(listed[at] == rows, query[t] * values[at], 0)
-            left = score >= needed - (int(reach[i - 1]) if i else 0)
-            rows, score = rows[left], score[left]
-        return rows, score, touched
-
-
-def best(blocks: list[Postings], query: np.ndarray, k: int, own: int, floor: int = LEAST) -> tuple[np.ndarray, np.ndarray, int]:
-    """(row numbers, scores, postings touched) of the ``k`` best rows of all ``blocks`` that reach ``floor``, best first, without row ``own``."""
-    rows, scores, at, touched = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
-    for block in blocks:
-        needed = max(floor, int(scores[-1]) + 1) if len(scores) == k else floor
-        new, score, n = block.competing(query, needed)
-        other = new + at != own
-        rows, scores = np.concatenate((rows, new[other] + at)), np.concatenate((scores, score[other]))
-        order = np.lexsort((rows, -scores))[:k]  # rows are in order of their ids
-        rows, scores, at, touched = rows[order], scores[order], at + block.n, touched + n
-    return rows, scores, touched
+        terms = terms[query[terms] != 0]
+        reach = np.cumsum(bound[terms])
+        return terms, reach, int(np.searchsorted(reach, needed, side="left")) if needed > 0 else 0
+
+    def traverse(self, queries: np.ndarray, essential: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+        """(scores of the essential terms by query and row, postings touched by query)."""
+        part = np.zeros((len(queries), self.width), np.int64)
+        for i, terms in enumerate(essential):
+            part[i, terms] = queries[i, terms]
+        if self.full:
+            small = float(np.abs(part).max(initial=0)) * self.most * self.width < 2.0 ** 53  # sums are exact in doubles
+            return part.astype(np.float64) @ self.floats if small else part @ self.table, [len(t) * self.n for t in essential]
+        score, touched = np.zeros((len(queries), self.n), np.int64), []
+        for i, terms in enumerate(essential):
+            for t in terms.tolist():
+                some = slice(self.starts[t], self.starts[t + 1])
+                score[i, self.rows[some]] += part[i, t] * self.values[some]
+            touched.append(int((self.starts[terms + 1] - self.starts[terms]).sum()))
+        return score, touched
+
+    def probe(self, term: int, rows: np.ndarray) -> np.ndarray:
+        """Values of ``rows`` in a list, 0 where it doesn't hold them."""
+        if self.full:
+            return self.table[term, rows]
+        listed, values = (a[self.starts[term]:self.starts[term + 1]] for a in (self.rows, self.values))
+        if not len(listed):
+            return np.zeros(len(rows), np.int64)
+        at = np.minimum(np.searchsorted(listed, rows), len(listed) - 1)
+        return np.where(listed[at] == rows, values[at], 0)
+
+    def competing(self, queries: np.ndarray, needed: list[int]):
+        """(rows, scores, postings touched) of each query: all rows of the block with at least its score ``needed``.
+
+        A row that no essential term helps has at most 0 from them, less than what is needed beyond the rest.
+        """
+        plans = [self.plan(q, least) for q, least in zip(queries, needed)]
+        scores, counts = self.traverse(queries, [terms[split:] for terms, _, split in plans])
+        for query, least, (terms, reach, split), score, touched in zip(queries, needed, plans, scores, counts):
+            rows = np.flatnonzero(score >= least - (int(reach[split - 1]) if split else 0))
+            score = score[rows].astype(np.int64)
+            for i in range(split - 1, -1, -1):
+                if not len(rows):
+                    break
+                touched += len(rows)
+                score += query[terms[i]] * self.probe(terms[i], rows)
+                left = score >= least - (int(reach[i - 1]) if i else 0)
+                if not left.all():
+                    rows, score = rows[left], score[left]
+            yield rows, score, touched
+
+
+def best(blocks: list[Postings], queries: np.ndarray, k: int, own, floors) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """For each query (row numbers, scores, postings touched): the ``k`` best rows of all ``blocks`` that reach its floor, best first, without its row ``own``."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), 0) for _ in queries]
+    for first in range(0, len(queries), TOGETHER):
+        some, at = range(first, min(first + TOGETHER, len(queries))), 0
+        for block in blocks:
+            needed = [max(int(floors[i]), int(found[i][1][-1]) + 1) if len(found[i][1]) == k else int(floors[i]) for i in some]
+            for i, (new, score, n) in zip(some, block.competing(queries[some.start:some.stop], needed)):
+                rows, scores, touched = found[i]
+                if len(new):
+                    new = new + at
+                    rows, scores = np.concatenate((rows, new[new != own[i]])), np.concatenate((scores, score[new != own[i]]))
+                    if len(scores) > k:
+                        reach = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                        rows, scores = rows[reach], scores[reach]
+                    order = np.lexsort((rows, -scores))[:k]  # rows are in order of their ids
+                    rows, scores = rows[order], scores[order]
+                found[i] = rows, scores, touched + n
+            at += block.n
+    return found
 
 
 def _search(k: int):
     def search(vectors, own, queries, edges, floor):
-        vectors = np.floor(SCALE * vectors).astype(np.int64)
+        vectors, queries = (np.floor(SCALE * m).astype(np.int64) for m in (vectors, queries))
         blocks = [Postings(vectors[at:at + BLOCK]) for at in range(0, len(vectors), BLOCK)]
-        which, rows, scores = [], [], []
-        for i, query in enumerate(np.floor(SCALE * queries).astype(np.int64)):
-            row, score, _ = best(blocks, query, k, int(own[i]), int(floor[i]))
-            which.append(np.full(len(row), i))
-            rows.append(row)
-            scores.append(score)
-        return np.concatenate(which), np.concatenate(rows), np.concatenate(scores)
+        found = best(blocks, queries, k, own, floor)
+        which = np.repeat(np.arange(len(found)), [len(rows) for rows, _, _ in found])
+        return which, np.concatenate([rows for rows, _, _ in found]), np.concatenate([scores for _, scores, _ in found])
 
     return search
 

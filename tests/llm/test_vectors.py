@@ -89,10 +89,19 @@ def test_essential_lists_stay_exact(share, low, high, block):
         for q in (x[own], -x[own], np.zeros(60, np.int64)):
             rows, scores = ranked(x, q, own, 10)
             for floor in (-(1 << 63), scores[-1] - 5, scores[-1]):
-                got = best(blocks, q, 10, own, floor)
+                got, = best(blocks, q[None], 10, [own], [floor])
                 assert (got[0].tolist(), got[1].tolist()) == (rows, scores)
 
 
+@pytest.mark.parametrize("size", [50, 10 ** 8])
+def test_many_queries_at_once(size):
+    """Batches of queries, sums that doubles hold exactly and sums that they don't."""
+    x = np.random.default_rng(2).integers(-size, size, (500, 16))
+    got = best([Postings(x[:200]), Postings(x[200:])], x[:150], 20, list(range(150)), [-(1 << 63)] * 150)
+    for i, (rows, scores, _) in enumerate(got):
+        assert (rows.tolist(), scores.tolist()) == ranked(x, x[i], i, 20)
+
+
 def test_sparse_postings_are_left_alone():
     """With a floor the lists of frequent, low terms are never traversed: far fewer postings are touched than the query has."""
     rng = np.random.default_rng(0)
@@ -101,7 +110,7 @@ def test_sparse_postings_are_left_alone():
     x[:, 20:] = np.where(rng.random((4000, 180)) < 0.01, rng.integers(30, 60, (4000, 180)), 0)  # rare and high
     blocks, q = [Postings(x[at:at + 1000]) for at in range(0, 4000, 1000)], x[17]
     rows, scores = ranked(x, q, 17, 10)
-    got = best(blocks, q, 10, 17, scores[-1])
+    got, = best(blocks, q[None], 10, [17], [scores[-1]])
     assert got[0].tolist() == rows and got[2] < 0.2 * np.count_nonzero(x[:, q != 0])
 
 
