@@ -9,6 +9,7 @@ from ..functions import metrics as M, rules
 from ..ml import evaluate, models, selection, split
 from ..operators import classify, features
 from ..session import saved, scratch_path
+from ..sources.landed import files_state
 from .rule_sql import position_case
 from .catalog import fx, quantile_sql, register, with_fixtures
 from .queries_features import STATLINE_COLS
@@ -226,14 +227,18 @@ FROM p""", "statlines"))(
 # ----------------------------------------------------------------- fitted models (rows)
 
 
-#: Prepared inputs and folders of fitted pipelines by session, tables, task and model: queries that need the
-#: same full-size model share one fit.
+#: Prepared inputs and folders of fitted pipelines by session, folder and state of its files, task and model: queries that
+#: need the same full-size model share one fit, and rewritten tables get a new one.
 _PREPARED: dict[tuple, models.Prepared] = {}
 _FITTED: dict[tuple, str] = {}
 
 
+def _tables(spark, d):
+    return spark.sparkContext.applicationId, d, files_state(spark, d)
+
+
 def _prep(spark, d, task):
-    at = (spark.sparkContext.applicationId, d, task)
+    at = (*_tables(spark, d), task)
     if at not in _PREPARED:
         if task == "regression":
             _PREPARED[at] = models.prepare(numeric(spark, d), REG_TARGET, "regression", engineer=False)
@@ -244,7 +249,7 @@ def _prep(spark, d, task):
 
 def _fit(spark, d, task, model):
     """The input and the fitted pipeline, loaded from where its first use saved it."""
-    prep, at = _prep(spark, d, task), (spark.sparkContext.applicationId, d, task, model)
+    prep, at = _prep(spark, d, task), (*_tables(spark, d), task, model)
     if at not in _FITTED:
         path = scratch_path(spark, "model")
         models.save_model(models.fit(prep, model), path)

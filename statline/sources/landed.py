@@ -83,3 +83,14 @@ def season_backfill(df: DataFrame, seasons: Sequence[str] = DEFAULT_SEASONS,
                     col: str = "season") -> DataFrame:
     """Restrict to the seasons of a backfill (partition pruning on ``season=``)."""
     return df.where(F.col(col).isin(*seasons))
+
+
+def files_state(spark: SparkSession, path: str) -> str:
+    """A digest of names, sizes and times of all files under ``path``; it changes when one is written, rewritten or removed.
+
+    Spark lists the files and folds them; their content isn't read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    n, total = files.select(one.alias("h")).agg(F.count("*"), F.sum("h")).first()
+    return f"{n}-{total or 0}"

@@ -157,3 +157,26 @@ def test_stream_dedup_compares_with_the_target_before_it_splits(spark):
     rows = [(1, 0, "2024-01-10 00:00:00"), (1, 1, "2024-01-16 00:00:00"), (1, 2, "2024-01-20 00:00:00"), (2, 0, None), (2, 1, "2024-01-20 00:00:00"), (2, 2, None)]
     for per_trigger in (None, 1, 2):
         assert _deduplicated(spark, rows, per_trigger) == [(1, 0), (1, 2), (2, 0), (2, 1)], per_trigger
+
+
+def test_files_state_follows_the_files(spark):
+    path = scratch_path(spark, "state")
+    spark.range(5).write.parquet(path + "/a.parquet")
+    first = landed.files_state(spark, path)
+    assert first == landed.files_state(spark, path)
+    spark.range(6).write.parquet(path + "/b.parquet")
+    second = landed.files_state(spark, path)
+    spark.range(5).write.mode("overwrite").parquet(path + "/a.parquet")
+    assert len({first, second, landed.files_state(spark, path)}) == 3
+
+
+def test_rewritten_tables_get_a_new_model(spark, monkeypatch):
+    from statline.plans import queries_ml
+
+    path, made = scratch_path(spark, "tables"), []
+    spark.range(5).write.parquet(path + "/a.parquet")
+    monkeypatch.setattr(queries_ml, "numeric", lambda spark, d: d)
+    monkeypatch.setattr(queries_ml.models, "prepare", lambda *args, **kw: made.append(args) or len(made))
+    assert [queries_ml._prep(spark, path, "regression") for _ in range(2)] == [1, 1]
+    spark.range(7).write.mode("overwrite").parquet(path + "/a.parquet")
+    assert queries_ml._prep(spark, path, "regression") == 2
