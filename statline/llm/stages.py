@@ -33,14 +33,23 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the source mix, repeated where a source is taken more than once."""
+    """Documents of the source mix, repeated where a source is taken more than once.
+
+    A null or empty text has 0 words, a null source is a source of its own, the last; identical rows share a hash
+    and are taken alike, also where that misses a target; texts are counted whole and an empty table gives an empty one.
+    """
     from .mixing import mixed
 
     return mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in packed sequences."""
+    """Token pieces with their place in packed sequences.
+
+    A null or empty text is one piece with the end id alone; repeated rows and null ids give pieces of their own; only
+    texts of more tokens than a sequence holds are cut; pieces of equal size go by doc_id, null first, and piece; an
+    empty table gives an empty one.
+    """
     from .packing import pack, token_pieces
 
     return pack(token_pieces(docs, tokenizer_path("word_bpe_49k.json")))
