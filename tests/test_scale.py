@@ -130,3 +130,13 @@ def test_performance_join_is_inner(spark):
     plan = _plan(QUERIES["player_performance"](spark, SMALL))
     assert "LeftOuter" in plan  # advanced stats stay optional
     assert plan.count("Inner") >= 1  # roster join rewritten by the games filter
+
+
+def test_statlines_ship_each_game_once(spark):
+    """The join and the grouping share one hash partitioning of the games; nothing is sorted for the join."""
+    from statline.sources.fixtures import fixtures
+    f = fixtures(spark, SMALL)
+    for table in (f.statlines, f.advanced_stats):
+        plan = _plan(table).split("Initial Plan")[-1]
+        assert "ShuffledHashJoin" in plan and "Sort " not in plan and "SortMergeJoin" not in plan
+        assert plan.count("Exchange hashpartitioning") == 2  # lineitem and part
