@@ -3,31 +3,17 @@
 from __future__ import annotations
 
 import ctypes
-import os
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-from ..session import _file_system, drop_scratch, saved  # noqa: F401  (scratch tables of every operator)
-
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from ..session import _file_system, drop_scratch, saved, workers_import_package  # noqa: F401  (for every operator)
 
 #: Text bytes that a Python task takes from Arrow at once.
 SLICE_BYTES = 12 << 20
 
 
-def workers_import_package(spark: SparkSession) -> None:
-    """Put this checkout on the Python path of workers that start from now on.
-
-    A cluster that has the package installed, or ships it with ``--py-files``, doesn't need it.
-    """
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if _ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hadoop = _file_system(spark, path)
     fs.delete(hadoop, True)
