@@ -180,3 +180,22 @@ def test_rewritten_tables_get_a_new_model(spark, monkeypatch):
     assert [queries_ml._prep(spark, path, "regression") for _ in range(2)] == [1, 1]
     spark.range(7).write.mode("overwrite").parquet(path + "/a.parquet")
     assert queries_ml._prep(spark, path, "regression") == 2
+
+
+def test_games_land_compressed_after_one_shuffle(spark):
+    """Documents are built where the join put a player's games: text rows are never shipped, nor landed as plain text."""
+    import glob
+
+    from statline.operators import clean
+    from statline.plans.queries_io import _decode_payload, game_log_documents
+    from statline.session import checkpoint_dir
+    from statline.sources.fixtures import fixtures
+    docs = game_log_documents(clean.stage_game_logs(fixtures(spark, "/root/testdata/sf0.001").games_by_player))
+    plan = docs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2  # base rows of lineitem and part
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/statline-payload-*"))
+    assert _decode_payload(spark, "/root/testdata/sf0.001").count() > 0
+    new = set(glob.glob(f"{folder}/statline-payload-*")) - before
+    files = [f for p in new for f in glob.glob(f"{p}/part-*")]
+    assert files and all(f.endswith(".json.gz") for f in files)
