@@ -97,6 +97,16 @@ def test_forest_is_as_good_as_spark_mls_and_survives_saving(spark, tmp_path, tas
     assert a == b and len(a) == prep.test.count()
 
 
+def test_folds_grown_together_score_rows_that_their_trees_did_not_see(spark):
+    prep = _prepared(spark, "regression")
+    mean, std = models.cross_validate(prep, "random_forest", num_trees=10)
+    one = [models.Prepared(prep.data.where("NOT is_test").withColumn("is_test", F.col("fold") == k), prep.features, "y",
+                           "regression", ("player_id",), prep.scaler) for k in range(2)]
+    r2 = [{r.metric: r.value for r in models.evaluate_model(models.fit(p, "random_forest", num_trees=10), p).collect()}["r2"]
+          for p in one]
+    assert abs(mean - np.mean(r2)) < 0.05 and std < 0.05
+
+
 def test_tiny_and_constant_tables(spark):
     rows = spark.range(3).selectExpr("1D AS a_z", "CAST(id AS DOUBLE) AS b_z", "5D AS label", "0 AS fold", "xxhash64(id) AS hash")
     model = forest.fit(rows, ["a_z", "b_z"], num_trees=20)
