@@ -28,6 +28,8 @@ CAPACITY = 2048
 NEARLY = 16
 ITEMS_PER_TASK = 60_000
 FAN_IN = 8
+#: Text bytes that are tokenized at once: arrays of all their words and ids stand beside each other.
+TOKEN_SLICE = 2 << 20
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", bin long, offset long, filled int"
@@ -43,7 +45,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
     def pieces(batches):
         bpe = WordBpe.load(tokenizer)
-        for part in text_slices(batches):
+        for part in text_slices(batches, most=TOKEN_SLICE):
             offsets, codes, words = split_words(plain_strings(part.column("text")))
             lengths, starts, ids = bpe.encode_words(words)
             per_word = lengths[codes]

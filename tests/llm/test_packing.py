@@ -84,3 +84,27 @@ def test_query(spark, docs, name):
     from statline.llm.queries import QUERIES
     used, least = check_packing(QUERIES[name](spark, SMALL).collect(), [(r.doc_id, r.text) for r in docs.collect()])
     assert used <= 1.02 * least + 1
+
+
+def test_few_megabytes_of_text_are_tokenized_at_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    from statline.llm import packing
+
+    class Docs:  # hands out the function that tasks run
+        sparkSession = spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    seen = []
+    split = packing.split_words
+    monkeypatch.setattr(packing, "split_words", lambda texts: seen.append(texts.nbytes) or split(texts))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": [f"word{i} of text " * 7000 for i in range(60)]})
+    out = list(packing.token_pieces(Docs(), PATH)(iter([batch])))
+    assert max(seen) < 3 << 20 < batch.nbytes
+    got = pa.Table.from_batches(out)
+    assert sorted(set(got.column("doc_id").to_pylist())) == list(range(60))
