@@ -32,6 +32,8 @@ TERMS = 1 << 16
 FEATURES = MARKS + TERMS
 LOW = 0.3
 BLOCK = 256
+#: Text bytes whose terms are counted at once.
+SLICE = 4 << 20
 #: The decomposition ends when a round adds less than this share of what its axes hold.
 SETTLED, MOST_ROUNDS, SPARE = 1e-4, 60, 16
 #: Bytes of features for one task of the fit, labelled rows and features that a task takes at once.
@@ -332,7 +334,7 @@ class QualityModel:
                 .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality")))
 
         def features(batches):
-            for part in text_slices(batches):
+            for part in text_slices(batches, most=SLICE):
                 starts, found, n = sparse_counts(plain_strings(part.column("text")))
                 cut = [found.astype("<i4"), n.astype("<f4")]
                 yield pa.RecordBatch.from_arrays(
@@ -342,7 +344,7 @@ class QualityModel:
 
         def frequencies(batches):
             seen, rows_seen = np.zeros(FEATURES, np.int64), 0
-            for part in text_slices(batches):
+            for part in text_slices(batches, most=SLICE):
                 seen += np.bincount(sparse_counts(plain_strings(part.column("text")))[1], minlength=FEATURES)
                 rows_seen += part.num_rows
             at = np.flatnonzero(seen)
@@ -404,7 +406,7 @@ class QualityModel:
         def vote(texts: pa.Array) -> pa.Array:
             model = QualityModel(*shared.value)
             parts = [model.votes(plain_strings(p.column(0)))
-                     for p in text_slices([pa.RecordBatch.from_arrays([texts], ["text"])])]
+                     for p in text_slices([pa.RecordBatch.from_arrays([texts], ["text"])], most=SLICE)]
             return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
         return F.arrow_udf(vote, "double")(text)

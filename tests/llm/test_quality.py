@@ -115,3 +115,27 @@ def test_labelled_rows_without_words(spark):
     table = spark.createDataFrame([(i, " ", i % 2) for i in range(20)], "doc_id long, text string, quality int")
     model = QualityModel.fit(table, table.select("doc_id", "quality"))
     assert {r.score for r in classify(table, model).collect()} == {float(model.labels.mean())}
+
+
+def test_few_megabytes_of_text_are_counted_at_once(monkeypatch):
+    from statline.llm import quality
+
+    seen = []
+    count = quality.sparse_counts
+    monkeypatch.setattr(quality, "sparse_counts", lambda texts: seen.append(texts.nbytes) or count(texts))
+    model = quality.QualityModel(np.ones(quality.FEATURES), np.ones((quality.FEATURES, 2), np.float32), np.ones((3, 2)), np.ones(3))
+
+    class Shared:
+        value = (model.idf, model.basis, model.vectors, model.labels)
+
+    class Spark:
+        class sparkContext:
+            broadcast = staticmethod(lambda value: Shared)
+
+    functions = []
+    monkeypatch.setattr(quality.F, "arrow_udf", lambda function, kind: functions.append(function) or (lambda column: column))
+    model.spark = Spark
+    model.score(None)
+    texts = pa.array([f"word{i} of text " * 7000 for i in range(90)])
+    assert len(functions[0](texts)) == 90
+    assert max(seen) < 5 << 20 < texts.nbytes
