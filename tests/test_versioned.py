@@ -204,3 +204,19 @@ def test_bounded_dedup_without_rows(spark):
     _drain(spark, base, [], 0)
     _drain(spark, base, [(1, "a", dt.datetime(2024, 1, 1)), (1, "a", dt.datetime(2024, 1, 1))], 1)
     assert spark.read.parquet(f"{base}/out").count() == 1
+
+
+def test_bitmaps_are_not_built_in_the_task_that_writes_the_index(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from statline.sinks import versioned
+
+    def coalesced(self, n):
+        raise AssertionError("merges the tasks before the write")
+
+    monkeypatch.setattr(DataFrame, "coalesce", coalesced)
+    rows = spark.range(1000).selectExpr("id", "id % 7 AS part")
+    path = str(tmp_path / "t")
+    versioned.create(spark, rows, path, ("id",), ("part",))
+    versioned.upsert(spark, rows.where("id < 3").selectExpr("id", "part + 1 AS part"), path, ("id",), ("part",), ("part",))
+    assert versioned.read(spark, path).count() == 1000
