@@ -35,11 +35,16 @@ def _held_against(facts, state, by):
     got = sketches.answers(state, {c: (0.25, 0.5, 0.9) for c in NUMBERS})
     rank = {f"{c}_q{q}": (c, p) for c in NUMBERS for q, p in ((25, 0.25), (50, 0.5), (90, 0.9))}
     rows = facts.join(got, list(by)) if by else facts.crossJoin(F.broadcast(got))
+    # counted by themselves: beside a distinct count, every other aggregate would be kept for each season and player
+    players = facts.where(F.col("player_id").isNotNull()).select(*by, "player_id").distinct() \
+                   .groupBy(*by).agg(F.count("player_id").alias("players"))
     held = rows.groupBy(*by).agg(
-        F.countDistinct("player_id").alias("players"), F.first("player_id_distinct").alias("__players"),
+        F.first("player_id_distinct").alias("__players"),
         *[F.avg((F.col(c) < F.col(q)).cast("double")).alias(f"__below_{q}") for q, (c, _) in rank.items()],
         *[F.avg((F.col(c) <= F.col(q)).cast("double")).alias(f"__upto_{q}") for q, (c, _) in rank.items()],
         *[F.first(x).alias(x) for c in NUMBERS for x in (f"{c}_count", f"{c}_mean", f"{c}_std", f"{c}_min", f"{c}_max")], F.first("rows").alias("rows"))
+    held = held.join(players, list(by), "left") if by else held.crossJoin(F.broadcast(players))
+    held = held.withColumn("players", F.coalesce("players", F.lit(0).cast("long")))
     return held.select(
         *by, "rows", "players", *[f"{c}_{x}" for c in NUMBERS for x in ("count", "min", "max")],
         *[F.round(f"{c}_{x}", 6).alias(f"{c}_{x}") for c in NUMBERS for x in ("mean", "std")],
