@@ -76,16 +76,23 @@ register("sketch_all_seasons", with_fixtures(f"SELECT {_EXACT_SQL}", "game_logs"
 
 # ------------------------------------------------------------------ clustered tables
 
-BUCKETS = 8
+#: Least number of buckets, and rows that one bucket should hold at most: a task sorts it as a whole.
+BUCKETS, ROWS_PER_BUCKET = 8, 500_000
 
 
-def clustered_table(spark, df, name, sort=(), **options):
+def buckets_for(*tables) -> int:
+    """Buckets that hold the largest of ``tables``; tables that join bucket by bucket share the number."""
+    return max(BUCKETS, *(-(-t.count() // ROWS_PER_BUCKET) for t in tables))
+
+
+def clustered_table(spark, df, name, sort=(), buckets=BUCKETS, **options):
     """``df`` as a catalog table of its own for this call."""
-    return clustered.save_clustered(df, f"{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, name), "player_id", sort, BUCKETS, **options)
+    return clustered.save_clustered(df, f"{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, name), "player_id", sort, buckets, **options)
 
 
 def _prev_season(spark, d):
-    held = clustered_table(spark, fx(spark, d).statlines.select("player_id", "season", "pts", "reb", "ast"), "statlines", ("season",))
+    seasons = fx(spark, d).statlines.select("player_id", "season", "pts", "reb", "ast")
+    held = clustered_table(spark, seasons, "statlines", ("season",), buckets_for(seasons))
     return features.lag_features(held)
 
 
@@ -97,7 +104,8 @@ SELECT player_id, season, pts, reb, ast, lag(pts) OVER ({W}) AS prev_season_pts,
 def performance_clustered(spark, d):
     """J1, J2 over clustered inputs."""
     f = fx(spark, d)
-    tables = [clustered_table(spark, t, name) for t, name in ((f.players, "players"), (f.game_logs, "game_logs"), (f.advanced_stats, "advanced"))]
+    buckets = buckets_for(f.players, f.game_logs, f.advanced_stats)
+    tables = [clustered_table(spark, t, name, buckets=buckets) for t, name in ((f.players, "players"), (f.game_logs, "game_logs"), (f.advanced_stats, "advanced"))]
     return mart.player_performance(*tables, as_of=AS_OF)
 
 

@@ -133,3 +133,27 @@ def test_options_with_quotes_and_odd_keys(spark):
     empty = clustered.save_clustered(rows.limit(0), f"{name}_empty", scratch_path(spark, "odd"), "k", buckets=3)
     assert empty.count() == 0
     assert [r for r in clustered.clustered_options(spark, f"{name}_empty").collect() if r.kind != "table"] == []
+
+
+def test_exact_side_keeps_no_statistics_for_each_player(spark):
+    import re
+
+    from statline.plans import queries_sketches
+
+    plan = queries_sketches._by_season(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    by_player = re.findall(r"Aggregate\(keys=\[[^\]]*player_id#[^\]]*\], functions=\[([^\]]*)\]", plan)
+    assert by_player and not any(by_player)
+
+
+def test_clustered_tables_get_buckets_for_their_rows(spark, monkeypatch):
+    from statline.plans import queries_sketches
+
+    assert queries_sketches.buckets_for(spark.range(10), spark.range(0)) == queries_sketches.BUCKETS
+    monkeypatch.setattr(queries_sketches, "ROWS_PER_BUCKET", 50)
+    assert queries_sketches.buckets_for(spark.range(1001), spark.range(10)) == 21
+    out = queries_sketches.performance_clustered(spark, "/root/testdata/sf0.001")
+    assert any(f"SelectedBucketsCount: {n} out of {n}" in out._jdf.queryExecution().toString() for n in range(9, 10_000))
+    monkeypatch.undo()
+    want = queries_sketches.performance_clustered(spark, "/root/testdata/sf0.001")
+    assert sorted(map(str, out.drop(*[c for c, t in out.dtypes if t == "double"]).collect())) == \
+        sorted(map(str, want.drop(*[c for c, t in want.dtypes if t == "double"]).collect()))
