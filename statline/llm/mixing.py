@@ -64,6 +64,11 @@ def targets(totals: DataFrame, weights=WEIGHTS, share: float = SHARE, most_times
                       F.least("cap", F.coalesce(level * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+def _one_file(state: DataFrame) -> DataFrame:
+    """One row for each source, written by one task: a file for each shuffle partition costs an executor more than its rows."""
+    return saved(state.repartition(1), "mix-sources")
+
+
 def thresholds(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most_times: float = MOST_TIMES) -> DataFrame:
     """One row for each source: (skey, source_size, target, whole, cut, at_cut).
 
@@ -75,7 +80,7 @@ def thresholds(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most_tim
              .withColumn("whole", F.floor(F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))).cast("long"))
              .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
              .withColumn("prefix", F.lit(0).cast("long")))
-    state = saved(state, "mix-sources")
+    state = _one_file(state)
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
         inside = F.shiftright("h", shift + BITS) == F.col("prefix")
@@ -94,7 +99,7 @@ def thresholds(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most_tim
                  .withColumn("words", F.coalesce(F.col("edge.words"), F.lit(0))).drop("edge"))
         if level < LEVELS - 1:
             state = state.drop("words")
-        state = saved(state, "mix-sources")
+        state = _one_file(state)
     return state.select("skey", "source_size", "target", "whole", F.col("prefix").alias("cut"),
                         (F.col("left") * 2 > F.col("words")).alias("at_cut"))
 
@@ -115,7 +120,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most_times: floa
     sized = saved(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), words_in(F.col("text")).alias("size"),
         source_key(F.col("source")).alias("skey"), hash60(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
-    cuts = saved(thresholds(sized, weights, share, most_times), "mix-cuts")
+    cuts = thresholds(sized, weights, share, most_times)
     return sized.join(cuts, "skey").select(
         "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
         (F.col("size") * copies()).alias("taken"))
@@ -132,7 +137,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most_times: fl
     sized = saved(docs.select(
         words_in(F.col("text")).alias("size"), source_key(F.col("source")).alias("skey"),
         hash60(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
-    cuts = saved(thresholds(sized, weights, share, most_times), "mix-cuts")
+    cuts = thresholds(sized, weights, share, most_times)
     return (row.join(cuts, "skey")
             .select("row", F.explode(F.sequence(F.lit(1), F.greatest(copies(), F.lit(1)).cast("int"))).alias("copy"),
                     copies().alias("times"))

@@ -107,3 +107,25 @@ def test_one_source_with_a_third_of_all(spark):
         want[source[r.doc_id]] = r.target
     for s in want:
         assert abs(taken[s] - want[s]) <= 8
+
+
+def test_state_of_sources_is_one_file(spark, docs, monkeypatch):
+    """One row for each source needs no file for each shuffle partition."""
+    from statline.llm import mixing
+
+    parts, save = {}, mixing.saved
+
+    def spy(df, name="table"):
+        out = save(df, name)
+        parts.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(mixing, "saved", spy)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = mix(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(rows) == docs.count()
+    assert {n for name, ns in parts.items() if name != "mix-sizes" for n in ns} == {1}
