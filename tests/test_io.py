@@ -199,3 +199,30 @@ def test_games_land_compressed_after_one_shuffle(spark):
     new = set(glob.glob(f"{folder}/statline-payload-*")) - before
     files = [f for p in new for f in glob.glob(f"{p}/part-*")]
     assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_etl_reads_landed_files_once_and_builds_sources_once(spark, monkeypatch):
+    """Quantiles and result share one parsed table; extractions share one source table."""
+    from conftest import SMALL
+
+    from statline.operators import aggregate
+    from statline.plans import etl, queries_io
+
+    written, sources, run, save = [], [], etl.run_etl, aggregate.saved
+    plans = []
+    monkeypatch.setattr(aggregate, "saved", lambda df, name="table": written.append(name) or save(df, name))
+    transform = etl.transform
+
+    def spied(raw, cfg):
+        out = transform(raw, cfg)
+        plans.append(out["advanced_stats"]._jdf.queryExecution().executedPlan().toString().lower())
+        return out
+
+    monkeypatch.setattr(etl, "transform", spied)
+    monkeypatch.setattr(etl, "run_etl", lambda s, raw, cfg: sources.append(
+        raw["advanced_stats"]._jdf.queryExecution().executedPlan().toString()) or run(s, raw, cfg))
+    _, reports = queries_io._etl(spark, SMALL, queries_io.ETL_TIMES.values())
+    assert all(r.where("status = 'failed'").count() == 0 for r in reports)
+    assert len(plans) == 3 and not any("scan csv" in p for p in plans)
+    assert "quantile-input" not in written
+    assert len(sources) == 3 and not any("Exchange" in p for p in sources)
