@@ -230,8 +230,10 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = BEST) -> DataFrame:
     """
     spark = docs.sparkSession
     workers_import_package(spark)
-    terms = saved(item_terms(items), "item-terms")
+    terms = item_terms(items)
     blocks = max(1, math.ceil(terms.count() / BLOCK_TERMS))
+    if blocks > 1:  # each block reads them again
+        terms = saved(terms, "item-terms")
     block = F.pmod(F.xxhash64(F.col("item_id")), F.lit(blocks))
     found = None
     for b in range(blocks):

@@ -125,3 +125,15 @@ def test_query_equals_its_sql(spark, duck):
     from statline.llm.queries import ORACLES, QUERIES
     want = duck.execute(ORACLES["op11_ranked_search"]).fetchall()
     assert rows_of(QUERIES["op11_ranked_search"](spark, SMALL).select("item_id", "rank", "doc_id", "score")) == sorted(want, key=repr)
+
+
+def test_terms_of_one_block_are_not_written(spark, monkeypatch):
+    names, save = [], accumulators.saved
+    monkeypatch.setattr(accumulators, "saved", lambda df, name="table": names.append(name) or save(df, name))
+    docs, items = [(i, f"one two{i % 3} three{i}") for i in range(9)], [(1, "two1 three4"), (2, "one")]
+    assert found(spark, docs, items) == brute(docs, items)
+    assert names == ["index-shards", "found"]
+    monkeypatch.setattr(accumulators, "BLOCK_TERMS", 1)
+    names.clear()
+    assert found(spark, docs, items) == brute(docs, items)
+    assert names.count("item-terms") == 1
