@@ -65,6 +65,33 @@ def test_a_subtree_is_what_plain_recursion_grows(classes):
     assert np.isclose(got, want, atol=1e-6).all(axis=1).mean() > (0.7 if classes else 0.95)
 
 
+@pytest.mark.parametrize("places", [2, 3, 6, 8, 24, 32])
+def test_splits_from_a_few_rows_are_those_from_sums_by_bin(places):
+    rng = np.random.default_rng(places)
+    nodes = 300
+    size = rng.integers(1, places + 1, nodes)
+    bins = rng.integers(0, rng.choice([2, 5, 32], (nodes, 4)), size=(places, nodes, 4)).astype(np.uint8)
+    w = rng.integers(1, 4, (places, nodes)) * (np.arange(places)[:, None] < size)
+    y = rng.integers(-9, 10, (places, nodes)).astype(float)  # sums without rounding: ties go the same way
+    node = np.tile(np.arange(nodes), places)
+    slot, at, want, _, _ = forest.best_splits(forest.sums(bins.reshape(-1, 4), node, nodes, None, w.ravel(), y.ravel(), 0), 0)
+    feature, cut, gain = forest.few_splits(bins, w.astype(float), y, size)
+    some = want > 1e-9
+    assert np.allclose(gain[some], want[some]) and (gain[~some] < 1e-9).all() and some.sum() > 60
+    assert (feature[some] == slot[some]).mean() > 0.98 and (cut[some] == at[some]).mean() > 0.98
+
+
+def test_nodes_of_a_few_rows_are_not_summed_by_bin(monkeypatch):
+    rng = np.random.default_rng(5)
+    bins, y = rng.integers(0, 32, size=(4000, 6)).astype(np.uint8), rng.normal(size=4000)
+    y += bins @ rng.normal(size=6)
+    summed, plain = [], forest.best_splits
+    monkeypatch.setattr(forest, "best_splits", lambda stats, classes: summed.append(len(stats)) or plain(stats, classes))
+    data, _ = forest.grow(bins, y, np.ones(4000, np.uint8), forest.Shape(6, 6, 0, 1, 30, 42), 0, 1)
+    assert np.frombuffer(data, "<i8", 1)[0] > 7000 and sum(summed) < 700
+    assert np.allclose(forest.subtree_values(data, bins, 0)[:, 0], y)
+
+
 @pytest.mark.parametrize("task", ["regression", "classification"])
 def test_large_nodes_split_by_passes_give_the_same_forest(spark, task):
     prep = _prepared(spark, task)
