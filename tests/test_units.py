@@ -251,3 +251,15 @@ def test_class_cutoffs_equal_ranks(spark):
     size = F.count("*").over(Window.partitionBy("label"))
     want = {r.player_id for r in df.withColumn("p", place).withColumn("n", size).where("p <= round(n * 0.2)").collect()}
     assert got == want
+
+
+def test_features_are_scored_a_few_at_a_time(spark, monkeypatch):
+    """Dozens of corr in one aggregate are too much code to compile; the choice is that of all scores together."""
+    from statline.ml import selection
+    df = spark.range(300).select("id", *[F.sin(F.col("id") * (i + 1)).alias(f"f{i}") for i in range(19)],
+                                 (F.sin(F.col("id") * 3) + F.sin(F.col("id") * 18) / 2 + F.rand(5)).alias("y"))
+    feats, plain, sizes = [f"f{i}" for i in range(19)], selection.f_regression_scores, []
+    want = {r.feature for r in selection.rank_features(plain(df, feats, "y"), 6).where("selected").collect()}
+    monkeypatch.setattr(selection, "f_regression_scores", lambda d, f, t: sizes.append(len(f)) or plain(d, f, t))
+    assert selection.select_features(df, "y", k=6, exclude=("id",)) == [f for f in feats if f in want]
+    assert {"f2", "f17"} <= want and sum(sizes) == 19 and max(sizes) <= selection.TOGETHER
