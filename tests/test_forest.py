@@ -139,3 +139,61 @@ def test_tiny_and_constant_tables(spark):
     model = forest.fit(rows, ["a_z", "b_z"], num_trees=20)
     assert [r.prediction for r in model.transform(rows).collect()] == [5.0] * 3
     assert model.transform(rows.limit(0)).count() == 0
+
+
+def test_rows_that_several_folds_grow_on_are_shipped_once(spark):
+    rng = np.random.default_rng(11)
+    n, shape = 3000, forest.Shape(4, 2, 3, 2, 30, 42, folds=5)
+    bins = rng.integers(0, 32, size=(n, 4)).astype(np.uint8)
+    part = bins, rng.integers(0, 3, n), rng.integers(0, 5, n), rng.integers(-2 ** 62, 2 ** 62, n)
+    trees = shape.groups(True)[1]
+    assert trees == [1, 3, 5, 7, 9] and len(shape.groups(True)) == 2
+    tops = {t: forest.Top() for t in shape.all_trees}
+    for t in trees:
+        tops[t].split(0, 1, 15 if t < 9 else 14)  # one fold's tree splits elsewhere
+    drawn, seen = np.zeros((5, n), int), 0
+    for heap, rows, w in forest._shipped(part, shape, trees, tops, {}):
+        assert len(set(rows.tolist())) == len(rows) and heap in (2, 3)
+        seen += len(rows)
+        drawn[:, rows] += w
+    for f, t in enumerate(trees):
+        assert (drawn[f] == np.where(part[2] == f, 0, forest.weights(part[3], shape, t))).all()
+    assert seen < 0.68 * n  # of 5 trees, which take 4 x 0.63 x n rows
+
+
+def test_folds_with_the_same_splits_are_summed_together():
+    rng = np.random.default_rng(12)
+    n, shape = 2000, forest.Shape(4, 2, 3, 2, 30, 42, folds=3)
+    part = rng.integers(0, 32, size=(n, 4)).astype(np.uint8), rng.integers(0, 3, n), rng.integers(0, 3, n), rng.integers(-2 ** 62, 2 ** 62, n)
+    top = forest.Top()
+    top.split(0, 2, 20)
+    together = list(forest._sums_of_alike(part, shape, [0, 2, 4], top, [[1, 2], [2], [1]]))
+    alone = [next(forest._sums_of_alike(part, shape, [t], top, [nodes])) for t, nodes in ((0, [1, 2]), (2, [2]), (4, [1]))]
+    assert all((a == b).all() and a.sum() > 0 for a, b in zip(together, alone))
+
+
+@pytest.mark.parametrize("task", ["regression", "classification"])
+def test_whole_trees_score_as_their_subtrees_do(spark, task, monkeypatch):
+    prep = _prepared(spark, task)
+    _, inputs, rows, classes = models._forest_problem(prep)
+    model = forest.fit(rows, inputs, classes, num_trees=8, limit=300)
+    size = model.trees.agg(F.sum("size"), F.sum(F.length("data"))).first()
+    assert size[0] == size[1]
+    got = []
+    for most in (size[0] // 3, 1):  # sets of whole trees, single subtrees
+        monkeypatch.setattr(forest, "TREE_BYTES", most)
+        got.append(model.transform(prep.train.join(rows.withColumn("player_id", F.col("hash")).select("hash"), F.xxhash64("player_id") == F.col("hash"))
+                                   .withColumns({f"{c}_z": (F.col(c) - m) / s for c, (m, s) in prep.scaler.items()}))
+                   .orderBy("player_id").select("prediction").collect())
+    assert len(got[0]) == prep.train.count() and np.allclose(got[0], got[1])
+
+
+def test_a_larger_child_is_not_summed_again(monkeypatch):
+    rng = np.random.default_rng(13)
+    bins, y = rng.integers(0, 32, size=(20000, 6)).astype(np.uint8), rng.normal(size=20000)
+    y += (bins ** 2.0) @ rng.normal(size=6)
+    summed, plain = [], forest.sums
+    monkeypatch.setattr(forest, "sums", lambda bins, *rest: summed.append(len(bins)) or plain(bins, *rest))
+    data, _ = forest.grow(bins, y, np.ones(20000, np.uint8), forest.Shape(6, 6, 0, 1, 30, 42), 0, 1)
+    assert np.allclose(forest.subtree_values(data, bins, 0)[:, 0], y)
+    assert sum(summed) < 5 * 20000  # more than 9 levels of nodes of over 32 rows
