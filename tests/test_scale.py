@@ -140,3 +140,31 @@ def test_statlines_ship_each_game_once(spark):
         plan = _plan(table).split("Initial Plan")[-1]
         assert "ShuffledHashJoin" in plan and "Sort " not in plan and "SortMergeJoin" not in plan
         assert plan.count("Exchange hashpartitioning") == 2  # lineitem and part
+
+
+def test_scoring_new_players_writes_features_once_and_drops_what_was_fitted_on(spark, monkeypatch):
+    import os
+
+    from statline.ml import models
+    from statline.operators import rank as ranks
+
+    wide, plain = [], models.saved
+
+    def saved(df, name="table"):
+        out = plain(df, name)
+        if "f0" in df.columns:
+            wide.append((name, out._scratch_path.removeprefix("file:")))
+        return out
+
+    monkeypatch.setattr(models, "saved", saved)
+    monkeypatch.setattr(ranks, "saved", saved)
+    rows = spark.range(400).selectExpr("id AS player_id", "'2000-01' AS season", "rand(1) AS f0", "rand(2) AS f1", "rand(3) AS f2")
+    rows = rows.withColumns({"y": F.expr("f0 + f1"), "c": F.expr("if(f0 > f1, 'a', 'b')"), "d": F.expr("if(f2 > 0.4, 'p', 'q')")})
+    out = models.score_new(rows, rows.select("player_id", "season", "f0", "f1", "f2"), ["f0", "f1", "f2"],
+                           {"p1": ("y", "regression", "linear_regression"), "p2": ("c", "classification", "logistic_regression"),
+                            "p3": ("d", "classification", "logistic_regression")})
+    got = out.join(rows, ["player_id", "season"]).collect()
+    assert len(got) == 400 and max(abs(r.p1 - r.y) for r in got) < 1e-6
+    assert sum(r.p2 == r.c for r in got) > 360 and sum(r.p3 == r.d for r in got) > 360
+    assert [name for name, _ in wide] == ["known", "table", "ranked", "ranked"]  # one table for each fit besides the features
+    assert not any(os.path.exists(path) for _, path in wide)
